@@ -149,15 +149,19 @@ def restrict_to_inputs(decisions: DataFrame, inputs: DataFrame, column: str) ->
 # --- existing annotations -----------------------------------------------------
 
 
-def classifying_annotations(quads: DataFrame, graphs: Iterable[str], g: str = "g") -> DataFrame:
-    """(g, ann) typed as annotation and motivated by classifying, in the same graph."""
+def _annotation_marks(quads: DataFrame, graphs: Iterable[str], g: str = "g") -> DataFrame:
+    """(g, ann, mark): the subject is typed as annotation, or motivated by classifying."""
     found = quads.where(F.col("g").isin(list(graphs)) & F.col("p").isin(v.TYPE, v.MOTIVATED_BY))
     typed = (F.col("p") == v.TYPE) & (F.col("o.value") == v.ANNOTATION)
     motive = (F.col("p") == v.MOTIVATED_BY) & (F.col("o.value") == v.CLASSIFYING)
-    marked = found.where((typed | motive) & (F.col("o.kind") == "uri")).select(
-        F.col("g").alias(g), F.col("s").alias("ann"), (F.col("p") == v.TYPE).alias("typed")
+    return found.where((typed | motive) & (F.col("o.kind") == "uri")).select(
+        F.col("g").alias(g), F.col("s").alias("ann"), F.when(F.col("p") == v.TYPE, F.lit(0)).otherwise(F.lit(1)).alias("mark")
     )
-    return all_of(marked, [g, "ann"], [F.col("typed"), ~F.col("typed")])
+
+
+def classifying_annotations(quads: DataFrame, graphs: Iterable[str], g: str = "g") -> DataFrame:
+    """(g, ann) typed as annotation and motivated by classifying, in the same graph."""
+    return all_of(_annotation_marks(quads, graphs, g), [g, "ann"], [F.col("mark") == 0, F.col("mark") == 1])
 
 
 def scheme_concepts(
@@ -190,10 +194,8 @@ def classified_targets(
     hits = spread_join(bodies, concepts.distinct(), on, "left_semi", spread=["ann"]).select("g", "ann")
     if no_match_counts_as_done:
         hits = hits.unionByName(bodies.where(F.col("concept") == v.NO_MATCH).select("g", "ann"))
-    marked = classifying_annotations(quads, graphs).withColumn("hit", F.lit(False)).unionByName(
-        hits.withColumn("hit", F.lit(True))
-    )
-    done = all_of(marked, ["g", "ann"], [F.col("hit"), ~F.col("hit")])
+    marks = _annotation_marks(quads, graphs).unionByName(hits.withColumn("mark", F.lit(2)))
+    done = all_of(marks, ["g", "ann"], [F.col("mark") == i for i in range(3)])
     targets = q.pattern(quads, v.HAS_TARGET, "ann", "target", g="g", graphs=graphs)
     return q.exists(targets, done, ["g", "ann"]).select("target").distinct()
 

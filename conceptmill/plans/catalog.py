@@ -509,7 +509,6 @@ def prompt_choice(spark, sf):
 
 @query(sql.PROMPT_RENDERED)
 def prompt_rendered(spark, sf):
-    codes = lab.codelist_prompt(_quality_codelist(spark, sf)).select("code_list")
     docs = br.table(spark, sf, "documents").selectExpr(
         f"{br.DOC} AS decision", f"'{br.QUALITY}' AS scheme",
         "CASE WHEN doc_id % 2 = 0 THEN concat('{code_list} ', text) ELSE text END AS text",
