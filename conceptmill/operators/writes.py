@@ -14,11 +14,12 @@ from conceptmill.operators import graph as q
 ANNOTATION_KEY = ("target", "body", "motivated_by", "agent_uri")
 
 
-def annotation_rows(found: DataFrame, *, task: str, agent: str, graph: str | None = None) -> DataFrame:
-    """Annotations for (target, body): one per pair, ids derived from the key."""
-    pairs = found.select("target", "body").distinct()
+def annotation_columns(
+    found: DataFrame, *, task: str, agent: str, graph: str | None = None, keep: Sequence[str] = ()
+) -> DataFrame:
+    """Annotation columns for each (target, body); ids are derived from the key."""
     identity = name_uuid(F.col("target"), F.col("body"), F.lit(v.CLASSIFYING), F.lit(agent))
-    return pairs.select(
+    return found.select(
         F.concat(F.lit(v.ANNOTATION_BASE), identity).alias("ann_uri"),
         F.lit(task).alias("task_uri"),
         "target",
@@ -27,9 +28,15 @@ def annotation_rows(found: DataFrame, *, task: str, agent: str, graph: str | Non
         F.lit(agent).alias("agent_uri"),
         F.lit(v.AGENT_TYPE).alias("agent_type"),
         F.lit(graph or v.GRAPHS["ai"]).alias("g"),
+        *keep,
     )
 
 
+def annotation_rows(found: DataFrame, *, task: str, agent: str, graph: str | None = None) -> DataFrame:
+    """One annotation per distinct (target, body)."""
+    return annotation_columns(found.select("target", "body").distinct(), task=task, agent=agent, graph=graph)
+
+
 def only_new(new: DataFrame, existing: DataFrame, keys: Sequence[str] = ANNOTATION_KEY) -> DataFrame:
     """Rows of ``new`` whose key is not in ``existing``, one row per key.
 

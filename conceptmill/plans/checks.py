@@ -497,3 +497,90 @@ PATH_ALTERNATION = f"""{quads_sql('concepts', 'parts')} SELECT DISTINCT g, s AS
 ANNOTATION_COUNTS = f"{quads_sql('anns')} SELECT value AS target, count(s) AS n FROM quads WHERE p = '{v.HAS_TARGET}' GROUP BY value"
 PREDICATE_COUNTS = f"""{quads_sql('docs', 'anns', 'concepts', 'parts', 'nations', 'jobs', 'inputs', 'task')}
   SELECT g, p, count(value) AS n, count(DISTINCT s) AS subjects FROM quads GROUP BY g, p"""
+
+# --- stored tables ------------------------------------------------------------
+
+ALL_DOC_QUADS = f"{quads_sql('docs', 'concepts')} SELECT g, s, p, value AS o, kind, coalesce(lang, '') AS lang FROM quads"
+GRAPH_WIPE = f"""{quads_sql('docs', 'anns')} SELECT g, p, count(*) AS n FROM quads
+  WHERE g NOT IN ('{br.MIRROR}', '{AI}') GROUP BY g, p"""
+RESULTS_JSON = """SELECT CAST(doc_id AS VARCHAR) AS doc, text, CASE WHEN doc_id % 3 <> 0 THEN source END AS title FROM documents"""
+
+# --- jobs with stub models ----------------------------------------------------
+
+_PROMPT_PARTS = [_text_literal(x) for x in v.DEFAULT_USER_MESSAGE.replace("{decision_text}", "{code_list}").split("{code_list}")]
+_NUMBER = "('0x' || substr(md5(prompt), 1, 8))::BIGINT"
+_PICK = "[" + ", ".join(f"'{x}'" for x in stubs.LABELS) + "]"
+
+
+def _label_job(decisions: str, task: str) -> str:
+    """``pairs(target, body)`` and ``answered(decision)`` from ``decisions(decision, text)``."""
+    return f"""todo AS ({decisions}), {_CODE_LISTS},
+    asked AS (SELECT decision, concat({_PROMPT_PARTS[0]}, code_list, {_PROMPT_PARTS[1]}, text, {_PROMPT_PARTS[2]}, {_INSTRUCTION}) AS prompt
+      FROM todo, code_lists WHERE trim(replace(text, chr(10), '')) <> ''),
+    picked AS (SELECT decision, {_NUMBER} % 6 AS shape, ({_PICK})[1 + {_NUMBER} // 6 % 4] AS label FROM asked),
+    answered AS (SELECT * FROM picked WHERE shape <> 5),
+    wanted AS (SELECT '{QUALITY}' AS scheme, decision, label FROM answered WHERE shape <> 3
+      UNION ALL SELECT '{QUALITY}', decision, 'toxic' FROM answered WHERE shape = 4), {_resolve(True)},
+    pairs AS (SELECT DISTINCT decision AS target, uri AS body FROM wanted JOIN resolved USING (scheme, label) WHERE uri IS NOT NULL
+      UNION ALL SELECT decision, '{v.NO_MATCH}' FROM answered WHERE shape = 3)"""
+
+
+_OPEN_SAME = f"""ann AS ({_annotations(_BOTH)}),
+    done AS (SELECT ann.target FROM ann JOIN quads c ON c.g = ann.g AND c.s = ann.body
+             WHERE c.p IN ('{v.IN_SCHEME}', '{v.FOR_SCHEME}') AND c.value = '{QUALITY}'),
+    texts AS ({_joined_values('true')})"""
+_OPEN_TEXTS = f"""SELECT DISTINCT q.s AS decision, coalesce(texts.text, '') AS text FROM quads q LEFT JOIN texts ON texts.decision = q.s
+    WHERE q.p = '{v.TYPE}' AND q.value = '{v.EXPRESSION}' AND q.g = '{DECISIONS}' AND q.s NOT IN (SELECT target FROM done)"""
+
+
+def _with_containers(rows: str, resources: str, task: str) -> str:
+    quads = _annotation_quads(rows).removeprefix(f"WITH rows AS ({rows}) ")
+    containers = _container_quads(resources, task)
+    return f", rows AS ({rows}), containers AS ({containers}) {quads} UNION SELECT g, s, p, o FROM containers"
+
+
+BATCH_MODEL = (
+    f"{quads_sql(*_LABELLED)}, {_QUALITY_ENTRIES}, {_OPEN_SAME}, {_label_job(_OPEN_TEXTS, br.TASK)}"
+    + _with_containers(
+        _annotation_rows("SELECT * FROM pairs", br.TASK, _MODEL_AGENT), "SELECT decision AS resource FROM answered", br.TASK
+    )
+)
+INCREMENTAL = (
+    f"{_QUALITY_CODES}, {_label_job(f'SELECT {br.DOC} AS decision, text FROM documents', br.TASK)} "
+    + _annotation_rows("SELECT * FROM pairs", br.TASK, _MODEL_AGENT)
+)
+RANDOM_JOB = (
+    f"{quads_sql(*_LABELLED)}, {_QUALITY_ENTRIES}, {_OPEN_SAME}, todo AS ({_OPEN_TEXTS}), "
+    "lists AS (SELECT list(label ORDER BY uri, label) AS labels FROM entries), "
+    f"wanted AS (SELECT '{QUALITY}' AS scheme, decision, labels[1 + ('0x' || substr(md5(decision), 1, 8))::BIGINT % len(labels)] AS label "
+    f"FROM todo, lists WHERE trim(text) <> ''), {_resolve(True)} "
+    + _annotation_rows(
+        "SELECT DISTINCT decision AS target, uri AS body FROM wanted JOIN resolved USING (scheme, label)", br.TASK, _MODEL_AGENT
+    )
+)
+_DIGITS = ", ".join(f"('0x' || substr(md5(text), {i}, 1))::INT / 2.0 - 4.0" for i in range(1, 5))
+SCORED_JOB = (
+    f"{quads_sql(*_LABELLED)}, {_QUALITY_ENTRIES}, {_OPEN}, "
+    f"todo AS (SELECT decision, {_JOINED_TEXT} AS text FROM open {_props('decision', f'''AND X.g = '{DECISIONS}' ''')}), "
+    f"scored AS (SELECT decision, unnest({_PICK}) AS label, unnest([{_DIGITS}]) AS x FROM todo "
+    "WHERE trim(text) <> '' AND substr(md5(text), 32, 1) <> '0'), "
+    f"wanted AS (SELECT '{QUALITY}' AS scheme, decision, label FROM scored WHERE 1 / (1 + exp(-x)) >= 0.4), {_resolve(True)} "
+    + _annotation_rows(
+        "SELECT DISTINCT decision AS target, uri AS body FROM wanted JOIN resolved USING (scheme, label) WHERE uri IS NOT NULL",
+        br.TASK, _CLASSIFIER_AGENT,
+    )
+)
+_VERDICTS = f"""asked AS (SELECT annotation, concept, label, concat('Policy text: ', content, chr(10), 'Label: ', label, chr(10), chr(10), 'Provide a structured impact assessment.') AS prompt
+    FROM assessable JOIN policy USING (expression)),
+  verdicts AS (SELECT annotation, concept, label, ['positive', 'negative', 'neutral', 'uncertain', 'mixed'][1 + {_NUMBER} % 5] AS direction FROM asked),
+  firsts AS (SELECT annotation, arg_min(direction, struct_pack(a := concept, b := label, c := direction)) AS direction FROM verdicts WHERE direction <> 'mixed' GROUP BY annotation)"""
+_FIRST_URIS = "SELECT annotation, CASE direction " + " ".join(f"WHEN '{k}' THEN '{u}'" for k, u in v.IMPACT_URIS.items()) + " END AS uri FROM firsts"
+IMPACT_JOB = (
+    f"{quads_sql(*_LABELLED, 'inputs')}, {_assessable(br.IMPACT_TASK)}, {_POLICY}, {_VERDICTS}, "
+    f"containers AS ({_container_quads('SELECT annotation AS resource FROM firsts', br.IMPACT_TASK)}), {_store(_FIRST_URIS)} "
+    "UNION ALL SELECT g, s, p, o FROM containers"
+)
+STREAM_DEDUP = _annotation_rows(
+    "SELECT DISTINCT concat('http://ex/user/', user_id) AS target, concat('http://ex/event/', event_type) AS body FROM events",
+    br.TASK, _MODEL_AGENT,
+)

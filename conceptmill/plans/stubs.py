@@ -4,9 +4,11 @@ from __future__ import annotations
 
 import hashlib
 import json
+import sys
 from collections.abc import Callable
 
 import pandas as pd
+from pyspark import cloudpickle
 
 LABELS = ("High quality", "low_quality", "Tox", "nonsense")
 
@@ -122,3 +124,7 @@ def scorer_factory() -> Callable[[pd.Series], list[list[float]]]:
         return rows
 
     return score
+
+
+# The stand-ins travel to Python workers with the code that calls them.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])

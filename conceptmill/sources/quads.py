@@ -67,10 +67,12 @@ def without_graphs(quads: DataFrame, graphs: Iterable[str]) -> DataFrame:
 
 _IRI = r"<([^>]*)>"
 _NODE = r"(?:<[^>]*>|_:\S+)"
-_LITERAL = r'"(?:[^"\\]|\\.)*"'
-_LINE = (
-    rf"^\s*({_NODE})\s+({_NODE})\s+({_NODE}|{_LITERAL}(?:@[A-Za-z0-9-]+|\^\^<[^>]*>)?)\s*({_NODE})?\s*\.\s*(?:#.*)?$"
-)
+# A literal ends at the last quote that a valid rest of the line follows. The
+# patterns repeat single characters only, so texts of any length match.
+_HEAD = rf"(?s)^\s*({_NODE})\s+({_NODE})\s+(.*)$"
+_END = rf"\s*({_NODE})?\s*\.\s*(?:#.*)?$"
+_LITERAL_REST = rf'(?s)^"(.*)"(?:@([A-Za-z0-9-]+)|\^\^<([^>]*)>)?{_END}'
+_NODE_REST = rf"(?s)^({_NODE}){_END}"
 
 
 def _unescape(text: Column) -> Column:
@@ -109,22 +111,32 @@ def parse_nquads(lines: DataFrame, line: str = "value", default_graph: str = "")
     """
     text = F.col(line)
     content = lines.where(~text.rlike(r"^\s*(#.*)?$"))
-    part = [F.regexp_extract(text, _LINE, i) for i in range(1, 5)]
-    obj = part[2]
-    literal = obj.startswith('"')
-    value = F.when(literal, _unescape(F.regexp_extract(obj, rf"^\"((?:[^\"\\]|\\.)*)\"", 1))).otherwise(_node(obj))
-    lang = F.regexp_extract(obj, r'"@([A-Za-z0-9-]+)$', 1)
-    datatype = F.regexp_extract(obj, r'"\^\^<([^>]*)>$', 1)
-    subject = F.when(part[0] == "", F.raise_error(F.concat(F.lit("not an N-Quads line: "), text)).cast("string"))
-    return content.select(
-        F.when(part[3] == "", F.lit(default_graph)).otherwise(_node(part[3])).alias("g"),
-        F.coalesce(subject, _node(part[0])).alias("s"),
-        _node(part[1]).alias("p"),
+    rest = F.regexp_extract(text, _HEAD, 3)
+    literal = rest.startswith('"')
+    parts = content.select(
+        text.alias("line"),
+        F.regexp_extract(text, _HEAD, 1).alias("s"),
+        F.regexp_extract(text, _HEAD, 2).alias("p"),
+        literal.alias("literal"),
+        F.when(literal, rest.rlike(_LITERAL_REST)).otherwise(rest.rlike(_NODE_REST)).alias("valid"),
+        F.when(literal, F.regexp_extract(rest, _LITERAL_REST, 1)).otherwise(F.regexp_extract(rest, _NODE_REST, 1)).alias("o"),
+        F.when(literal, F.regexp_extract(rest, _LITERAL_REST, 2)).alias("lang"),
+        F.when(literal, F.regexp_extract(rest, _LITERAL_REST, 3)).alias("datatype"),
+        F.when(literal, F.regexp_extract(rest, _LITERAL_REST, 4)).otherwise(F.regexp_extract(rest, _NODE_REST, 2)).alias("g"),
+    )
+    refused = F.raise_error(F.concat(F.lit("not an N-Quads line: "), F.col("line"))).cast("string")
+    return parts.select(
+        F.when(F.col("g") == "", F.lit(default_graph)).otherwise(_node(F.col("g"))).alias("g"),
+        F.when(F.col("valid"), _node(F.col("s"))).otherwise(refused).alias("s"),
+        _node(F.col("p")).alias("p"),
         F.struct(
-            value.alias("value"),
-            F.when(literal, F.lit("literal")).when(obj.startswith("_:"), F.lit("bnode")).otherwise(F.lit("uri")).alias("kind"),
-            F.when(literal & (lang != ""), lang).alias("lang"),
-            F.when(literal & (datatype != ""), datatype).alias("datatype"),
+            F.when(F.col("literal"), _unescape(F.col("o"))).otherwise(_node(F.col("o"))).alias("value"),
+            F.when(F.col("literal"), F.lit("literal"))
+            .when(F.col("o").startswith("_:"), F.lit("bnode"))
+            .otherwise(F.lit("uri"))
+            .alias("kind"),
+            F.nullif(F.col("lang"), F.lit("")).alias("lang"),
+            F.nullif(F.col("datatype"), F.lit("")).alias("datatype"),
         ).alias("o"),
     )
 
