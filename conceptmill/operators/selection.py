@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterable
+from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -23,13 +24,6 @@ def task_codelists(quads: DataFrame) -> DataFrame:
     return q.first_value(jobs.join(codelists, ["g", "job"]), "task", "codelist")
 
 
-def codelist_of_task(quads: DataFrame, task: str) -> str:
-    row = task_codelists(_of_task(quads, task)).where(F.col("task") == task).first()
-    if row is None:
-        raise ValueError(f"task {task} has no codelist: its job needs one")
-    return row["codelist"]
-
-
 def _of_task(quads: DataFrame, task: str) -> DataFrame:
     """Quads without the job links of other tasks, so one lookup stays small."""
     return quads.where((F.col("p") != v.PART_OF) | (F.col("s") == task))
@@ -42,19 +36,6 @@ def task_option(quads: DataFrame, predicate: str, name: str) -> DataFrame:
     return q.first_value(jobs.join(values, "job"), "task", name)
 
 
-def option_of_task(quads: DataFrame, task: str, predicate: str) -> str | None:
-    row = task_option(_of_task(quads, task), predicate, "value").where(F.col("task") == task).first()
-    return row["value"] if row else None
-
-
-def text_path_of_task(quads: DataFrame, task: str) -> str | None:
-    """Property for the decision text, refused unless it is a web URI."""
-    path = option_of_task(quads, task, v.JOB_TEXT_PATH)
-    if path is not None and not path.startswith(("http://", "https://")):
-        raise ValueError(f"text property of task {task} is not a URI: {path!r}")
-    return path
-
-
 def task_text_paths(quads: DataFrame) -> DataFrame:
     """(task, path, valid) for all tasks with a text property."""
     return task_option(quads, v.JOB_TEXT_PATH, "path").withColumn("valid", F.col("path").rlike("^https?://"))
@@ -69,9 +50,50 @@ def task_thresholds(quads: DataFrame, default: float = v.DEFAULT_THRESHOLD) -> D
     )
 
 
-def threshold_of_task(quads: DataFrame, task: str, default: float = v.DEFAULT_THRESHOLD) -> float:
-    row = task_thresholds(_of_task(quads, task), default).where(F.col("task") == task).first()
-    return row["threshold"] if row else default
+@dataclass(frozen=True)
+class JobSettings:
+    """The options of one task's job."""
+
+    task: str
+    codelist: str
+    target_graph: str | None
+    text_path: str | None
+    threshold: float | None
+
+    def require_target_graph(self) -> str:
+        if not self.target_graph:
+            raise RuntimeError(f"task {self.task} has no target graph")
+        return self.target_graph
+
+
+_OPTIONS = (v.JOB_CODELIST, v.JOB_TARGET_GRAPH, v.JOB_TEXT_PATH, v.JOB_THRESHOLD)
+
+
+def job_settings(quads: DataFrame, task: str) -> JobSettings:
+    """All options of a task's job from one small aggregation.
+
+    A missing codelist is an error, and so is a text property that is no web URI.
+    """
+    jobs = q.rows(quads, v.PART_OF).where(F.col("s") == task)
+    jobs = jobs.select(F.col("g").alias("job_graph"), F.col("o.value").alias("job"))
+    options = q.rows(quads, _OPTIONS).select("g", F.col("s").alias("job"), "p", F.col("o.value").alias("value"))
+    found = jobs.join(options, "job")
+
+    def smallest(predicate: str, where=F.lit(True)):
+        return F.min(F.when((F.col("p") == predicate) & where, F.col("value")))
+
+    row = found.agg(
+        smallest(v.JOB_CODELIST, F.col("g") == F.col("job_graph")).alias("codelist"),
+        smallest(v.JOB_TARGET_GRAPH).alias("target_graph"),
+        smallest(v.JOB_TEXT_PATH).alias("text_path"),
+        parse_float(smallest(v.JOB_THRESHOLD)).alias("threshold"),
+    ).first()
+    if row["codelist"] is None:
+        raise ValueError(f"task {task} has no codelist: its job needs one")
+    path = row["text_path"]
+    if path is not None and not path.startswith(("http://", "https://")):
+        raise ValueError(f"text property of task {task} is not a URI: {path!r}")
+    return JobSettings(task, row["codelist"], row["target_graph"], path, row["threshold"])
 
 
 def shape_targets(quads: DataFrame) -> DataFrame:
@@ -128,21 +150,23 @@ def input_violations(quads: DataFrame) -> DataFrame:
     )
 
 
-def require_valid_inputs(quads: DataFrame, task: str) -> None:
-    """Raise when an input of the task is not an expression.
+def valid_inputs_of_task(quads: DataFrame, task: str) -> DataFrame | None:
+    """The inputs of the task, None when it has none; raises when one is no expression.
 
     The message shows some of the URIs; ``input_violations`` gives all of them.
     """
     own = quads.where((F.col("p") != v.INPUT_CONTAINER) | (F.col("s") == task))
+    inputs = task_inputs(own).select("resource")
+    if inputs.isEmpty():
+        return None
     shown = [row["resource"] for row in input_violations(own).take(20)]
     if shown:
         raise RuntimeError("not found to be expressions: " + ", ".join(shown))
+    return inputs
 
 
 def restrict_to_inputs(decisions: DataFrame, inputs: DataFrame, column: str) -> DataFrame:
-    """Keep decisions that are inputs; a task without inputs means all decisions."""
-    if inputs.isEmpty():
-        return decisions
+    """Keep decisions that are inputs. A task without inputs has no restriction."""
     return q.exists(decisions, inputs.select(F.col("resource").alias(column)), [column])
 
 

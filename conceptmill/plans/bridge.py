@@ -168,6 +168,15 @@ def _columns(rule: Rule) -> list[str]:
     ]
 
 
+def _struct(rule: Rule) -> str:
+    """The quad of a rule as a Spark SQL struct."""
+    return (
+        f"named_struct('g', {_text(rule.g)}, 's', {rule.s}, 'p', {_text(rule.p)}, 'o', named_struct("
+        f"'value', CAST({rule.o} AS STRING), 'kind', {_text(rule.kind)}, 'lang', CAST({rule.lang} AS STRING), "
+        "'datatype', CAST(NULL AS STRING)))"
+    )
+
+
 _STORES: dict[tuple[str, str], str] = {}
 _LOADED: set[tuple[str, str]] = set()
 
@@ -177,19 +186,17 @@ def _load(spark: SparkSession, sf_dir: str, group: str, root: str) -> None:
 
     Keys of the given tables are unique, so the rules give each quad once.
     """
-    tables: dict[str, DataFrame] = {}
     union = None
-    for rule in RULES[group]:
-        if rule.table not in tables:
-            tables[rule.table] = table(spark, sf_dir, rule.table)
-        rows = tables[rule.table].where(rule.where).selectExpr(*_columns(rule))
-        rows = rows.distinct() if rule.distinct else rows
-        rows = rows.selectExpr(
-            "g", "s", "p",
-            "named_struct('value', CAST(value AS STRING), 'kind', kind, 'lang', CAST(lang AS STRING), "
-            "'datatype', CAST(NULL AS STRING)) AS o",
-        )
-        union = rows if union is None else union.unionByName(rows)
+    for name in dict.fromkeys(rule.table for rule in RULES[group]):
+        for distinct in (False, True):
+            rules = [rule for rule in RULES[group] if rule.table == name and rule.distinct == distinct]
+            if not rules:
+                continue
+            quads = ", ".join(f"CASE WHEN {rule.where} THEN {_struct(rule)} END" for rule in rules)
+            rows = table(spark, sf_dir, name).selectExpr(f"explode(array({quads})) AS q").where("q IS NOT NULL")
+            rows = rows.distinct() if distinct else rows
+            union = rows if union is None else union.unionByName(rows)
+    union = union.select("q.*")
     union.write.partitionBy("p").parquet(f"{root}/part={group}")
 
 

@@ -47,6 +47,18 @@ def materialised(rows: DataFrame, name: str) -> DataFrame:
     return rows.sparkSession.read.schema(rows.schema).parquet(path)
 
 
+def stored_codelist(quads: DataFrame, scheme: str) -> DataFrame:
+    """The codelist of a job as a small table of its own; an empty one is an error.
+
+    A job uses it for the prompt and for every label lookup, so it is read from
+    the quads once, and the planner knows its size.
+    """
+    codelist = materialised(lab.codelist_entries(quads, scheme), "codelist")
+    if codelist.isEmpty():
+        raise RuntimeError(f"no concepts found for concept scheme {scheme}")
+    return codelist
+
+
 def ask_model(
     requests: DataFrame,
     factory: calls.ChatFactory,
@@ -151,21 +163,19 @@ def batch_model_annotation(
     quads: DataFrame, task: str, *, factory: calls.ChatFactory | None, prompts: DataFrame, **options
 ) -> JobResult:
     """Label every decision of the task that has no annotation for its codelist yet."""
-    scheme = sel.codelist_of_task(quads, task)
-    codelist = lab.codelist_of_scheme(quads, scheme)
-    target_graph = sel.option_of_task(quads, task, v.JOB_TARGET_GRAPH)
-    path = sel.text_path_of_task(quads, task)
-    sel.require_valid_inputs(quads, task)
+    settings = sel.job_settings(quads, task)
+    scheme = settings.codelist
+    codelist = stored_codelist(quads, scheme)
     nodes, classes = sel.shape_targets_of_task(quads, task)
     decisions = sel.unannotated_decisions(
         quads,
         scheme,
-        target_graph=target_graph,
+        target_graph=settings.target_graph,
         nodes=nodes,
         classes=classes,
-        inputs=sel.inputs_of_task(quads, task),
+        inputs=sel.valid_inputs_of_task(quads, task),
     )
-    texts = txt.text_of_decisions(quads, decisions, path, default_texts(quads))
+    texts = txt.text_of_decisions(quads, decisions, settings.text_path, default_texts(quads))
     return label_decisions(
         texts.withColumn("scheme", F.lit(scheme)), codelist, task=task, factory=factory, prompts=prompts, **options
     )
@@ -182,8 +192,8 @@ def model_annotation(
     **options,
 ) -> JobResult:
     """Label one decision, annotated or not."""
-    scheme = sel.codelist_of_task(quads, task)
-    codelist = lab.codelist_of_scheme(quads, scheme)
+    scheme = sel.job_settings(quads, task).codelist
+    codelist = stored_codelist(quads, scheme)
     own = quads.where(F.col("s") == source)
     decisions = quads.sparkSession.createDataFrame([(source,)], "decision string")
     # A path may lead to other subjects, so it needs all quads.
@@ -209,19 +219,22 @@ def annotate_predictions(
     return JobResult(annotations, containers)
 
 
+def _open_texts(quads: DataFrame, task: str) -> tuple[sel.JobSettings, DataFrame]:
+    settings = sel.job_settings(quads, task)
+    graph = settings.require_target_graph()
+    inputs = sel.valid_inputs_of_task(quads, task)
+    return settings, sel.unannotated_with_text(quads, settings.codelist, graph, inputs=inputs)
+
+
 def classifier_annotation(
     quads: DataFrame, task: str, model: clf.TextClassifier, *, default_threshold: float = v.DEFAULT_THRESHOLD
 ) -> JobResult:
     """Label un-annotated decisions of the target graph with a fitted classifier."""
-    target_graph = sel.option_of_task(quads, task, v.JOB_TARGET_GRAPH)
-    if not target_graph:
-        raise RuntimeError(f"task {task} has no target graph")
     learn.check_problem_type(model.problem)
-    scheme = sel.codelist_of_task(quads, task)
-    codelist = lab.codelist_of_scheme(quads, scheme)
-    threshold = sel.threshold_of_task(quads, task, default_threshold)
-    sel.require_valid_inputs(quads, task)
-    texts = sel.unannotated_with_text(quads, scheme, target_graph, inputs=sel.inputs_of_task(quads, task))
+    settings, texts = _open_texts(quads, task)
+    scheme = settings.codelist
+    codelist = stored_codelist(quads, scheme)
+    threshold = default_threshold if settings.threshold is None else settings.threshold
     scored = model.transform(texts.where(~is_blank(F.col("text"))))
     names = F.array(*[F.lit(name) for name in model.labels])
     predicted = pred.predict(scored, model.problem, threshold=threshold, labels=names)
@@ -238,15 +251,11 @@ def classifier_annotation_with(
     default_threshold: float = v.DEFAULT_THRESHOLD,
 ) -> JobResult:
     """The same with a user-supplied scorer; texts it fails on are in ``failed``."""
-    target_graph = sel.option_of_task(quads, task, v.JOB_TARGET_GRAPH)
-    if not target_graph:
-        raise RuntimeError(f"task {task} has no target graph")
     learn.check_problem_type(problem)
-    scheme = sel.codelist_of_task(quads, task)
-    codelist = lab.codelist_of_scheme(quads, scheme)
-    threshold = sel.threshold_of_task(quads, task, default_threshold)
-    sel.require_valid_inputs(quads, task)
-    texts = sel.unannotated_with_text(quads, scheme, target_graph, inputs=sel.inputs_of_task(quads, task))
+    settings, texts = _open_texts(quads, task)
+    scheme = settings.codelist
+    codelist = stored_codelist(quads, scheme)
+    threshold = default_threshold if settings.threshold is None else settings.threshold
     rows = texts.where(~is_blank(F.col("text"))).withColumnRenamed("decision", "id")
     scored = materialised(calls.score_texts(rows, factory), "scores").withColumnRenamed("id", "decision")
     names = F.array(*[F.lit(name) for name in labels])
@@ -269,15 +278,14 @@ class Training:
 
 def train_classifier(quads: DataFrame, task: str, **fit_options) -> Training | None:
     """Fit and evaluate a classifier on the annotated decisions; None without any."""
-    scheme = sel.codelist_of_task(quads, task)
-    codelist = lab.codelist_of_scheme(quads, scheme)
+    scheme = sel.job_settings(quads, task).codelist
+    codelist = stored_codelist(quads, scheme)
     ids = learn.label_ids(codelist).select("label", "id")
-    sel.require_valid_inputs(quads, task)
     labelled = materialised(
         sel.annotated_with_classes(
             quads,
             scheme,
-            inputs=sel.inputs_of_task(quads, task),
+            inputs=sel.valid_inputs_of_task(quads, task),
             names=lab.uri_labels(codelist),
             one_row_per_decision=True,
         ).where(F.size("classes") > 0),
@@ -315,9 +323,9 @@ class ImpactResult:
 
 def impact_requests(quads: DataFrame, task: str) -> DataFrame:
     """(expression, annotation, concept, label, lang, work, id, messages) to assess."""
-    target_graph = sel.option_of_task(quads, task, v.JOB_TARGET_GRAPH)
-    scheme = sel.codelist_of_task(quads, task)
-    expressions = sel.assessable_expressions(quads, task, scheme, target_graph)
+    settings = sel.job_settings(quads, task)
+    scheme = settings.codelist
+    expressions = sel.assessable_expressions(quads, task, scheme, settings.require_target_graph())
     pairs = expressions.join(sel.policy_labels(quads, scheme), "expression")
     return pairs.select(
         F.sha2(F.concat_ws("\u001f", "expression", "lang", "work", "annotation", "concept", "label"), 256).alias("id"),
