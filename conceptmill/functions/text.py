@@ -5,20 +5,24 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Characters for which Python's str.isspace is true.
-_BLANK = r"[\s\x1c-\x1f\x85\xa0  -     　]"
+# The characters for which Python's str.isspace is true.
+BLANKS = (
+    "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0       "
+    "         　"
+)
+_VISIBLE = r"[^\s\x1c-\x1f\x85\xa0  -     　]"
 # Characters for which Python's str.isprintable is false.
 _UNPRINTABLE = r"[\p{Cc}\p{Cf}\p{Cs}\p{Co}\p{Cn}\p{Zl}\p{Zp}\p{Zs}&&[^ ]]"
 
 
 def strip(text: Column) -> Column:
     """Remove leading and trailing blanks, Unicode blanks included."""
-    return F.regexp_replace(text, rf"^{_BLANK}+|{_BLANK}+\z", "")
+    return F.btrim(text, F.lit(BLANKS))
 
 
 def is_blank(text: Column) -> Column:
-    """True for NULL and for text without any visible character."""
-    return F.coalesce(strip(text) == "", F.lit(True))
+    """True for NULL and for text without any visible character. Looks no further than the first one."""
+    return F.coalesce(~text.rlike(_VISIBLE), F.lit(True))
 
 
 def _escaped_char(char: Column) -> Column:
@@ -51,32 +55,24 @@ def quoted(text: Column) -> Column:
 def float_text(value: Column) -> Column:
     """A double as Python prints it: fixed notation from 1e-4 up to 1e16."""
     plain = value.cast("string")
-    negative = plain.startswith("-")
-    mantissa = F.regexp_replace(F.regexp_extract(plain, r"^-?([0-9.]+)E", 1), r"\.0$", "")
-    digits = F.replace(mantissa, F.lit("."))
-    exponent = F.regexp_extract(plain, r"E(-?\d+)$", 1).cast("int")
-    width = exponent + 1
-    whole = F.concat(F.substring(F.rpad(digits, 17, "0"), F.lit(1), width), F.lit("."))
-    rest = F.when(F.length(digits) > width, F.substring(digits, width + 1, F.lit(20))).otherwise(F.lit("0"))
-    fixed = F.when(exponent >= 0, F.concat(whole, rest)).otherwise(
-        F.concat(F.lit("0."), F.repeat(F.lit("0"), -exponent - 1), digits)
-    )
+    size = F.abs(value)
+    digits = F.rtrim(plain.try_cast("decimal(38,21)").cast("string"), F.lit("0"))
+    fixed = F.when(digits.endswith("."), F.concat(digits, F.lit("0"))).otherwise(digits)
+    # Java: 1.0E-5, Python: 1e-05.
+    exponent = F.regexp_extract(plain, r"E-?(\d+)$", 1)
     power = F.concat(
-        mantissa,
-        F.when(exponent < 0, F.lit("e-")).otherwise(F.lit("e+")),
-        F.when(F.abs(exponent) < 10, F.lit("0")).otherwise(F.lit("")),
-        F.abs(exponent).cast("string"),
-    )
-    shifted = F.concat(
-        F.when(negative, F.lit("-")).otherwise(F.lit("")),
-        F.when((exponent >= -4) & (exponent < 16), fixed).otherwise(power),
+        F.regexp_replace(plain, r"(\.0)?E.*$", ""),
+        F.when(size < 1, F.lit("e-")).otherwise(F.lit("e+")),
+        F.when(F.length(exponent) < 2, F.lit("0")).otherwise(F.lit("")),
+        exponent,
     )
     return (
         F.when(F.isnan(value), F.lit("nan"))
         .when(plain == "Infinity", F.lit("inf"))
         .when(plain == "-Infinity", F.lit("-inf"))
-        .when(plain.contains("E"), shifted)
-        .otherwise(plain)
+        .when(~plain.contains("E"), plain)
+        .when((size >= 1e-4) & (size < 1e16), fixed)
+        .otherwise(power)
     )
 
 
