@@ -33,24 +33,26 @@ def bool_term(value: Column) -> Column:
 
 
 def date_term(value: Column) -> Column:
-    return _typed(F.date_format(value, "yyyy-MM-dd"), "date")
+    return _typed(value.cast("date").cast("string"), "date")
 
 
-def _clock(value: Column) -> Column:
-    micros = F.date_format(value, "SSSSSS")
-    fraction = F.when(micros == "000000", F.lit("")).otherwise(F.concat(F.lit("."), micros))
-    return F.concat(F.date_format(value, "HH:mm:ss"), fraction)
+def _parts(value: Column) -> tuple[Column, Column]:
+    """Date and time of day as text; a fraction of a second has six digits."""
+    plain = value.cast("timestamp_ntz").cast("string")
+    fraction = F.substring(plain, 20, 7)
+    fraction = F.when(fraction == "", fraction).otherwise(F.rpad(fraction, 7, "0"))
+    return F.substring(plain, 1, 10), F.concat(F.substring(plain, 12, 8), fraction)
 
 
 def time_term(value: Column) -> Column:
     """Time of day of a timestamp."""
-    return _typed(_clock(value), "time")
+    return _typed(_parts(value)[1], "time")
 
 
 def datetime_text(value: Column, zone: str | None = None) -> Column:
     """ISO text; with a zone, the UTC timestamp shown in that zone with its offset."""
     if zone is None:
-        return F.concat(F.date_format(value, "yyyy-MM-dd'T'"), _clock(value))
+        return F.concat_ws("T", *_parts(value))
     utc = value.cast("timestamp_ntz")
     local = F.convert_timezone(F.lit("UTC"), F.lit(zone), utc)
     shift = F.timestamp_diff("MINUTE", utc, local)
@@ -61,7 +63,7 @@ def datetime_text(value: Column, zone: str | None = None) -> Column:
         F.lit(":"),
         F.lpad((size % 60).cast("string"), 2, "0"),
     )
-    return F.concat(F.date_format(local, "yyyy-MM-dd'T'"), _clock(local), offset)
+    return F.concat(F.concat_ws("T", *_parts(local)), offset)
 
 
 def datetime_term(value: Column, zone: str | None = None) -> Column:

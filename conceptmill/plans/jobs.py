@@ -75,8 +75,8 @@ def ask_model(
 
     ``parse`` adds ``parse_error`` to (id, keep.., raw, call_error). A failed
     call or parse puts only that row into the next attempt, after a pause that
-    grows with the attempt. Every round of replies is written before it is
-    parsed. Returns the parsed rows and the rows that failed every attempt; the
+    grows with the attempt. Every round of replies is written with its parsed
+    form before anything else uses it. Returns the parsed rows and the rows that failed every attempt; the
     latter are an error with ``on_failure='raise'`` and a result with
     ``'quarantine'``.
     """
@@ -85,7 +85,7 @@ def ask_model(
     pending, good, bad = requests, [], None
     for attempt in range(1, attempts + 1):
         raw = calls.call_model(pending, factory, keep=keep, delay_seconds=delay_seconds, max_callers=max_callers)
-        parsed = parse(materialised(raw, f"replies-{attempt}"))
+        parsed = materialised(parse(raw), f"replies-{attempt}")
         failed = F.col("call_error").isNotNull() | F.col("parse_error").isNotNull()
         good.append(parsed.where(~failed))
         bad = parsed.where(failed)
@@ -136,8 +136,9 @@ def label_decisions(
     failed = None
     if factory is None:
         context = lab.codelist_prompt(codelist).select("scheme", "labels")
-        replies = texts.join(context, "scheme").select(
-            "scheme", "decision", F.array(prm.picked_label(F.col("labels"), F.col("decision"))).alias("classes")
+        picked = F.array(prm.picked_label(F.col("labels"), F.col("decision")))
+        replies = materialised(
+            texts.join(context, "scheme").select("scheme", "decision", picked.alias("classes")), "picked"
         )
     else:
         answered, failed = ask_model(
@@ -206,9 +207,16 @@ def model_annotation(
 def annotate_predictions(
     predicted: DataFrame, codelist: DataFrame, scheme: str, *, task: str
 ) -> JobResult:
-    """Annotations for (decision, predictions); decisions without a prediction give nothing."""
-    replies = predicted.where(F.size("predictions") > 0).select(
-        F.lit(scheme).alias("scheme"), "decision", F.col("predictions.label").alias("classes")
+    """Annotations for (decision, predictions); decisions without a prediction give nothing.
+
+    Predictions are written first: labels and decisions use them, but texts are
+    scored once.
+    """
+    replies = materialised(
+        predicted.where(F.size("predictions") > 0).select(
+            F.lit(scheme).alias("scheme"), "decision", F.col("predictions.label").alias("classes")
+        ),
+        "predictions",
     )
     fanned = lab.fan_out(replies, codelist)
     found = fanned.where(F.col("uri").isNotNull()).select(
