@@ -306,7 +306,7 @@ def unannotated_with_text(
     )
     open_ = members_without(expressions, done.withColumnRenamed("target", "decision"), "decision")
     if one_row_per_decision:
-        texts = text_per_decision(quads.where(F.col("g") == target_graph))
+        texts = text_per_decision(quads.where(F.col("g") == target_graph), open_)
         return q.optional(open_, texts, ["decision"]).select(
             "decision", F.coalesce("text", F.lit("")).alias("text")
         )
@@ -315,8 +315,11 @@ def unannotated_with_text(
     return combined.select("decision", join_nonempty(*v.TEXT_PROPERTIES).alias("text"))
 
 
-def text_per_decision(quads: DataFrame) -> DataFrame:
-    """(decision, text): all values of all text properties, in property order."""
+def text_per_decision(quads: DataFrame, decisions: DataFrame | None = None) -> DataFrame:
+    """(decision, text): all values of all text properties, in property order.
+
+    With ``decisions`` only their texts are read into the aggregation.
+    """
     found = q.rows(quads, list(v.TEXT_PROPERTIES.values())).where(F.col("o.value") != "")
     rank = F.lit(None).cast("int")
     for place, predicate in enumerate(v.TEXT_PROPERTIES.values()):
@@ -324,6 +327,8 @@ def text_per_decision(quads: DataFrame) -> DataFrame:
     pieces = found.select(
         F.col("s").alias("decision"), F.struct(rank.alias("place"), F.col("o.value").alias("value")).alias("piece")
     )
+    if decisions is not None:
+        pieces = q.exists(pieces, decisions.select("decision"), ["decision"])
     ordered = F.array_sort(F.collect_set("piece"))
     return pieces.groupBy("decision").agg(
         F.array_join(F.transform(ordered, lambda x: x["value"]), "\n").alias("text")
@@ -372,7 +377,7 @@ def annotated_with_classes(
         expressions = restrict_to_inputs(expressions, inputs, "decision")
     if one_row_per_decision:
         labelled = classes.join(expressions.select("decision").distinct(), "decision", "left_semi")
-        texts = text_per_decision(quads)
+        texts = text_per_decision(quads, labelled)
         return q.optional(labelled, texts, ["decision"]).select(
             "decision", "classes", F.coalesce("text", F.lit("")).alias("text")
         )

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from conceptmill.session import ensure_checkpoint_dir
 
-SALTS = 16
+MAX_SALTS = 128
 RANK_DIGITS = 4
 
 
@@ -20,17 +20,21 @@ def spread_join(
     how: str = "left",
     *,
     spread: Sequence[str],
-    salts: int = SALTS,
+    salts: int | None = None,
 ) -> DataFrame:
     """Equi-join rows with hot keys to a lookup side that is small per key.
 
     Every key is split over ``salts`` sub-keys by a hash of the ``spread``
-    columns; the lookup side is repeated once per sub-key. When the lookup side
+    columns; the lookup side is repeated once per sub-key. There are as many
+    sub-keys as shuffle partitions, up to ``MAX_SALTS``. When the lookup side
     turns out small, AQE still turns this into a broadcast join.
     """
+    if salts is None:
+        salts = min(MAX_SALTS, int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")))
     left = rows.withColumn("_salt", F.pmod(F.xxhash64(*spread), F.lit(salts)).cast("int"))
     right = lookup.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
-    return left.join(right, [*on, "_salt"], how).drop("_salt")
+    added = [] if how in ("left_semi", "left_anti") else [name for name in lookup.columns if name not in on]
+    return left.join(right, [*on, "_salt"], how).select(*rows.columns, *added)
 
 
 def hash_rank(rows: DataFrame, uid: str, groups: Sequence[str] = (), name: str = "rank") -> DataFrame:
@@ -91,7 +95,7 @@ def with_ordinal(rows: DataFrame, order: Sequence[str], group: str, name: str =
     placed = ordered.join(sizes, "_part").withColumn("_place", F.col("_base") + F.col("_offset"))
     starts = placed.groupBy(group).agg(F.min("_place").alias("_first"))
     return (
-        placed.join(starts, group)
+        spread_join(placed, starts, [group], "inner", spread=["_place"])
         .withColumn(name, (F.col("_place") - F.col("_first")).cast("bigint"))
         .drop("_part", "_offset", "_base", "_place", "_first")
     )

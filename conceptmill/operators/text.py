@@ -43,6 +43,7 @@ def text_by_path(quads: DataFrame, decisions: DataFrame, path: str | Sequence[st
     Values have no order in a graph; they are sorted. No value gives ''.
     """
     values = path_values(quads, path).withColumnRenamed("source", "decision")
+    values = values.join(decisions.select("decision"), "decision", "left_semi")
     texts = values.groupBy("decision").agg(
         F.array_join(F.array_sort(F.collect_list("value")), "\n").alias("text")
     )

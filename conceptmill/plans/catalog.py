@@ -19,6 +19,7 @@ from conceptmill.operators import replies as rep
 from conceptmill.operators import selection as sel
 from conceptmill.operators import text as txt
 from conceptmill.operators import writes as wr
+from conceptmill.operators.skew import spread_join
 from conceptmill.plans import bridge as br
 from conceptmill.plans import checks as sql
 from conceptmill.plans import stubs
@@ -302,9 +303,9 @@ def text_by_property(spark, sf):
 
 @query(sql.TEXT_BY_PATH)
 def text_by_path(spark, sf):
-    works = br.table(spark, sf, "documents").selectExpr("concat('http://ex/work/', source) AS decision").distinct()
-    path = [v.REALIZED_BY, [v.DECISION_BASIS, v.DESCRIPTION]]
-    return txt.text_by_path(br.quads(spark, sf, "docs"), works, path)
+    activities = br.table(spark, sf, "labels").selectExpr("concat('http://ex/activity/', doc_id) AS decision")
+    path = [v.GENERATED, [v.HAS_BODY, v.MOTIVATED_BY]]
+    return txt.text_by_path(br.quads(spark, sf, "anns"), activities, path)
 
 
 @query(sql.DECISION_TEXT)
@@ -510,13 +511,13 @@ def prompt_choice(spark, sf):
 @query(sql.PROMPT_RENDERED)
 def prompt_rendered(spark, sf):
     docs = br.table(spark, sf, "documents").selectExpr(
-        f"{br.DOC} AS decision", f"'{br.QUALITY}' AS scheme",
+        f"{br.DOC} AS decision",
         "CASE WHEN doc_id % 2 = 0 THEN concat('{code_list} ', text) ELSE text END AS text",
         "CASE WHEN doc_id % 3 = 0 THEN '{{{decision_text}}} from {code_list}{code_list}' "
         "ELSE 'Codes {code_list} for {decision_text}.' END AS template",
     )
-    lists = lab.codelist_prompt(_quality_codelist(spark, sf)).select("scheme", "code_list")
-    return docs.join(lists, "scheme").select(
+    code_list = lab.codelist_prompt(_quality_codelist(spark, sf)).select("code_list").scalar()
+    return docs.withColumn("code_list", code_list).select(
         "decision", prm.label_prompt(F.col("template"), F.col("code_list"), F.col("text")).alias("prompt")
     )
 
@@ -533,7 +534,8 @@ def impact_prompt(spark, sf):
 def random_label(spark, sf):
     lists = lab.codelist_prompt(_part_codelist(spark, sf)).select("scheme", "labels")
     parts = br.table(spark, sf, "part").selectExpr(f"{br.PART} AS decision", f"{br.BRAND} AS scheme")
-    return parts.join(lists, "scheme").select("decision", prm.picked_label(F.col("labels"), F.col("decision")).alias("label"))
+    listed = spread_join(parts, lists, ["scheme"], "inner", spread=["decision"])
+    return listed.select("decision", prm.picked_label(F.col("labels"), F.col("decision")).alias("label"))
 
 
 @query(sql.PARSE_REPLIES)

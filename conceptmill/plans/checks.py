@@ -283,13 +283,11 @@ ANNOTATION_QUADS = _annotation_quads(
 _DESCRIPTIONS = """concat_ws(chr(10), CASE WHEN doc_id % 15 = 0 THEN concat('chars: ', n_chars) END,
   CASE WHEN doc_id % 5 = 0 THEN concat('source: ', source) END)"""
 TEXT_BY_PROPERTY = f"SELECT {br.DOC} AS decision, {_DESCRIPTIONS} AS text FROM documents"
-TEXT_BY_PATH = f"""WITH vals AS (
-    SELECT source, concat('basis ', doc_id % 3) AS x FROM documents WHERE doc_id % 7 = 0
-    UNION ALL SELECT source, concat('source: ', source) FROM documents WHERE doc_id % 5 = 0
-    UNION ALL SELECT source, concat('chars: ', n_chars) FROM documents WHERE doc_id % 15 = 0),
-  works AS (SELECT DISTINCT source FROM documents)
-  SELECT concat('http://ex/work/', source) AS decision, coalesce(string_agg(x, chr(10) ORDER BY x), '') AS text
-  FROM works LEFT JOIN vals USING (source) GROUP BY source"""
+TEXT_BY_PATH = f"""WITH vals AS (SELECT doc_id, {br._QUALITY_BODY} AS x FROM labels
+    UNION ALL SELECT doc_id, '{v.IMPACT_URIS['positive']}' FROM labels WHERE doc_id % 17 = 0
+    UNION ALL SELECT doc_id, CASE WHEN doc_id % 13 = 0 THEN '{v.OA}linking' ELSE '{v.CLASSIFYING}' END FROM labels)
+  SELECT concat('http://ex/activity/', doc_id) AS decision, CASE WHEN doc_id % 3 = 0 THEN '' ELSE string_agg(x, chr(10) ORDER BY x) END AS text
+  FROM vals GROUP BY doc_id"""
 DECISION_TEXT = f"""SELECT {br.DOC} AS decision, concat_ws(chr(10), CASE WHEN doc_id % 3 <> 0 THEN source END,
   CASE WHEN doc_id % 4 = 0 THEN lang END, CASE WHEN doc_id % 5 = 0 THEN ' ' END, nullif(text, '')) AS text FROM documents"""
 TEXT_PATH_OR_DEFAULT = f"""{quads_sql('docs')}, texts AS ({_joined_values('true')})

@@ -9,7 +9,7 @@ from conceptmill.operators import writes as wr
 from conceptmill.plans import bridge as br
 from conceptmill.plans import checks as sql
 from conceptmill.plans import jobs, stubs
-from conceptmill.plans.catalog import _LABELLED, _quality_codelist, query
+from conceptmill.plans.catalog import _LABELLED, query
 from conceptmill.session import scratch_path
 from conceptmill.sources import quads as src
 from conceptmill.sources import results_json
@@ -125,13 +125,13 @@ def incremental_labelling(spark, sf):
     root = scratch_path(spark, "stream")
     docs = br.table(spark, sf, "documents").selectExpr(f"{br.DOC} AS decision", "text")
     docs.repartition(3, "decision").write.parquet(f"{root}/in")
-    codelist = _quality_codelist(spark, sf)
+    codelist = jobs.stored_codelist(br.quads(spark, sf, "concepts"), br.QUALITY)
     arriving = spark.readStream.schema(docs.schema).option("maxFilesPerTrigger", 1).parquet(f"{root}/in")
 
     def label(batch):
         return jobs.label_decisions(
-            batch.withColumn("scheme", F.lit(br.QUALITY)), codelist, task=br.TASK, factory=stubs.chat_factory,
-            prompts=_no_prompts(spark), attempts=1, on_failure="quarantine",
+            batch, codelist, br.QUALITY, task=br.TASK, factory=stubs.chat_factory, prompts=_no_prompts(spark),
+            attempts=1, on_failure="quarantine",
         )
 
     stream = inc.label_stream(

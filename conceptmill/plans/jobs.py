@@ -105,21 +105,24 @@ def ask_model(
 
 
 def label_requests(decisions: DataFrame, codelist: DataFrame, prompts: DataFrame) -> DataFrame:
-    """(id, scheme, system_message, user_message) for (scheme, decision, text)."""
-    lists = lab.codelist_prompt(codelist)
-    chosen = prm.prompts_for_schemes(codelist, prompts)
-    context = lists.join(chosen, "scheme")
-    return decisions.join(context, "scheme").select(
+    """(id, system_message, user_message) for (decision, text) and a codelist of one scheme.
+
+    Prompt and code list are one row, attached as a scalar: all decisions share
+    the scheme, so a join on it would send them all to one task.
+    """
+    context = lab.codelist_prompt(codelist).join(prm.prompts_for_schemes(codelist, prompts), "scheme")
+    row = context.select(F.struct("system_message", "user_message", "code_list").alias("row")).scalar()
+    return decisions.withColumn("context", row).select(
         F.col("decision").alias("id"),
-        "scheme",
-        "system_message",
-        prm.label_prompt(F.col("user_message"), F.col("code_list"), F.col("text")).alias("user_message"),
+        F.col("context.system_message").alias("system_message"),
+        prm.label_prompt(F.col("context.user_message"), F.col("context.code_list"), F.col("text")).alias("user_message"),
     )
 
 
 def label_decisions(
     decisions: DataFrame,
     codelist: DataFrame,
+    scheme: str,
     *,
     task: str,
     factory: calls.ChatFactory | None,
@@ -127,7 +130,7 @@ def label_decisions(
     accept_bare_list: bool = False,
     **model_options,
 ) -> JobResult:
-    """Label (scheme, decision, text) with a model; blank texts are skipped.
+    """Label (decision, text) with a model; blank texts are skipped.
 
     Without a ``factory`` each decision gets a label fixed by its URI, which
     serves tests. All decisions go through the same plan at once.
@@ -135,31 +138,23 @@ def label_decisions(
     texts = decisions.where(~is_blank(F.col("text")))
     failed = None
     if factory is None:
-        context = lab.codelist_prompt(codelist).select("scheme", "labels")
-        picked = F.array(prm.picked_label(F.col("labels"), F.col("decision")))
-        replies = materialised(
-            texts.join(context, "scheme").select("scheme", "decision", picked.alias("classes")), "picked"
-        )
+        labels = lab.codelist_prompt(codelist).select("labels").scalar()
+        picked = texts.select("decision", F.array(prm.picked_label(labels, F.col("decision"))).alias("classes"))
+        answered = materialised(picked.withColumnRenamed("decision", "id"), "picked")
     else:
         answered, failed = ask_model(
             label_requests(texts, codelist, prompts),
             factory,
             lambda rows: rep.parse_replies(rows, accept_bare_list=accept_bare_list),
-            keep=["scheme"],
             **model_options,
         )
-        replies = answered.select("scheme", F.col("id").alias("decision"), "classes")
+    replies = answered.select(F.lit(scheme).alias("scheme"), F.col("id").alias("decision"), "classes")
     fanned = lab.fan_out(replies, codelist)
     annotations = wr.annotation_rows(wr.with_no_match(fanned, replies), task=task, agent=v.AGENTS["model_annotator"])
     containers = wr.output_containers(replies.select(F.col("decision").alias("resource")), task)
     return JobResult(annotations, containers, failed)
 
 
-def default_texts(quads: DataFrame) -> DataFrame:
-    """(decision, text): the content of each decision."""
-    return sel.text_per_decision(quads)
-
-
 def batch_model_annotation(
     quads: DataFrame, task: str, *, factory: calls.ChatFactory | None, prompts: DataFrame, **options
 ) -> JobResult:
@@ -176,10 +171,9 @@ def batch_model_annotation(
         classes=classes,
         inputs=sel.valid_inputs_of_task(quads, task),
     )
-    texts = txt.text_of_decisions(quads, decisions, settings.text_path, default_texts(quads))
-    return label_decisions(
-        texts.withColumn("scheme", F.lit(scheme)), codelist, task=task, factory=factory, prompts=prompts, **options
-    )
+    default = sel.text_per_decision(quads, decisions)
+    texts = txt.text_of_decisions(quads, decisions, settings.text_path, default)
+    return label_decisions(texts, codelist, scheme, task=task, factory=factory, prompts=prompts, **options)
 
 
 def model_annotation(
@@ -198,10 +192,8 @@ def model_annotation(
     own = quads.where(F.col("s") == source)
     decisions = quads.sparkSession.createDataFrame([(source,)], "decision string")
     # A path may lead to other subjects, so it needs all quads.
-    texts = txt.text_of_decisions(quads if path else own, decisions, path, default_texts(own))
-    return label_decisions(
-        texts.withColumn("scheme", F.lit(scheme)), codelist, task=task, factory=factory, prompts=prompts, **options
-    )
+    texts = txt.text_of_decisions(quads if path else own, decisions, path, sel.text_per_decision(own))
+    return label_decisions(texts, codelist, scheme, task=task, factory=factory, prompts=prompts, **options)
 
 
 def annotate_predictions(

@@ -32,11 +32,14 @@ def read_table_or_empty(spark: SparkSession, path: str, schema: str) -> DataFram
 def write_quads(quads: DataFrame, path: str, partition_by: Iterable[str] = PARTITIONS) -> None:
     """Write a new quad table. A graph is a set, so equal quads are written once.
 
-    The shuffle of the de-duplication spreads each predicate over all tasks.
-    AQE joins small pieces, so a predicate of any size becomes a fitting number
-    of files.
+    The rebalance puts rare predicates into one file and lets AQE split frequent
+    ones into files of the advised size.
     """
-    quads.select(*_KEYS).distinct().write.mode("error").partitionBy(*partition_by).parquet(path)
+    _balanced(quads.select(*_KEYS).distinct(), partition_by).write.mode("error").partitionBy(*partition_by).parquet(path)
+
+
+def _balanced(quads: DataFrame, partition_by: Iterable[str]) -> DataFrame:
+    return quads.hint("rebalance", *partition_by)
 
 
 def missing_quads(new: DataFrame, existing: DataFrame) -> DataFrame:
@@ -44,7 +47,8 @@ def missing_quads(new: DataFrame, existing: DataFrame) -> DataFrame:
 
     Terms are compared null-safe: an untagged literal equals an untagged one.
     """
-    key = F.to_json(F.col("o"))
+    # A digest stands for the term, so stored texts stay out of the shuffle.
+    key = F.sha2(F.to_json(F.col("o")), 256)
     fresh = new.select(*_KEYS).distinct().withColumn("_o", key)
     stored = existing.select("g", "s", "p", key.alias("_o"))
     on = ["g", "s", "p", "_o"]
@@ -55,7 +59,7 @@ def missing_quads(new: DataFrame, existing: DataFrame) -> DataFrame:
 def append_quads(new: DataFrame, path: str, partition_by: Iterable[str] = PARTITIONS) -> None:
     """Add quads to a table; those already there are left alone."""
     existing = read_table_or_empty(new.sparkSession, path, q.QUAD_SCHEMA)
-    missing_quads(new, existing).write.mode("append").partitionBy(*partition_by).parquet(path)
+    _balanced(missing_quads(new, existing), partition_by).write.mode("append").partitionBy(*partition_by).parquet(path)
 
 
 def without_graphs(quads: DataFrame, graphs: Iterable[str]) -> DataFrame:
