@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from conceptmill.session import ensure_checkpoint_dir
 
-MAX_SALTS = 128
+MAX_SALTS = 32
 RANK_DIGITS = 4
 
 

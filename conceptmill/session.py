@@ -23,6 +23,8 @@ def build_session(app: str = "conceptmill", master: str | None = None, **conf: s
         "spark.sql.adaptive.coalescePartitions.enabled": "true",
         "spark.sql.session.timeZone": "UTC",
         "spark.sql.sources.partitionOverwriteMode": "dynamic",
+        # Prompts and texts are long; a batch of the default 10,000 rows would not fit.
+        "spark.sql.execution.arrow.maxRecordsPerBatch": "512",
         "spark.ui.enabled": "false",
     }
     for key, value in {**defaults, **conf}.items():
