@@ -74,37 +74,40 @@ def split_global(decisions: DataFrame) -> DataFrame:
     """(decision, split): a tenth of the distinct decisions, rounded up, is the test set."""
     ranked = hash_rank(decisions.select("decision").distinct(), "decision")
     total = decisions.select(F.count_distinct("decision").alias("n")).scalar()
-    quota = F.ceil(total * TEST_SHARE_TENTHS / 10)
-    return ranked.select(
-        "decision", F.when(F.col("rank") <= quota, F.lit("test")).otherwise(F.lit("train")).alias("split")
+    return ranked.withColumn("total", total).select(
+        "decision",
+        F.when(F.col("rank") <= F.expr(f"(total * {TEST_SHARE_TENTHS} + 9) div 10"), F.lit("test"))
+        .otherwise(F.lit("train"))
+        .alias("split"),
     )
 
 
 def stratified_quotas(labelled: DataFrame) -> DataFrame:
-    """(id, n, quota): how many decisions of each label go to the test set.
+    """(id, n, quota, possible): how many decisions of each label go to the test set.
 
     Shares are rounded down; what is missing to the tenth of all goes to the
     labels with the largest remainders. One row per label of the codelist.
     """
     counts = labelled.select("decision", "id").distinct().groupBy("id").agg(F.count(F.lit(1)).alias("n"))
     whole = Window.partitionBy(F.lit(0))
+    # Counts multiply beyond 64 bits when there are billions of decisions.
+    wide = "CAST(test AS DECIMAL(19, 0)) * CAST(n AS DECIMAL(19, 0))"
+    labels = F.count(F.lit(1)).over(whole)
     shares = (
         counts.withColumn("total", F.sum("n").over(whole))
-        .withColumn("test", F.ceil(F.col("total") * TEST_SHARE_TENTHS / 10))
-        .withColumn("down", F.floor(F.col("test") * F.col("n") / F.col("total")))
-        .withColumn("left", F.col("test") * F.col("n") - F.col("down") * F.col("total"))
+        .withColumn("test", F.expr(f"(total * {TEST_SHARE_TENTHS} + 9) div 10"))
+        .withColumn("down", F.expr(f"{wide} div total"))
+        .withColumn("left", F.expr(f"{wide} % total"))
         .withColumn("missing", F.col("test") - F.sum("down").over(whole))
         .withColumn("place", F.row_number().over(whole.orderBy(F.desc("left"), "id")))
+        # The conditions under which a stratified split can exist.
+        .withColumn(
+            "possible",
+            (F.min("n").over(whole) >= 2) & (F.col("test") >= labels) & (F.col("total") - F.col("test") >= labels),
+        )
     )
-    return shares.select(
-        "id", "n", (F.col("down") + (F.col("place") <= F.col("missing")).cast("bigint")).alias("quota"),
-        # The same conditions under which stratification is refused elsewhere.
-        (
-            (F.min("n").over(whole) >= 2)
-            & (F.col("test") >= F.count(F.lit(1)).over(whole))
-            & (F.col("total") - F.col("test") >= F.count(F.lit(1)).over(whole))
-        ).alias("possible"),
-    )
+    extra = (F.col("place") <= F.col("missing")).cast("bigint")
+    return shares.select("id", "n", (F.col("down") + extra).alias("quota"), "possible")
 
 
 def split_stratified(labelled: DataFrame) -> DataFrame:

@@ -8,6 +8,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 
 from conceptmill import vocab as v
@@ -213,7 +214,15 @@ def quads(spark: SparkSession, sf_dir: str, *groups: str) -> DataFrame:
             _load(spark, sf_dir, group, root)
             _LOADED.add((root, group))
     paths = [f"{root}/part={group}" for group in groups]
-    return spark.read.schema(QUAD_SCHEMA).option("basePath", root).parquet(*paths).select("g", "s", "p", "o")
+    try:
+        stored = spark.read.schema(QUAD_SCHEMA).option("basePath", root).parquet(*paths)
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        # The shared folder was cleared in between.
+        del _STORES[session]
+        return quads(spark, sf_dir, *groups)
+    return stored.select("g", "s", "p", "o")
 
 
 def quads_sql(*groups: str) -> str:

@@ -29,7 +29,7 @@ REPLY_SQL = (
     f"WHEN 2 THEN concat('I think ', {_OBJECT}, ' fits') "
     f"WHEN 3 THEN {_CLASSES} "
     f"WHEN 4 THEN {_only('[1, 2]')} "
-    f"WHEN 5 THEN concat('no json in ', substr(text, 1, 600)) "
+    f"WHEN 5 THEN concat('no json in ', text) "
     f"WHEN 6 THEN {_only('[]')} "
     f"WHEN 7 THEN concat('  ', {_NL}, {_OBJECT}, {_NL}, ' ') "
     f"WHEN 8 THEN {_only('[null]')} "

@@ -66,6 +66,27 @@ def test_stratified_split(spark):
     assert sorted(got) == sorted(again)
 
 
+def test_quotas_of_billions(spark):
+    counts = spark.createDataFrame([(0, 40_000_000_000), (1, 60_000_000_007)], "id bigint, n bigint")
+
+    class Many:
+        """Stands for a labelled table with these counts."""
+
+        def select(self, *_):
+            return self
+
+        distinct = select
+
+        def groupBy(self, *_):
+            return self
+
+        def agg(self, *_):
+            return counts
+
+    got = rows(learn.stratified_quotas(Many()), "id", "quota")
+    assert got == [(0, 4_000_000_000), (1, 6_000_000_001)]
+
+
 def test_split_falls_back_when_a_label_is_too_small(spark):
     got = learn.split_stratified(labelled_rows(spark, {0: 40, 1: 1})).collect()
     assert sum(r["split"] == "test" for r in got) == 5
