@@ -394,7 +394,7 @@ MODEL_METADATA = _metadata()
 _METRIC_LINE = "concat(" + ", ' | ', ".join(f"'{n.capitalize()}: ', format('{{:.4f}}', {n})" for n in METRICS) + ")"
 MODEL_REPORT = f"""{_MODELS}, names AS (SELECT model_id, count(*) AS n, string_agg(concat('- `', name, '`'), chr(10) ORDER BY name) AS listed
   FROM (SELECT DISTINCT concat('demo/model-', vec_id % 4) AS model_id, concat('label ', label) AS name FROM embeddings) GROUP BY model_id)
-  SELECT model_id, concat_ws(chr(10), '---', 'tags:', '- text-classification', '- codelist-labeling', 'base_model: base/encoder', '---', '',
+  SELECT model_id, concat_ws(chr(10), '---', 'tags:', '- text-classification', '- concepts', 'base_model: base/encoder', '---', '',
     concat('# ', model_id), '', 'Fine-tuned from `base/encoder` for codelist classification.', '', concat('## Labels (', n, ')'), listed, '',
     '## Metrics', {_METRIC_LINE}, '', '## Training info', '- Base model: `base/encoder`', concat('- Code commit: `', sha, '`'),
     '- Trained: 2024-03-01', '') AS report FROM models JOIN names USING (model_id)"""
