@@ -72,11 +72,14 @@ def annotation_stream(
     checkpoint: str,
     event_time: str | None = None,
     delay: str = "1 hour",
+    state_partitions: int | None = None,
 ) -> StreamingQuery:
     """Store a stream of annotation rows without duplicates.
 
     With an event time the stream forgets keys older than the delay, which
     bounds its state; repetitions that arrive later meet the table's own check.
+    ``state_partitions`` sets the number of state partitions, which stays fixed
+    for the life of the checkpoint; the default is that of the session.
     """
     keys = list(ANNOTATION_KEY)
     if event_time:
@@ -84,10 +87,17 @@ def annotation_stream(
     else:
         unique = arriving.dropDuplicates(keys)
     names = [part.split()[0] for part in ANNOTATION_SCHEMA.split(", ")]
-    return (
+    writer = (
         unique.select(*names)
         .writeStream.foreachBatch(lambda batch, _: append_annotations(batch, annotations_path))
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
-        .start()
     )
+    conf = arriving.sparkSession.conf
+    before = conf.get("spark.sql.shuffle.partitions")
+    try:
+        # A stream keeps the settings with which it starts.
+        conf.set("spark.sql.shuffle.partitions", str(state_partitions or before))
+        return writer.start()
+    finally:
+        conf.set("spark.sql.shuffle.partitions", before)
