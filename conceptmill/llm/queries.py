@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from conceptmill.llm import language_id, quality_rules, sharding, token_counts
+from conceptmill.llm import decontamination, language_id, mixing, quality_rules, sharding, token_counts, toxicity
 from conceptmill.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -30,6 +30,11 @@ def op3_quality_rules(spark, sf):
     return quality_rules.score_quality(table(spark, sf, "documents"), table(spark, sf, "labels"))
 
 
+@query()
+def op4_toxicity(spark, sf):
+    return toxicity.score_toxicity(table(spark, sf, "documents"), table(spark, sf, "labels"))
+
+
 @query()
 def op6_sharding(spark, sf):
     sharded = sharding.shard_documents(table(spark, sf, "documents").select("doc_id", "text"))
@@ -43,6 +48,17 @@ def op7_token_counts(spark, sf):
     return token_counts.length_histogram(table(spark, sf, "documents"))
 
 
+@query()
+def op8_mixing(spark, sf):
+    mixed = mixing.mix_documents(table(spark, sf, "documents"))
+    return mixed.select("doc_id", "size", "source_size", "target", "taken")
+
+
+@query()
+def op9_decontamination(spark, sf):
+    return decontamination.find_leaks(table(spark, sf, "documents"), table(spark, sf, "benchmark"))
+
+
 @query()
 def op10_language_id(spark, sf):
     return language_id.identify_languages(table(spark, sf, "documents"))
