@@ -90,3 +90,33 @@ def written(df: DataFrame, name: str) -> DataFrame:
     path = scratch_path(df.sparkSession, name)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def bit_filter(values: DataFrame, bits: int) -> np.ndarray:
+    """Bits set at two places of every value of the one column, a 64-bit hash.
+
+    64 bits a row, so at most 2^(bits - 6) rows reach the driver, whatever the input.
+    """
+    low, name = (1 << bits) - 1, values.columns[0]
+    places = F.array(F.col(name).bitwiseAND(low), F.shiftrightunsigned(name, bits).bitwiseAND(low))
+    rows = (
+        values.select(F.explode(places).alias("place"))
+        .groupBy(F.shiftright("place", 6).cast("int").alias("at"))
+        .agg(F.bit_or(F.expr("shiftleft(1L, cast(place & 63 AS INT))")).alias("bits"))
+        .toPandas()
+    )
+    packed = np.zeros(1 << (bits - 6), np.int64)
+    packed[rows["at"].to_numpy(np.int64)] = rows["bits"].to_numpy(np.int64)
+    return packed.view(np.uint64)
+
+
+def may_hold(packed: np.ndarray, values: np.ndarray) -> np.ndarray:
+    """Which of the unsigned values may be in the filter; false only for those that are not."""
+    bits = (packed.size * 64).bit_length() - 1
+    low = np.uint64((1 << bits) - 1)
+
+    def held(place: np.ndarray) -> np.ndarray:
+        at = (place >> np.uint64(6)).astype(np.int64)
+        return (packed[at] >> (place & np.uint64(63))) & np.uint64(1) > 0
+
+    return held(values & low) & held((values >> np.uint64(bits)) & low)

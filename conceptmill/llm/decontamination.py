@@ -10,7 +10,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from conceptmill.llm.common import WordHashes, in_chunks, raw_texts, written
+from conceptmill.llm.common import WordHashes, bit_filter, in_chunks, may_hold, raw_texts, written
 
 # Positions of a window that count (1) and that may differ (0).
 MASKS = ("11101011011", "11011001111", "10110111101")
@@ -44,11 +44,6 @@ def seeds_of(hashes: np.ndarray, mask: int) -> np.ndarray:
     return sums ^ (sums >> np.uint64(32))
 
 
-def probes(seeds: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    low = np.uint64((1 << FILTER_BITS) - 1)
-    return (seeds & low).astype(np.int64), ((seeds >> np.uint64(FILTER_BITS)) & low).astype(np.int64)
-
-
 def _item_seeds(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     memory = WordHashes()
     for batch in batches:
@@ -79,26 +74,6 @@ def _items(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         )
 
 
-def seed_filter(seeds: DataFrame) -> np.ndarray:
-    """Bits at two places of every seed. 64 bits a row, so 2^20 rows at most reach the driver."""
-    low = (1 << FILTER_BITS) - 1
-    places = seeds.select(
-        F.explode(
-            F.array(
-                F.col("seed").bitwiseAND(low), F.shiftrightunsigned("seed", FILTER_BITS).bitwiseAND(low)
-            )
-        ).alias("place")
-    )
-    bits = (
-        places.groupBy(F.shiftright("place", 6).cast("int").alias("at"))
-        .agg(F.bit_or(F.expr("shiftleft(1L, cast(place & 63 AS INT))")).alias("bits"))
-        .toPandas()
-    )
-    packed = np.zeros(1 << (FILTER_BITS - 6), np.int64)
-    packed[bits["at"].to_numpy(np.int64)] = bits["bits"].to_numpy(np.int64)
-    return packed.view(np.uint64)
-
-
 def seed_hits(docs: DataFrame, packed: np.ndarray) -> DataFrame:
     """(doc_id, doc_key, doc_words, seeds, places) of documents with a window in the filter."""
     bits = docs.sparkSession.sparkContext.broadcast(packed)
@@ -106,9 +81,6 @@ def seed_hits(docs: DataFrame, packed: np.ndarray) -> DataFrame:
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         memory, table = WordHashes(), bits.value
 
-        def held(place: np.ndarray) -> np.ndarray:
-            return (table[place >> 6] >> (place & 63).astype(np.uint64)) & np.uint64(1) > 0
-
         for batch in batches:
             texts = raw_texts(batch.column(1))
             for part in in_chunks(texts):
@@ -120,9 +92,7 @@ def seed_hits(docs: DataFrame, packed: np.ndarray) -> DataFrame:
                 hits: dict[int, list[tuple[int, int]]] = {}
                 for mask in range(len(MASKS)):
                     seeds = seeds_of(hashes, mask)
-                    first, second = probes(seeds)
-                    some = np.flatnonzero(held(first))
-                    some = some[held(second[some]) & (owner[some] == last[some])]
+                    some = np.flatnonzero(may_hold(table, seeds) & (owner == last))
                     for at, seed in zip(some.tolist(), seeds[some].view(np.int64).tolist(), strict=True):
                         doc = int(owner[at])
                         hits.setdefault(doc, []).append((seed, at - int(ends[doc]) + len(found[doc])))
@@ -206,7 +176,7 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
         unique_items.select("item_words").mapInArrow(_item_seeds, "item_key binary, seed bigint, item_at bigint"),
         "benchmark-seeds",
     )
-    hits = written(seed_hits(docs, seed_filter(seeds)), "seed-hits")
+    hits = written(seed_hits(docs, bit_filter(seeds.select("seed"), FILTER_BITS)), "seed-hits")
     unique_docs = hits.groupBy("doc_key").agg(
         F.first("doc_words").alias("doc_words"), F.first("seeds").alias("seeds"), F.first("places").alias("places")
     )

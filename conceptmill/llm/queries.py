@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from conceptmill.llm import decontamination, language_id, mixing, quality_rules, sharding, token_counts, toxicity
+from conceptmill.llm import decontamination, language_id, mixing, ngram_join, quality_rules, sharding, token_counts, toxicity
 from conceptmill.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -35,6 +35,11 @@ def op4_toxicity(spark, sf):
     return toxicity.score_toxicity(table(spark, sf, "documents"), table(spark, sf, "labels"))
 
 
+@query()
+def op5_ngram_join(spark, sf):
+    return ngram_join.link_documents(table(spark, sf, "documents"))
+
+
 @query()
 def op6_sharding(spark, sf):
     sharded = sharding.shard_documents(table(spark, sf, "documents").select("doc_id", "text"))
