@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from conceptmill.llm import decontamination, language_id, mixing, ngram_join, quality_rules, sharding, token_counts, toxicity
+from conceptmill.llm import decontamination, language_id, lm_scoring, mixing, ngram_join, quality_rules, sharding, token_counts, toxicity
 from conceptmill.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -25,6 +25,11 @@ def query(check: str | None = None) -> Callable[[Query], Query]:
     return register
 
 
+@query()
+def op1_lm_scoring(spark, sf):
+    return lm_scoring.score_texts(table(spark, sf, "documents"))
+
+
 @query()
 def op3_quality_rules(spark, sf):
     return quality_rules.score_quality(table(spark, sf, "documents"), table(spark, sf, "labels"))
