@@ -99,6 +99,29 @@ def log_ratios(docs: DataFrame, labels: DataFrame, limit: int = MAX_TRUSTED) ->
     return np.log((target + 1) / (target.sum() + BUCKETS)) - np.log((raw + 1) / (raw.sum() + BUCKETS))
 
 
+def _schema(docs: DataFrame) -> str:
+    doc_id = docs.schema["doc_id"].dataType.simpleString()
+    return f"doc_id {doc_id}, {', '.join(f'{c} bigint' for c in BASE)}, llr double, base_failed boolean, kept boolean"
+
+
+def _measures(column: pa.Array, memory: Words, ratios: np.ndarray, threshold: float) -> list[pa.Array]:
+    """Base measures, log ratio, base_failed and kept of a column of texts."""
+    rows, llr = [], []
+    points = pc.fill_null(pc.utf8_length(column), 0).to_pylist()
+    for text, length in zip(raw_texts(column), points, strict=True):
+        ids, hashes = memory.of(text.split())
+        lines = [line for line in text.split(b"\n") if line.strip()]
+        spaces = len(text) - len(text.translate(None, SPACE_BYTES))
+        symbols = len(text) - len(text.translate(None, SYMBOLS))
+        rows.append((ids.size, length - spaces, symbols, len(lines) - len(set(lines)), repeated_words(ids)))
+        grams = ngram_buckets(hashes)
+        llr.append(float(ratios[grams].mean()) if grams.size else 0.0)
+    base = np.array(rows, np.int64).reshape(-1, len(BASE))
+    ratio = np.array(llr, float)
+    failed = (base[:, 0] < MIN_WORDS) | (100 * base[:, 4] > 50 * base[:, 0])
+    return [*map(pa.array, base.T), pa.array(ratio), pa.array(failed), pa.array(~failed & (ratio >= threshold))]
+
+
 def score_quality(
     docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD, limit: int = MAX_TRUSTED
 ) -> DataFrame:
@@ -116,26 +139,26 @@ def score_quality(
     model = docs.sparkSession.sparkContext.broadcast(log_ratios(docs, labels, limit))
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        memory, ratios = Words(), model.value
+        memory = Words()
         for batch in batches:
-            rows, llr = [], []
-            points = pc.fill_null(pc.utf8_length(batch.column(1)), 0).to_pylist()
-            for text, length in zip(raw_texts(batch.column(1)), points, strict=True):
-                ids, hashes = memory.of(text.split())
-                lines = [line for line in text.split(b"\n") if line.strip()]
-                spaces = len(text) - len(text.translate(None, SPACE_BYTES))
-                symbols = len(text) - len(text.translate(None, SYMBOLS))
-                rows.append((ids.size, length - spaces, symbols, len(lines) - len(set(lines)), repeated_words(ids)))
-                grams = ngram_buckets(hashes)
-                llr.append(float(ratios[grams].mean()) if grams.size else 0.0)
-            base = np.array(rows, np.int64).reshape(-1, len(BASE))
-            failed = (base[:, 0] < MIN_WORDS) | (100 * base[:, 4] > 50 * base[:, 0])
-            ratio = np.array(llr, float)
+            measured = _measures(batch.column(1), memory, model.value, threshold)
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), *map(pa.array, base.T), pa.array(ratio), pa.array(failed), pa.array(~failed & (ratio >= threshold))],
-                names=["doc_id", *BASE, "llr", "base_failed", "kept"],
+                [batch.column(0), *measured], names=["doc_id", *BASE, "llr", "base_failed", "kept"]
             )
 
-    doc_id = docs.schema["doc_id"].dataType.simpleString()
-    schema = f"doc_id {doc_id}, {', '.join(f'{c} bigint' for c in BASE)}, llr double, base_failed boolean, kept boolean"
-    return docs.select("doc_id", "text").mapInArrow(score, schema)
+    return docs.select("doc_id", "text").mapInArrow(score, _schema(docs))
+
+
+def keep_good(
+    docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD, limit: int = MAX_TRUSTED
+) -> DataFrame:
+    """Rows of ``docs`` that score_quality keeps, with all their columns, in one pass without a join."""
+    model = docs.sparkSession.sparkContext.broadcast(log_ratios(docs, labels, limit))
+    at = docs.columns.index("text")
+
+    def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        memory = Words()
+        for batch in batches:
+            yield batch.filter(_measures(batch.column(at), memory, model.value, threshold)[-1])
+
+    return docs.mapInArrow(keep, docs.schema)
