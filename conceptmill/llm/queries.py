@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from conceptmill.llm import decontamination, language_id, lm_scoring, mixing, ngram_join, quality_rules, sharding, token_counts, toxicity
+from conceptmill.llm import decontamination, language_id, lm_scoring, mixing, ngram_join, pii, quality_rules, sharding, token_counts, toxicity
 from conceptmill.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -30,6 +30,16 @@ def op1_lm_scoring(spark, sf):
     return lm_scoring.score_texts(table(spark, sf, "documents"))
 
 
+@query()
+def op2_pii(spark, sf):
+    found = pii.find_personal_data(table(spark, sf, "documents"))
+    base = F.filter("spans", lambda s: s["in_base"])
+    counts = [pii.number_of(base, kind).alias(f"n_{kind}") for kind in pii.KINDS[:4]]
+    return found.select(
+        "doc_id", *counts, F.sha2(pii.joined(base), 256).alias("base_sha256"), pii.joined(F.col("spans")).alias("spans")
+    )
+
+
 @query()
 def op3_quality_rules(spark, sf):
     return quality_rules.score_quality(table(spark, sf, "documents"), table(spark, sf, "labels"))
