@@ -170,38 +170,40 @@ def voted(found: DataFrame) -> DataFrame:
     )
 
 
+def _marks() -> Column:
+    """Numbers of what holds for a candidate: three for each labeler's vote, then one for each kind."""
+    votes = [F.col(name) + 3 * i + 1 for i, name in enumerate(LABELERS)]
+    return F.array(*votes, F.col("kind_no") + 3 * len(LABELERS))
+
+
 def reliabilities(patterns: DataFrame, rounds: int = EM_ROUNDS) -> Column:
     """Log odds that a candidate is personal data, by expectation-maximisation over the votes.
 
     ``patterns`` has a row for each combination of kind, votes and length (a few thousand at
-    most) with its number n. A labeler gives each vote with a probability that depends on
-    the hidden truth, alike for all kinds; kinds have shares of their own. The first guess is
-    the majority. An M step is one aggregation, an E step an expression with its results.
+    most) with its number n and its ``marks``. A labeler gives each vote with a probability
+    that depends on the hidden truth, alike for all kinds; kinds have shares of their own. The
+    first guess is the majority. An E step adds up the weights of a combination's marks, an
+    M step is one aggregation by mark (a fixed number of them).
     """
-    odds: Column = F.lit(0.0)
-    for labeler in LABELERS:
-        odds = odds + F.col(labeler).cast("double")
+    first_kind = 3 * len(LABELERS)
+    weights = [float(i % 3 - 1) for i in range(first_kind)] + [0.0] * len(KINDS)
+
+    def odds() -> Column:
+        table = F.array(*map(F.lit, weights))
+        return F.aggregate("marks", F.lit(0.0), lambda total, mark: total + F.element_at(table, mark + 1))
+
     for _ in range(rounds):
-        p = 1 / (1 + F.exp(-odds))
-        sums = [F.sum(F.col("n") * w).alias(f"t_{y}") for y, w in (("1", p), ("0", 1 - p))]
-        for y, w in (("1", p), ("0", 1 - p)):
-            for labeler in LABELERS:
-                for vote in (-1, 0, 1):
-                    name = f"{labeler}_{vote + 1}_{y}"
-                    sums.append(F.sum(F.when(F.col(labeler) == vote, F.col("n") * w).otherwise(0.0)).alias(name))
-            for k in range(len(KINDS)):
-                sums.append(F.sum(F.when(F.col("kind_no") == k, F.col("n") * w).otherwise(0.0)).alias(f"kind_{k}_{y}"))
-        seen = patterns.agg(*sums).first().asDict()
-        seen = {k: v or 0.0 for k, v in seen.items()}
-        odds = F.lit(0.0)
-        for labeler in LABELERS:
-            for vote in (-1, 0, 1):
-                yes, no = ((seen[f"{labeler}_{vote + 1}_{y}"] + 1) / (seen[f"t_{y}"] + 3) for y in "10")
-                odds = odds + F.when(F.col(labeler) == vote, math.log(yes / no)).otherwise(0.0)
-        for k in range(len(KINDS)):
-            share = math.log((seen[f"kind_{k}_1"] + 1) / (seen[f"kind_{k}_0"] + 1))
-            odds = odds + F.when(F.col("kind_no") == k, share).otherwise(0.0)
-    return odds
+        truth = patterns.select("n", (1 / (1 + F.exp(-odds()))).alias("p"), F.explode("marks").alias("mark"))
+        sums = truth.groupBy("mark").agg(F.sum(F.col("n") * F.col("p")).alias("yes"), F.sum("n").alias("all")).collect()
+        yes, no = [0.0] * len(weights), [0.0] * len(weights)
+        for row in sums:
+            yes[row["mark"]], no[row["mark"]] = row["yes"], row["all"] - row["yes"]
+        all_yes, all_no = sum(yes[first_kind:]), sum(no[first_kind:])
+        for i in range(first_kind):
+            weights[i] = math.log((yes[i] + 1) / (all_yes + 3)) - math.log((no[i] + 1) / (all_no + 3))
+        for i in range(first_kind, len(weights)):
+            weights[i] = math.log((yes[i] + 1) / (no[i] + 1))
+    return odds()
 
 
 def features() -> list[Column]:
@@ -219,6 +221,7 @@ def span_classifier(patterns: DataFrame) -> Column:
     """
     if patterns.isEmpty():
         return F.lit(0.0)
+    patterns = patterns.withColumn("marks", _marks())
     truth = 1 / (1 + F.exp(-reliabilities(patterns)))
     columns = features()
     both = F.explode(F.array(F.struct(F.lit(1.0).alias("y"), truth.alias("p")), F.struct(F.lit(0.0).alias("y"), (1 - truth).alias("p"))))
