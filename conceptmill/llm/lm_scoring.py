@@ -251,17 +251,17 @@ def likelihood(codes: np.ndarray, model: Model) -> np.ndarray:
 def expected_counts(codes: np.ndarray, model: Model, start: np.ndarray, move: np.ndarray, emit: np.ndarray) -> None:
     """Add the expected counts of the sequences (Baum-Welch)."""
     alpha, scale = forward(codes, model)
-    beta = np.ones(alpha.shape[1:])
+    beta, steps = np.ones(alpha.shape[1:]), np.zeros_like(move)
     for t in range(codes.shape[0] - 1, -1, -1):
         gamma = alpha[t] * beta
         real = codes[t] != PAD
         gamma *= real[:, None]
-        alpha_before = alpha[t - 1] if t else None
         alpha[t] = gamma
         if t:
             ahead = model.emit[codes[t]] * beta / scale[t][:, None]
-            move += (alpha_before * real[:, None]).T @ ahead
+            steps += (alpha[t - 1] * real[:, None]).T @ ahead
             beta = ahead @ model.move.T
+    move += steps * model.move
     start += alpha[0].sum(axis=0)
     flat = codes.ravel()
     for state in range(start.size):
