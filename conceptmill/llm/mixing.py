@@ -214,25 +214,30 @@ def mixed_texts(docs: DataFrame) -> DataFrame:
     A pass that takes all words keeps the text as it is; otherwise the words taken are
     joined by spaces, in order. n_chars, where there is one, is counted anew.
     """
-    sized = docs.withColumn("size", word_count(F.col("text"))).withColumn("uid", identity(docs))
+    sized = docs.select(
+        F.struct(*(docs[c] for c in docs.columns)).alias("doc"),
+        "source",
+        word_count(F.col("text")).alias("size"),
+        identity(docs).alias("uid"),
+    )
     targets = source_targets(sized.select("source", "size"))
-    placed = written(word_offsets(sized, targets), "mix-places")
+    placed = written(word_offsets(sized, targets).drop("source"), "mix-places")
+    taken = F.struct(
+        (F.col("_from") - F.col("first_word")).alias("at"), (F.col("_to") - F.col("_from") + 1).alias("n")
+    )
     picks = (
         _overlaps(placed.select("rank", "first_word", "size"))
         .join(taken_blocks(shard_draws(targets)), ["rank", "block"])
         .groupBy("rank", "first_word", "size", "epoch")
-        .agg(
-            F.sort_array(F.collect_list(F.struct((F.col("_from") - F.col("first_word")).alias("at"), (F.col("_to") - F.col("_from") + 1).alias("n")))).alias("picks"),
-            F.sum(F.col("_to") - F.col("_from") + 1).alias("n_taken"),
-        )
+        .agg(F.sort_array(F.collect_list(taken)).alias("picks"), F.sum(taken["n"]).alias("n_taken"))
     )
     joined = placed.where("size > 0").join(picks, ["rank", "first_word", "size"])
-    parts = F.flatten(
-        F.transform("picks", lambda p: F.slice(F.col("_words"), (p["at"] + 1).cast("int"), p["n"].cast("int")))
-    )
+    parts = F.transform("picks", lambda p: F.slice(F.col("_words"), (p["at"] + 1).cast("int"), p["n"].cast("int")))
     whole = F.col("n_taken") == F.col("size")
-    text = F.when(whole, F.col("text")).otherwise(F.array_join(parts, " "))
-    mixed = joined.withColumn("_words", F.when(~whole, words(F.col("text")))).withColumn("text", text)
+    mixed = joined.withColumn("_words", F.when(~whole, words(F.col("doc.text")))).withColumn(
+        "_text", F.when(whole, F.col("doc.text")).otherwise(F.array_join(F.flatten(parts), " "))
+    )
+    doc = F.col("doc").withField("text", F.col("_text"))
     if "n_chars" in docs.columns:
-        mixed = mixed.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
-    return mixed.select(*docs.columns)
+        doc = doc.withField("n_chars", F.length("_text").cast(docs.schema["n_chars"].dataType))
+    return mixed.select(doc.alias("doc")).select("doc.*")
