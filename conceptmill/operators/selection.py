@@ -12,6 +12,7 @@ from conceptmill import vocab as v
 from conceptmill.functions.text import is_blank, parse_float
 from conceptmill.operators import graph as q
 from conceptmill.operators.skew import all_of, members_without, spread_join
+from conceptmill.session import scratch_path
 from conceptmill.operators.text import join_nonempty
 
 # --- job options --------------------------------------------------------------
@@ -112,20 +113,12 @@ def shape_targets(quads: DataFrame) -> DataFrame:
     return jobs.join(shapes, "job").join(targets, "shape").select("task", "kind", "uri").distinct()
 
 
-LISTED_CLASSES = 1000
-
-
-def shape_targets_of_task(quads: DataFrame, task: str) -> tuple[DataFrame | None, list[str] | DataFrame]:
-    """Target nodes as a DataFrame (None without any) and target classes.
-
-    Up to ``LISTED_CLASSES`` classes come as a list, which filters the scan;
-    more stay a DataFrame with a ``uri`` column.
-    """
+def shape_targets_of_task(quads: DataFrame, task: str) -> tuple[DataFrame | None, DataFrame | None]:
+    """Target nodes and target classes with a ``uri`` column, each None without any."""
     shapes = shape_targets(_of_task(quads, task)).where(F.col("task") == task)
     nodes = shapes.where("kind = 'node'").select("uri")
     classes = shapes.where("kind = 'class'").select("uri")
-    listed = [row["uri"] for row in classes.take(LISTED_CLASSES + 1)]
-    return None if nodes.isEmpty() else nodes, listed if len(listed) <= LISTED_CLASSES else classes
+    return None if nodes.isEmpty() else nodes, None if classes.isEmpty() else classes
 
 
 # --- inputs -------------------------------------------------------------------
@@ -153,15 +146,18 @@ def input_violations(quads: DataFrame) -> DataFrame:
 def valid_inputs_of_task(quads: DataFrame, task: str) -> DataFrame | None:
     """The inputs of the task, None when it has none; raises when one is no expression.
 
-    The message shows some of the URIs; ``input_violations`` gives all of them.
+    The error says how many there are and where all of them are written.
     """
     own = quads.where((F.col("p") != v.INPUT_CONTAINER) | (F.col("s") == task))
     inputs = task_inputs(own).select("resource")
     if inputs.isEmpty():
         return None
-    shown = [row["resource"] for row in input_violations(own).take(20)]
-    if shown:
-        raise RuntimeError("not found to be expressions: " + ", ".join(shown))
+    wrong = input_violations(own).select("resource")
+    n, first = wrong.agg(F.count("resource"), F.min("resource")).first()
+    if n:
+        path = scratch_path(quads.sparkSession, "input-violations")
+        wrong.write.parquet(path)
+        raise RuntimeError(f"{n} inputs of task {task} not found to be expressions, first {first}; all of them: {path}")
     return inputs
 
 
@@ -243,7 +239,11 @@ def target_decisions(
     if nodes is not None:
         parts.append(nodes.select(F.col("uri").alias("decision")))
     if isinstance(classes, DataFrame):
-        typed = q.pattern(quads, v.TYPE, "decision", "uri", graphs=target_graph)
+        typed = (
+            q.rows(quads, v.TYPE, graphs=target_graph)
+            .where(F.col("o.kind") == "uri")
+            .select(F.col("s").alias("decision"), F.col("o.value").alias("uri"))
+        )
         parts.append(spread_join(typed, classes, ["uri"], "left_semi", spread=["decision"]).select("decision"))
     elif classes or nodes is None:
         wanted = list(classes) if classes else v.EXPRESSION

@@ -9,7 +9,6 @@ from pyspark.sql import functions as F
 
 from conceptmill.session import ensure_checkpoint_dir
 
-MAX_SALTS = 32
 RANK_DIGITS = 4
 
 
@@ -26,11 +25,11 @@ def spread_join(
 
     Every key is split over ``salts`` sub-keys by a hash of the ``spread``
     columns; the lookup side is repeated once per sub-key. There are as many
-    sub-keys as shuffle partitions, up to ``MAX_SALTS``. When the lookup side
-    turns out small, AQE still turns this into a broadcast join.
+    sub-keys as shuffle partitions, so a hot key reaches all of them. When the
+    lookup side turns out small, AQE still turns this into a broadcast join.
     """
     if salts is None:
-        salts = min(MAX_SALTS, int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+        salts = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     left = rows.withColumn("_salt", F.pmod(F.xxhash64(*spread), F.lit(salts)).cast("int"))
     right = lookup.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
     added = [] if how in ("left_semi", "left_anti") else [name for name in lookup.columns if name not in on]
