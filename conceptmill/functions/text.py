@@ -87,7 +87,12 @@ def parse_float(text: Column) -> Column:
 
 
 def name_uuid(*parts: Column) -> Column:
-    """UUID-shaped id derived from the parts, so a repeated write gives the same id."""
-    digest = F.md5(F.concat_ws("|", *parts))
+    """UUID-shaped id derived from the parts, so a repeated write gives the same id.
+
+    Each part goes in with its length and NULL as a mark of its own, so different
+    parts never read the same.
+    """
+    marked = [F.coalesce(F.concat(F.length(p).cast("string"), F.lit(":"), p), F.lit("-")) for p in parts]
+    digest = F.md5(F.concat_ws("|", *marked))
     pieces = [F.substring(digest, start, size) for start, size in ((1, 8), (9, 4), (13, 4), (17, 4), (21, 12))]
     return F.concat_ws("-", *pieces)

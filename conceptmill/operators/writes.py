@@ -37,6 +37,24 @@ def annotation_rows(found: DataFrame, *, task: str, agent: str, graph: str | Non
     return annotation_columns(found.select("target", "body").distinct(), task=task, agent=agent, graph=graph)
 
 
+def stored_annotations(quads: DataFrame, agent: str, graph: str | None = None) -> DataFrame:
+    """(target, body, motivated_by, agent_uri) of classifying annotations an agent has stored, whatever their URI."""
+    g = graph or v.GRAPHS["ai"]
+    known = q.exists(
+        q.instances(quads, v.ANNOTATION, "ann", graphs=g),
+        q.pattern(quads, v.MOTIVATED_BY, "ann", value=v.CLASSIFYING, graphs=g),
+        ["ann"],
+    )
+    made = q.pattern(quads, v.GENERATED, "activity", "ann", graphs=g)
+    own = q.exists(made, q.pattern(quads, v.ASSOCIATED_WITH, "activity", value=agent, graphs=g), ["activity"])
+    return (
+        q.exists(known, own.select("ann"), ["ann"])
+        .join(q.pattern(quads, v.HAS_TARGET, "ann", "target", graphs=g), "ann")
+        .join(q.pattern(quads, v.HAS_BODY, "ann", "body", graphs=g), "ann")
+        .select("target", "body", F.lit(v.CLASSIFYING).alias("motivated_by"), F.lit(agent).alias("agent_uri"))
+    )
+
+
 def only_new(new: DataFrame, existing: DataFrame, keys: Sequence[str] = ANNOTATION_KEY) -> DataFrame:
     """Rows of ``new`` whose key is not in ``existing``, one row per key.
 
@@ -91,9 +109,11 @@ def container_quads(containers: DataFrame, graph: str | None = None) -> DataFram
 
 
 def annotation_quads(annotations: DataFrame) -> DataFrame:
-    """Annotation and provenance activity as quads in the graph of the row."""
+    """Annotation and provenance activity as quads in the graph of the row, and one type quad for each agent."""
     g, uri = F.col("g"), F.col("ann_uri")
     activity = F.concat(F.lit(v.ACTIVITY_BASE), name_uuid(F.col("task_uri"), uri))
+    agents = annotations.select("g", "agent_uri", "agent_type").distinct()
+    typed = _unfold(agents, q.quad(g, F.col("agent_uri"), v.TYPE, q.term(F.col("agent_type"))))
     return _unfold(
         annotations,
         q.quad(g, uri, v.TYPE, q.term(F.lit(v.ANNOTATION))),
@@ -103,8 +123,7 @@ def annotation_quads(annotations: DataFrame) -> DataFrame:
         q.quad(g, activity, v.TYPE, q.term(F.lit(v.ACTIVITY))),
         q.quad(g, activity, v.GENERATED, q.term(uri)),
         q.quad(g, activity, v.ASSOCIATED_WITH, q.term(F.col("agent_uri"))),
-        q.quad(g, F.col("agent_uri"), v.TYPE, q.term(F.col("agent_type"))),
-    )
+    ).unionByName(typed)
 
 
 def direction_uri(direction: Column) -> Column:

@@ -289,7 +289,7 @@ def output_containers(spark, sf):
 def annotation_quads(spark, sf):
     found = br.table(spark, sf, "labels").selectExpr(f"{br.DOC} AS target", f"{br._QUALITY_BODY} AS body")
     rows = wr.annotation_rows(found, task=br.TASK, agent=v.AGENTS["classifier_annotator"])
-    return wr.annotation_quads(rows).select("g", "s", "p", F.col("o.value").alias("o")).distinct()
+    return wr.annotation_quads(rows).select("g", "s", "p", F.col("o.value").alias("o"))
 
 
 # --- text ---------------------------------------------------------------------
@@ -350,7 +350,9 @@ def _quality_labelled(spark, sf) -> DataFrame:
 def _vectors(spark, sf) -> DataFrame:
     return br.table(spark, sf, "embeddings").selectExpr(
         "vec_id", "CAST(label AS BIGINT) AS id",
-        "transform(slice(embedding, 1, 10), x -> CAST(x AS DOUBLE) * 20) AS logits",
+        # All values, folded: logit i is the sum of values i, i + 10, ...
+        "transform(sequence(0, 9), i -> aggregate(filter(embedding, (x, j) -> j % 10 = i), 0D, "
+        "(total, x) -> total + CAST(x AS DOUBLE)) * 20) AS logits",
     )
 
 

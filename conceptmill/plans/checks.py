@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from conceptmill.operators.prompts import impact_format
 from conceptmill import vocab as v
 from conceptmill.plans import bridge as br
 from conceptmill.plans import stubs
@@ -224,14 +225,14 @@ ANNOTATION_FANOUT = f"""{_PARTS}, {_WANTED}, {_resolve(True)}
   JOIN resolved r ON r.scheme = {br.BRAND} AND r.label = {br.WANTED_LABEL}"""
 
 
-def _uuid(x: str) -> str:
-    m = f"md5({x})"
+def _uuid(*parts: str) -> str:
+    marked = ", ".join(f"coalesce(concat(length({p}), ':', {p}), '-')" for p in parts)
+    m = f"md5(concat_ws('|', {marked}))"
     return "concat(" + ", '-', ".join(f"substr({m}, {a}, {n})" for a, n in ((1, 8), (9, 4), (13, 4), (17, 4), (21, 12))) + ")"
 
 
 def _ann_uri(agent: str) -> str:
-    key = f"concat_ws('|', target, body, '{v.CLASSIFYING}', '{agent}')"
-    return f"concat('{v.ANNOTATION_BASE}', {_uuid(key)})"
+    return f"concat('{v.ANNOTATION_BASE}', {_uuid('target', 'body', repr(v.CLASSIFYING), repr(agent))})"
 
 
 def _annotation_rows(source: str, task: str, agent: str) -> str:
@@ -252,7 +253,7 @@ NO_MATCH_ROWS = f"""{_QUALITY_CODES}, {_REPLIES}, {_resolve(True)}
 
 
 def _container_quads(resources: str, task: str) -> str:
-    uid = _uuid(f"concat_ws('|', '{task}', resource)")
+    uid = _uuid(repr(task), "resource")
     uri = f"concat('{v.CONTAINER_BASE}', {uid})"
     return f"""SELECT '{CONTAINERS}' AS g, {uri} AS s, '{v.TYPE}' AS p, '{v.DATA_CONTAINER}' AS o, 'uri' AS kind FROM ({resources})
       UNION ALL SELECT '{CONTAINERS}', {uri}, '{v.UUID}', {uid}, 'literal' FROM ({resources})
@@ -263,8 +264,7 @@ OUTPUT_CONTAINERS = _container_quads(f"SELECT {br.DOC} AS resource FROM document
 
 
 def _annotation_quads(rows: str) -> str:
-    key = "concat_ws('|', task_uri, ann_uri)"
-    act = f"concat('{v.ACTIVITY_BASE}', {_uuid(key)})"
+    act = f"concat('{v.ACTIVITY_BASE}', {_uuid('task_uri', 'ann_uri')})"
     parts = [
         ("ann_uri", v.TYPE, f"'{v.ANNOTATION}'"), ("ann_uri", v.HAS_TARGET, "target"),
         ("ann_uri", v.MOTIVATED_BY, "motivated_by"), ("ann_uri", v.HAS_BODY, "body"),
@@ -320,7 +320,8 @@ SPLIT_GLOBAL = f"""WITH ranked AS (SELECT {br.DOC} AS decision, row_number() OVE
 
 # --- predictions --------------------------------------------------------------
 
-_LOGITS = """logits AS (SELECT vec_id, label::BIGINT AS id, i - 1 AS place, embedding[i]::DOUBLE * 20 AS x
+_FOLDED = " + ".join(f"coalesce(embedding[i + {k}]::DOUBLE, 0)" for k in range(0, 64, 10))
+_LOGITS = f"""logits AS (SELECT vec_id, label::BIGINT AS id, i - 1 AS place, ({_FOLDED}) * 20 AS x
   FROM embeddings, range(1, 11) r(i))"""
 _SOFTMAX = f"""WITH {_LOGITS}, top AS (SELECT vec_id, max(x) AS top FROM logits GROUP BY vec_id),
   e AS (SELECT vec_id, id, place, x, top, exp(x - top) AS e FROM logits JOIN top USING (vec_id)),
@@ -376,8 +377,7 @@ def _metadata() -> str:
         (version, v.SD + "hasVersionId", "oid", "literal", ""),
     ]
     for name in METRICS:
-        key = f"concat_ws('|', model_id, 'eval_{name}')"
-        m = uri("qualitymeasurement", _uuid(key))
+        m = uri("qualitymeasurement", _uuid("model_id", f"'eval_{name}'"))
         rows += [
             (model, v.DQV + "QualityMeasurement", m, "uri", ""),
             (m, v.DQV + "isMeasurementOf", f"'{b}/metric/eval_{name}'", "uri", ""),
@@ -392,12 +392,11 @@ def _metadata() -> str:
 
 MODEL_METADATA = _metadata()
 _METRIC_LINE = "concat(" + ", ' | ', ".join(f"'{n.capitalize()}: ', format('{{:.4f}}', {n})" for n in METRICS) + ")"
-MODEL_REPORT = f"""{_MODELS}, names AS (SELECT model_id, count(*) AS n, string_agg(concat('- `', name, '`'), chr(10) ORDER BY name) AS listed
-  FROM (SELECT DISTINCT concat('demo/model-', vec_id % 4) AS model_id, concat('label ', label) AS name FROM embeddings) GROUP BY model_id)
-  SELECT model_id, concat_ws(chr(10), '---', 'tags:', '- text-classification', '- concepts', 'base_model: base/encoder', '---', '',
-    concat('# ', model_id), '', 'Fine-tuned from `base/encoder` for codelist classification.', '', concat('## Labels (', n, ')'), listed, '',
-    '## Metrics', {_METRIC_LINE}, '', '## Training info', '- Base model: `base/encoder`', concat('- Code commit: `', sha, '`'),
-    '- Trained: 2024-03-01', '') AS report FROM models JOIN names USING (model_id)"""
+MODEL_REPORT = f"""{_MODELS}, named AS (SELECT DISTINCT concat('demo/model-', vec_id % 4) AS model_id, concat('label ', label) AS name FROM embeddings),
+  numbered AS (SELECT *, row_number() OVER (PARTITION BY model_id ORDER BY name) AS i FROM named),
+  names AS (SELECT model_id, count(*) AS n, string_agg(concat(i, '. ', name), chr(10) ORDER BY i) AS listed FROM numbered GROUP BY model_id)
+  SELECT model_id, concat_ws(chr(10), concat('classifier: ', model_id), 'features: base/encoder', concat('revision: ', sha), 'day: 2024-03-01',
+    concat('label count: ', n), '[held-out measures]', {_METRIC_LINE}, '[label space]', listed) AS report FROM models JOIN names USING (model_id)"""
 
 # --- prompts and replies ------------------------------------------------------
 
@@ -568,7 +567,7 @@ SCORED_JOB = (
         br.TASK, _CLASSIFIER_AGENT,
     )
 )
-_VERDICTS = f"""asked AS (SELECT annotation, concept, label, concat('Policy text: ', content, chr(10), 'Label: ', label, chr(10), chr(10), 'Provide a structured impact assessment.') AS prompt
+_VERDICTS = f"""asked AS (SELECT annotation, concept, label, concat('Policy text: ', content, chr(10), 'Label: ', label, chr(10), chr(10), 'Provide a structured impact assessment.{impact_format()}') AS prompt
     FROM assessable JOIN policy USING (expression)),
   verdicts AS (SELECT annotation, concept, label, ['positive', 'negative', 'neutral', 'uncertain', 'mixed'][1 + {_NUMBER} % 5] AS direction FROM asked),
   firsts AS (SELECT annotation, arg_min(direction, struct_pack(a := concept, b := label, c := direction)) AS direction FROM verdicts WHERE direction <> 'mixed' GROUP BY annotation)"""

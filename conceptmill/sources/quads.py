@@ -50,7 +50,9 @@ def missing_quads(new: DataFrame, existing: DataFrame) -> DataFrame:
     # A digest stands for the term, so stored texts stay out of the shuffle.
     key = F.sha2(F.to_json(F.col("o")), 256)
     fresh = new.select(*_KEYS).distinct().withColumn("_o", key)
-    stored = existing.select("g", "s", "p", key.alias("_o"))
+    # Predicates are a vocabulary, a short list: only their partitions are read.
+    predicates = [row["p"] for row in new.select("p").distinct().collect()]
+    stored = existing.where(F.col("p").isin(predicates)).select("g", "s", "p", key.alias("_o"))
     on = ["g", "s", "p", "_o"]
     hits = stored.join(fresh.select(*on), on, "left_semi")
     return fresh.join(hits, on, "left_anti").select(*_KEYS)
@@ -128,10 +130,11 @@ def parse_nquads(lines: DataFrame, line: str = "value", default_graph: str = "")
         F.when(literal, F.regexp_extract(rest, _LITERAL_REST, 3)).alias("datatype"),
         F.when(literal, F.regexp_extract(rest, _LITERAL_REST, 4)).otherwise(F.regexp_extract(rest, _NODE_REST, 2)).alias("g"),
     )
-    refused = F.raise_error(F.concat(F.lit("not an N-Quads line: "), F.col("line"))).cast("string")
-    return parts.select(
+    refused = F.raise_error(F.concat(F.lit("not an N-Quads line: "), F.col("line"))).cast("boolean")
+    # A filter runs whatever columns are read later.
+    return parts.where(F.when(F.col("valid"), F.lit(True)).otherwise(refused)).select(
         F.when(F.col("g") == "", F.lit(default_graph)).otherwise(_node(F.col("g"))).alias("g"),
-        F.when(F.col("valid"), _node(F.col("s"))).otherwise(refused).alias("s"),
+        _node(F.col("s")).alias("s"),
         _node(F.col("p")).alias("p"),
         F.struct(
             F.when(F.col("literal"), _unescape(F.col("o"))).otherwise(_node(F.col("o"))).alias("value"),
@@ -140,7 +143,7 @@ def parse_nquads(lines: DataFrame, line: str = "value", default_graph: str = "")
             .otherwise(F.lit("uri"))
             .alias("kind"),
             F.nullif(F.col("lang"), F.lit("")).alias("lang"),
-            F.nullif(F.col("datatype"), F.lit("")).alias("datatype"),
+            F.nullif(_unescape(F.col("datatype")), F.lit("")).alias("datatype"),
         ).alias("o"),
     )
 
@@ -157,11 +160,21 @@ def nquads_lines(quads: DataFrame) -> DataFrame:
             text = F.replace(text, F.lit(char), F.lit(mark))
         return text
 
+    def coded(text: Column) -> Column:
+        plain = text
+        for char in (*(chr(i) for i in range(0x21)), *'"<>^`{|}'):
+            plain = F.replace(plain, F.lit(char), F.lit(f"\\u{ord(char):04X}"))
+        return plain
+
+    def iri(text: Column) -> Column:
+        odd = F.replace(text, F.lit("\\"), F.lit("\\u005C"))
+        return F.when(text.rlike(r'[\x00-\x20"<>^`{|}\\]'), coded(odd)).otherwise(text)
+
     def node(text: Column) -> Column:
-        return F.when(text.startswith("_:"), text).otherwise(F.concat(F.lit("<"), text, F.lit(">")))
+        return F.when(text.startswith("_:"), text).otherwise(F.concat(F.lit("<"), iri(text), F.lit(">")))
 
     tag = F.coalesce(
-        F.concat(F.lit("@"), F.col("o.lang")), F.concat(F.lit("^^<"), F.col("o.datatype"), F.lit(">")), F.lit("")
+        F.concat(F.lit("@"), F.col("o.lang")), F.concat(F.lit("^^<"), iri(F.col("o.datatype")), F.lit(">")), F.lit("")
     )
     obj = F.when(F.col("o.kind") == "literal", F.concat(F.lit('"'), escaped(F.col("o.value")), F.lit('"'), tag)).otherwise(
         node(F.col("o.value"))

@@ -100,3 +100,10 @@ def test_term_chooses_by_type(spark):
     assert got.asDict() == {
         "b": '"true"^^xsd:boolean', "i": '"3"^^xsd:integer', "s": '"""x"""', "d": '"2024-01-01"^^xsd:date', "other": '"""1.5"""',
     }
+
+
+def test_name_uuid_tells_parts_apart(spark):
+    null = F.lit(None).cast("string")
+    parts = [("a|b", "c"), ("a", "b|c"), ("a", None, "b"), ("a", "b", None), ("a", "b"), ("", "ab"), ("-",), (None,)]
+    ids = spark.range(1).select(*[tx.name_uuid(*(null if x is None else F.lit(x) for x in p)) for p in parts]).first()
+    assert len(set(ids)) == len(parts)
