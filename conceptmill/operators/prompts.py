@@ -62,6 +62,16 @@ def impact_prompt(content: Column, label: Column) -> Column:
     )
 
 
+def impact_format() -> str:
+    """What a plain text model has to be told: the fields of an assessment and their values."""
+    directions, levels = (", ".join(f'"{x}"' for x in values) for values in (v.IMPACT_URIS, v.CONFIDENCE_LEVELS))
+    return (
+        "\n\nAnswer with one JSON object and nothing else. Its text fields are label, reasoning and summary, "
+        f"impact_direction (one of {directions}) and confidence (one of {levels}); its lists of texts are "
+        "direct_effects, second_order_effects and key_uncertainties. All eight fields have to be there."
+    )
+
+
 def picked_label(labels: Column, key: Column) -> Column:
     """A label that looks random but is fixed by the key (test provider)."""
     number = F.conv(F.substring(F.md5(key), 1, 8), 16, 10).cast("bigint")

@@ -66,8 +66,14 @@ def parse_replies(replies: DataFrame, *, raw: str = "raw", accept_bare_list: boo
 
 
 def impact_assessment(raw: Column) -> Column:
-    """The eight fields of an impact reply as a struct, NULL when one is missing or wrong."""
-    json = F.try_parse_json(strip(raw))
+    """The eight fields of an impact reply as a struct, NULL when one is missing or wrong.
+
+    The reply is the JSON object, a fenced block with it, or a text around it.
+    """
+    return F.coalesce(*(_assessment(F.try_parse_json(candidate)) for candidate in _candidates(raw)))
+
+
+def _assessment(json: Column) -> Column:
     texts = {name: _string(json, f"$.{name}") for name in _ASSESSMENT_TEXTS}
     lists = {name: _string_list(json, f"$.{name}") for name in _ASSESSMENT_LISTS}
     valid = texts["impact_direction"].isin(list(v.IMPACT_URIS)) & texts["confidence"].isin(list(v.CONFIDENCE_LEVELS))

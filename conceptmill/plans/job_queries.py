@@ -74,9 +74,9 @@ def results_json_scan(spark, sf):
 def batch_model_annotation(spark, sf):
     result = jobs.batch_model_annotation(
         br.quads(spark, sf, *_LABELLED, "task"), br.TASK, factory=stubs.chat_factory, prompts=_no_prompts(spark),
-        attempts=2, pause_seconds=0, on_failure="quarantine",
+        pause_seconds=0, on_failure="quarantine",
     )
-    return result.quads().select("g", "s", "p", F.col("o.value").alias("o")).distinct()
+    return result.quads().select("g", "s", "p", F.col("o.value").alias("o"))
 
 
 @query(sql.RANDOM_JOB)
@@ -103,7 +103,7 @@ def impact_job(spark, sf):
 
 def _trained(spark, sf):
     quads = br.quads(spark, sf, *_LABELLED, "task")
-    return quads, jobs.train_classifier(quads, br.TASK, num_features=1 << 14, epochs=10)
+    return quads, jobs.train_classifier(quads, br.TASK)
 
 
 @query()
@@ -131,12 +131,12 @@ def incremental_labelling(spark, sf):
     def label(batch):
         return jobs.label_decisions(
             batch, codelist, br.QUALITY, task=br.TASK, factory=stubs.chat_factory, prompts=_no_prompts(spark),
-            attempts=1, on_failure="quarantine",
+            pause_seconds=0, on_failure="quarantine",
         )
 
     stream = inc.label_stream(
         arriving, label, annotations_path=f"{root}/annotations", containers_path=f"{root}/containers",
-        checkpoint=f"{root}/checkpoint",
+        checkpoint=f"{root}/checkpoint", done=inc.of_scheme(codelist),
     )
     stream.awaitTermination()
     return spark.read.schema(inc.ANNOTATION_SCHEMA).parquet(f"{root}/annotations")

@@ -22,6 +22,7 @@ from conceptmill.operators import selection as sel
 from conceptmill.operators import text as txt
 from conceptmill.operators import writes as wr
 from conceptmill.session import scratch_path
+from conceptmill.sources.quads import read_table_or_empty
 
 
 @dataclass
@@ -70,6 +71,7 @@ def ask_model(
     on_failure: str = "raise",
     delay_seconds: float = 0.0,
     max_callers: int | None = None,
+    store: str | None = None,
 ) -> tuple[DataFrame, DataFrame]:
     """Send (id, keep.., system_message, user_message) to a model until the replies parse.
 
@@ -79,15 +81,31 @@ def ask_model(
     form before anything else uses it. Returns the parsed rows and the rows that failed every attempt; the
     latter are an error with ``on_failure='raise'`` and a result with
     ``'quarantine'``.
+
+    ``store`` is the path of a table of usable replies by id and message. What it holds
+    is not asked again and every round adds to it, so a job that failed, or was stopped,
+    goes on where it was.
     """
     if on_failure not in ("raise", "quarantine"):
         raise ValueError(f"unknown on_failure: {on_failure}")
-    pending, good, bad = requests, [], None
+    asked = F.sha2(F.concat_ws("\u001f", "system_message", "user_message"), 256)
+    pending, good, bad = materialised(requests.withColumn("asked", asked), "requests"), [], None
+    requests, keep = pending, [*keep, "asked"]
+    if store:
+        types = dict(requests.dtypes)
+        stored = read_table_or_empty(requests.sparkSession, store, f"id {types['id']}, asked string, raw string")
+        once = stored.groupBy("id", "asked").agg(F.min("raw").alias("raw"))
+        known = requests.select("id", *keep).join(once, ["id", "asked"])
+        known = known.select("id", *keep, "raw", F.lit(None).cast("string").alias("call_error"))
+        good.append(materialised(parse(known).where("parse_error IS NULL"), "replies-known"))
+        pending = requests.join(good[0].select("id"), "id", "left_anti")
     for attempt in range(1, attempts + 1):
         raw = calls.call_model(pending, factory, keep=keep, delay_seconds=delay_seconds, max_callers=max_callers)
         parsed = materialised(parse(raw), f"replies-{attempt}")
         failed = F.col("call_error").isNotNull() | F.col("parse_error").isNotNull()
         good.append(parsed.where(~failed))
+        if store:
+            good[-1].select("id", "asked", "raw").write.mode("append").parquet(store)
         bad = parsed.where(failed)
         if attempt == attempts or bad.isEmpty():
             break
@@ -100,7 +118,8 @@ def ask_model(
         first = bad.first()
         if first is not None:
             reason = first["call_error"] or first["parse_error"]
-            raise RuntimeError(f"model call failed after {attempts} attempts for {first['id']}: {reason}")
+            kept = f"; usable replies are in {store}" if store else ""
+            raise RuntimeError(f"model call failed after {attempts} attempts for {first['id']}: {reason}{kept}")
     return answered, bad
 
 
@@ -128,10 +147,13 @@ def label_decisions(
     factory: calls.ChatFactory | None,
     prompts: DataFrame,
     accept_bare_list: bool = False,
+    existing: DataFrame | None = None,
     **model_options,
 ) -> JobResult:
     """Label (decision, text) with a model; blank texts are skipped.
 
+    ``existing`` are annotations (target, body, motivated_by, agent_uri) that are not made again.
+
     Without a ``factory`` each decision gets a label fixed by its URI, which
     serves tests. All decisions go through the same plan at once.
     """
@@ -151,6 +173,8 @@ def label_decisions(
     replies = answered.select(F.lit(scheme).alias("scheme"), F.col("id").alias("decision"), "classes")
     fanned = lab.fan_out(replies, codelist)
     annotations = wr.annotation_rows(wr.with_no_match(fanned, replies), task=task, agent=v.AGENTS["model_annotator"])
+    if existing is not None:
+        annotations = wr.only_new(annotations, existing)
     containers = wr.output_containers(replies.select(F.col("decision").alias("resource")), task)
     return JobResult(annotations, containers, failed)
 
@@ -173,7 +197,10 @@ def batch_model_annotation(
     )
     default = sel.text_per_decision(quads, decisions)
     texts = txt.text_of_decisions(quads, decisions, settings.text_path, default)
-    return label_decisions(texts, codelist, scheme, task=task, factory=factory, prompts=prompts, **options)
+    return label_decisions(
+        texts, codelist, scheme, task=task, factory=factory, prompts=prompts,
+        existing=wr.stored_annotations(quads, v.AGENTS["model_annotator"]), **options,
+    )
 
 
 def model_annotation(
@@ -193,11 +220,14 @@ def model_annotation(
     decisions = quads.sparkSession.createDataFrame([(source,)], "decision string")
     # A path may lead to other subjects, so it needs all quads.
     texts = txt.text_of_decisions(quads if path else own, decisions, path, sel.text_per_decision(own))
-    return label_decisions(texts, codelist, scheme, task=task, factory=factory, prompts=prompts, **options)
+    return label_decisions(
+        texts, codelist, scheme, task=task, factory=factory, prompts=prompts,
+        existing=wr.stored_annotations(quads, v.AGENTS["model_annotator"]), **options,
+    )
 
 
 def annotate_predictions(
-    predicted: DataFrame, codelist: DataFrame, scheme: str, *, task: str
+    predicted: DataFrame, codelist: DataFrame, scheme: str, *, task: str, existing: DataFrame
 ) -> JobResult:
     """Annotations for (decision, predictions); decisions without a prediction give nothing.
 
@@ -215,6 +245,7 @@ def annotate_predictions(
         F.col("decision").alias("target"), F.col("uri").alias("body")
     )
     annotations = wr.annotation_rows(found, task=task, agent=v.AGENTS["classifier_annotator"])
+    annotations = wr.only_new(annotations, existing)
     containers = wr.output_containers(replies.select(F.col("decision").alias("resource")), task)
     return JobResult(annotations, containers)
 
@@ -238,7 +269,8 @@ def classifier_annotation(
     scored = model.transform(texts.where(~is_blank(F.col("text"))))
     names = F.array(*[F.lit(name) for name in model.labels])
     predicted = pred.predict(scored, model.problem, threshold=threshold, labels=names)
-    return annotate_predictions(predicted, codelist, scheme, task=task)
+    existing = wr.stored_annotations(quads, v.AGENTS["classifier_annotator"])
+    return annotate_predictions(predicted, codelist, scheme, task=task, existing=existing)
 
 
 def classifier_annotation_with(
@@ -261,7 +293,8 @@ def classifier_annotation_with(
     names = F.array(*[F.lit(name) for name in labels])
     usable = scored.where(F.col("error").isNull())
     predicted = pred.predict(usable, problem, threshold=threshold, labels=names)
-    result = annotate_predictions(predicted, codelist, scheme, task=task)
+    existing = wr.stored_annotations(quads, v.AGENTS["classifier_annotator"])
+    result = annotate_predictions(predicted, codelist, scheme, task=task, existing=existing)
     result.failed = scored.where(F.col("error").isNotNull()).select("decision", "error")
     return result
 
@@ -331,7 +364,7 @@ def impact_requests(quads: DataFrame, task: str) -> DataFrame:
         F.sha2(F.concat_ws("\u001f", "expression", "lang", "work", "annotation", "concept", "label"), 256).alias("id"),
         "expression", "annotation", "concept", "label",
         F.lit(v.IMPACT_SYSTEM_MESSAGE).alias("system_message"),
-        prm.impact_prompt(F.col("content"), F.col("label")).alias("user_message"),
+        F.concat(prm.impact_prompt(F.col("content"), F.col("label")), F.lit(prm.impact_format())).alias("user_message"),
     )
 
 

@@ -8,8 +8,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from conceptmill import vocab as v
 from conceptmill.operators.writes import ANNOTATION_KEY, only_new
-from conceptmill.plans.jobs import JobResult
+from conceptmill.plans.jobs import JobResult, materialised
 from conceptmill.sources.quads import read_table_or_empty
 
 ANNOTATION_SCHEMA = (
@@ -17,6 +18,18 @@ ANNOTATION_SCHEMA = (
     "agent_uri string, agent_type string, g string"
 )
 CONTAINER_SCHEMA = "container_uri string, uuid string, resource string"
+FAILED_SCHEMA = "decision string, text string, error string"
+
+
+def of_scheme(codelist: DataFrame) -> Callable[[DataFrame], DataFrame]:
+    """Annotations that count as done for a codelist: with one of its concepts, or with no match."""
+    concepts = codelist.select(F.col("uri").alias("body")).distinct()
+
+    def done(annotations: DataFrame) -> DataFrame:
+        none = annotations.where(F.col("body") == v.NO_MATCH)
+        return annotations.join(concepts, "body", "left_semi").select(*none.columns).unionByName(none)
+
+    return done
 
 
 def append_annotations(annotations: DataFrame, path: str) -> None:
@@ -37,25 +50,41 @@ def label_stream(
     annotations_path: str,
     containers_path: str,
     checkpoint: str,
+    failed_path: str | None = None,
     done: Callable[[DataFrame], DataFrame] | None = None,
 ) -> StreamingQuery:
     """Label each arriving decision once.
 
     ``label`` turns a batch of (decision, text) into a JobResult. Decisions that
-    the annotation table already targets are left out; ``done`` may narrow which
-    annotations count. What is done lives in the table, not in stream state, so
+    the annotation table already targets are left out; ``done`` narrows which
+    annotations count (see ``of_scheme``). What is done lives in the table, not in stream state, so
     the state does not grow. Containers are written before annotations: a batch
     that is repeated after a failure then finds its decisions still open, and
     ids derived from the content keep the repetition from adding rows.
-    """
 
-    def handle(batch: DataFrame, _: int) -> None:
-        table = read_table_or_empty(batch.sparkSession, annotations_path, ANNOTATION_SCHEMA)
+    A decision that comes twice in a batch is labelled once. Decisions without a usable
+    reply are written to ``failed_path`` (default: beside the annotations), in a folder
+    for each batch, and asked again in the next one, which carries on what still fails.
+    """
+    failed_path = failed_path or f"{annotations_path.rstrip('/')}-failed"
+
+    def handle(batch: DataFrame, number: int) -> None:
+        spark = batch.sparkSession
+        waiting = read_table_or_empty(spark, f"{failed_path}/batch-{number - 1}", FAILED_SCHEMA)
+        arrived = batch.select("decision", "text").unionByName(waiting.select("decision", "text"))
+        arrived = arrived.groupBy("decision").agg(F.min("text").alias("text"))
+        table = read_table_or_empty(spark, annotations_path, ANNOTATION_SCHEMA)
         finished = (done(table) if done else table).select(F.col("target").alias("decision"))
-        hits = finished.join(batch.select("decision"), "decision", "left_semi")
-        result = label(batch.join(hits, "decision", "left_anti"))
+        hits = finished.join(arrived.select("decision"), "decision", "left_semi")
+        open_ = materialised(arrived.join(hits, "decision", "left_anti"), "open")
+        result = label(open_)
         append_containers(result.containers, containers_path)
         append_annotations(result.annotations, annotations_path)
+        if result.failed is not None:
+            errors = result.failed.select(
+                F.col("id").alias("decision"), F.coalesce("call_error", "parse_error").alias("error")
+            )
+            open_.join(errors, "decision").write.mode("overwrite").parquet(f"{failed_path}/batch-{number}")
 
     return (
         arriving.writeStream.foreachBatch(handle)

@@ -68,6 +68,54 @@ def test_second_run_writes_nothing_new(spark, make_quads, prompts, tmp_path):
     assert src.read_quads(spark, path).count() == before
 
 
+def test_annotations_under_other_uris_are_not_made_again(make_quads, prompts):
+    agent = v.AGENTS["model_annotator"]
+    foreign = [
+        (AI, "f:1", v.TYPE, v.ANNOTATION), (AI, "f:1", v.MOTIVATED_BY, v.CLASSIFYING), (AI, "f:1", v.HAS_TARGET, "e:1"),
+        (AI, "f:1", v.HAS_BODY, "c:1"), (AI, "act:1", v.GENERATED, "f:1"), (AI, "act:1", v.ASSOCIATED_WITH, agent),
+        (AI, "f:2", v.TYPE, v.ANNOTATION), (AI, "f:2", v.MOTIVATED_BY, v.CLASSIFYING), (AI, "f:2", v.HAS_TARGET, "e:2"),
+        (AI, "f:2", v.HAS_BODY, "c:2"), (AI, "act:2", v.GENERATED, "f:2"), (AI, "act:2", v.ASSOCIATED_WITH, "agent:other"),
+    ]
+    result = jobs.batch_model_annotation(decision_graph(make_quads, *foreign), TASK, factory=keyword_model, prompts=prompts)
+    assert rows(result.annotations, "target") == [("e:2",), ("e:3",)]
+    agents = wr.annotation_quads(result.annotations).where(F.col("s") == agent)
+    assert agents.count() == 1
+
+
+def test_stored_replies_are_not_asked_again(spark, make_quads, prompts, tmp_path):
+    store, quads = str(tmp_path / "replies"), decision_graph(make_quads)
+
+    def half_broken():
+        answer = keyword_model()
+
+        def call(system, user):
+            if "about climate" in user:
+                raise RuntimeError("down")
+            return answer(system, user)
+
+        return call
+
+    def never_for_energy():
+        answer = keyword_model()
+
+        def call(system, user):
+            assert "about energy" not in user and "about nothing" not in user
+            return answer(system, user)
+
+        return call
+
+    options = {"prompts": prompts, "store": store, "pause_seconds": 0}
+    with pytest.raises(RuntimeError, match="usable replies are in"):
+        jobs.batch_model_annotation(quads, TASK, factory=half_broken, attempts=1, **options)
+    result = jobs.batch_model_annotation(quads, TASK, factory=never_for_energy, **options)
+    assert rows(result.annotations, "target", "body") == [("e:1", "c:1"), ("e:2", "c:2"), ("e:3", v.NO_MATCH)]
+
+
+def test_impact_model_is_told_the_format(make_quads):
+    message = jobs.impact_requests(impact_graph(make_quads), TASK).first()["user_message"]
+    assert all(name in message for name in ("impact_direction", "second_order_effects", "key_uncertainties", "uncertain"))
+
+
 def test_single_annotation_and_text_path(make_quads, prompts):
     quads = decision_graph(make_quads, (DATA, "e:3", v.TITLE, lit("about climate")))
     got = jobs.model_annotation(quads, TASK, "e:3", factory=keyword_model, prompts=prompts, path=v.TITLE)
@@ -181,7 +229,7 @@ def test_training_without_annotations(make_quads):
 
 def assessor():
     def answer(system, user):
-        direction = "positive" if user.endswith("Label: One\n\nProvide a structured impact assessment.") else "negative"
+        direction = "positive" if "Label: One\n\nProvide a structured impact assessment." in user else "negative"
         return json.dumps({"label": "l", "impact_direction": direction, "confidence": "high", "reasoning": "r", "direct_effects": [],
                            "second_order_effects": [], "key_uncertainties": [], "summary": "s"})
 
@@ -270,6 +318,20 @@ def test_broken_nquads_line_is_an_error(spark):
             src.parse_nquads(spark.createDataFrame([(line,)], "value string")).collect()
 
 
+def test_broken_nquads_line_is_an_error_whatever_is_read(spark):
+    lines = spark.createDataFrame([("<s> <p> <o> .",), ("garbage",)], "value string")
+    for look in (lambda d: d.count(), lambda d: d.groupBy("p").count().collect(), lambda d: d.select("o").collect()):
+        with pytest.raises(Exception, match="not an N-Quads line"):
+            look(src.parse_nquads(lines))
+
+
+def test_odd_uris_survive_nquads(spark, make_quads, tmp_path):
+    odd = ["http://s/a>b", "http://s/a b", 'http://s/"<x>"', "http://s/{a|b}^`", "http://s/back\\slash", "http://s/tab\tline\nend"]
+    quads = make_quads(*[(f"g:{i}", u, "p:1", u) for i, u in enumerate(odd)], ("g:1", "s:1", "p:1", lit("x", None)))
+    src.write_nquads(quads, str(tmp_path / "odd"))
+    assert rows(src.read_nquads(spark, str(tmp_path / "odd"))) == rows(quads)
+
+
 def test_results_json(spark, tmp_path):
     document = {"head": {"vars": ["s", "t"]}, "results": {"bindings": [
         {"s": {"type": "uri", "value": "u:1"}, "t": {"type": "literal", "xml:lang": "en", "value": "x"}}, {"s": {"type": "uri", "value": "u:2"}}]}}
@@ -312,3 +374,43 @@ def test_stream_labels_each_decision_once(spark, make_quads, prompts, tmp_path):
     assert seen == [["e:1", "e:2"], ["e:3"]]
     assert rows(spark.read.parquet(where["annotations_path"]), "target") == [("e:1",), ("e:2",), ("e:3",)]
     assert spark.read.parquet(where["containers_path"]).count() == 3
+
+
+def test_stream_takes_up_failed_decisions(spark, make_quads, prompts, tmp_path):
+    schema = "decision string, text string"
+    codelist = jobs.stored_codelist(decision_graph(make_quads), SCHEME)
+    root = str(tmp_path)
+    down = []
+
+    def model():
+        broken, answer = bool(down), keyword_model()
+
+        def call(system, user):
+            if broken and "about climate" in user:
+                raise RuntimeError("down")
+            return answer(system, user)
+
+        return call
+
+    def label(batch):
+        return jobs.label_decisions(
+            batch, codelist, SCHEME, task=TASK, factory=model, prompts=prompts, attempts=1, on_failure="quarantine"
+        )
+
+    def run():
+        arriving = spark.readStream.schema(schema).parquet(f"{root}/in")
+        inc.label_stream(
+            arriving, label, annotations_path=f"{root}/ann", containers_path=f"{root}/con", checkpoint=f"{root}/cp",
+            done=inc.of_scheme(codelist),
+        ).awaitTermination()
+
+    down.append(True)
+    arrived = [("e:1", "about energy"), ("e:1", "about energy"), ("e:2", "about climate")]
+    spark.createDataFrame(arrived, schema).write.parquet(f"{root}/in")
+    run()
+    assert rows(spark.read.parquet(f"{root}/ann"), "target", "body") == [("e:1", "c:1")]
+    assert rows(spark.read.parquet(f"{root}/ann-failed/batch-0"), "decision", "error") == [("e:2", "RuntimeError: down")]
+    down.clear()
+    spark.createDataFrame([("e:3", "about nothing")], schema).write.mode("append").parquet(f"{root}/in")
+    run()
+    assert rows(spark.read.parquet(f"{root}/ann"), "target") == [("e:1",), ("e:2",), ("e:3",)]
