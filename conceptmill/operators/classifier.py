@@ -2,43 +2,78 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import json
+from collections.abc import Iterator, Sequence
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
+import numpy as np
+import pandas as pd
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import LogisticRegression, LogisticRegressionModel
 from pyspark.ml.feature import IDF, HashingTF, Tokenizer
-from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from conceptmill import vocab as v
 from conceptmill.operators.learning import check_problem_type
 
+NEVER = -1e9
+
 
 @dataclass
 class TextClassifier:
-    """Fitted stages and the labels in id order."""
+    """Fitted features, labels in id order, and one weight matrix for all logits.
+
+    ``weights`` has a row for each feature that training has seen (``used``, at most the
+    number of hashed features) and a column for each logit.
+    """
 
     problem: str
     labels: list[str]
     features: PipelineModel
-    heads: dict[int, LogisticRegressionModel]
+    used: np.ndarray
+    weights: np.ndarray
+    intercepts: np.ndarray
 
     def transform(self, texts: DataFrame) -> DataFrame:
-        """Add ``logits``, one per label; a label without training rows never wins."""
+        """Add ``logits``, one per label, in one pass; a label without training rows never wins."""
         rows = self.features.transform(texts).drop("words", "counts")
-        if self.problem == v.SINGLE_LABEL:
-            head = self.heads[0].setRawPredictionCol("raw_scores")
-            rows = head.transform(rows).withColumn("logits", vector_to_array("raw_scores"))
-            return rows.drop("features", "raw_scores", "probability", "prediction")
-        for place, head in self.heads.items():
-            rows = head.setRawPredictionCol("raw_scores").transform(rows)
-            rows = rows.withColumn(f"_logit{place}", F.get(vector_to_array("raw_scores"), F.lit(1)))
-            rows = rows.drop("raw_scores", "probability", "prediction")
-        never = F.lit(-1e9)
-        logits = [F.col(f"_logit{i}") if i in self.heads else never for i in range(len(self.labels))]
-        return rows.withColumn("logits", F.array(*logits)).drop("features", *[f"_logit{i}" for i in self.heads])
+        model = texts.sparkSession.sparkContext.broadcast((self.used, self.weights, self.intercepts))
+
+        @F.pandas_udf("array<double>")
+        def score(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.Series]:
+            used, weights, intercepts = model.value
+            for places, values in batches:
+                out = []
+                for at, value in zip(places, values):
+                    row = np.searchsorted(used, at)
+                    row[row == used.size] = 0
+                    known = used[row] == at if used.size else np.zeros(len(at), bool)
+                    out.append(np.asarray(value)[known] @ weights[row[known]] + intercepts)
+                yield pd.Series(out)
+
+        vector = F.unwrap_udt("features")
+        return rows.withColumn("logits", score(vector["indices"], vector["values"])).drop("features")
+
+    def save(self, path: str) -> None:
+        """Write the model as tables below a new path."""
+        spark = SparkSession.active()
+        self.features.save(f"{path}/features")
+        rows = [(int(i), w.tolist()) for i, w in zip(self.used, self.weights)]
+        spark.createDataFrame(rows, "feature bigint, weights array<double>").write.parquet(f"{path}/weights")
+        about = json.dumps({"problem": self.problem, "labels": self.labels, "intercepts": self.intercepts.tolist()})
+        spark.createDataFrame([(about,)], "value string").coalesce(1).write.text(f"{path}/about")
+
+    @classmethod
+    def load(cls, path: str) -> TextClassifier:
+        spark = SparkSession.active()
+        about = json.loads(spark.read.text(f"{path}/about").first()["value"])
+        rows = sorted(spark.read.parquet(f"{path}/weights").collect())
+        intercepts = np.array(about["intercepts"])
+        weights = np.array([r["weights"] for r in rows]).reshape(-1, intercepts.size)
+        used = np.array([r["feature"] for r in rows], np.int64)
+        return cls(about["problem"], about["labels"], PipelineModel.load(f"{path}/features"), used, weights, intercepts)
 
 
 def fit_classifier(
@@ -49,10 +84,12 @@ def fit_classifier(
     num_features: int = 1 << 18,
     epochs: int = 20,
     regularisation: float = 0.01,
+    parallelism: int = 8,
 ) -> TextClassifier:
     """Fit on (text, target): a label id for single-label, a 0/1 array for multi-label.
 
-    Multi-label fits one binary model per label on shared features.
+    Multi-label fits one binary model per label on shared features, ``parallelism`` of them
+    at a time.
     """
     check_problem_type(problem)
     stages = [
@@ -64,16 +101,31 @@ def fit_classifier(
     # The optimiser passes over the features once per step; persisted blocks can
     # spill to disk and are rebuilt from the source if an executor is lost.
     ready = features.transform(training).select("features", "target").persist()
-    head = LogisticRegression(featuresCol="features", labelCol="label", maxIter=epochs, regParam=regularisation)
-    heads: dict[int, LogisticRegressionModel] = {}
+
+    def head(family: str) -> LogisticRegression:
+        return LogisticRegression(
+            featuresCol="features", labelCol="label", maxIter=epochs, regParam=regularisation, family=family
+        )
+
     if problem == v.SINGLE_LABEL:
-        single = head.setFamily("multinomial")
-        heads[0] = single.fit(ready.select("features", F.col("target").cast("double").alias("label")))
+        single = head("multinomial").fit(ready.select("features", F.col("target").cast("double").alias("label")))
+        table, intercepts = single.coefficientMatrix.toArray(), single.interceptVector.toArray()
+        used = np.flatnonzero(table.any(axis=0))
+        weights = table[:, used].T
     else:
         totals = ready.select(F.posexplode("target").alias("place", "hit")).groupBy("place").agg(F.sum("hit").alias("n"))
-        trained = {row["place"] for row in totals.where("n > 0").collect()}
-        for place in sorted(trained):
-            one = ready.select("features", F.get("target", F.lit(place)).alias("label"))
-            heads[place] = head.setFamily("binomial").fit(one)
+        trained = sorted(row["place"] for row in totals.where("n > 0").collect())
+
+        def fit(place: int) -> LogisticRegressionModel:
+            return head("binomial").fit(ready.select("features", F.get("target", F.lit(place)).alias("label")))
+
+        with ThreadPoolExecutor(parallelism) as pool:
+            heads = dict(zip(trained, pool.map(fit, trained)))
+        columns = {place: model.coefficients.toArray() for place, model in heads.items()}
+        seen = [np.flatnonzero(column) for column in columns.values()]
+        used = np.unique(np.concatenate(seen)) if seen else np.empty(0, np.int64)
+        weights, intercepts = np.zeros((used.size, len(labels))), np.full(len(labels), NEVER)
+        for place, model in heads.items():
+            weights[:, place], intercepts[place] = columns[place][used], model.intercept
     ready.unpersist()
-    return TextClassifier(problem, list(labels), features, heads)
+    return TextClassifier(problem, list(labels), features, used.astype(np.int64), weights, intercepts)

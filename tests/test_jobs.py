@@ -10,6 +10,7 @@ from test_selection import DATA, SCHEME, TASK, annotation, concept, expression,
 
 import test_jobs
 from conceptmill import vocab as v
+from conceptmill.operators import classifier as clf
 from conceptmill.operators import model_calls as calls
 from conceptmill.operators import model_metadata as meta
 from conceptmill.operators import selection as sel
@@ -227,6 +228,20 @@ def test_training_without_annotations(make_quads):
     assert jobs.train_classifier(decision_graph(make_quads), TASK) is None
 
 
+def test_stored_classifier_scores_alike(spark, tmp_path):
+    rows_ = [(f"word{i % 12} and filler", [float(k == i % 12) for k in range(13)]) for i in range(72)]
+    data = spark.createDataFrame(rows_, "text string, target array<double>")
+    model = clf.fit_classifier(data, [f"l{k}" for k in range(13)], v.MULTI_LABEL, num_features=1 << 10, epochs=3)
+    scored = {r["text"]: r["logits"] for r in model.transform(data).collect()}
+    for text, logits in scored.items():
+        assert max(range(13), key=logits.__getitem__) == int(text.split()[0][4:]) and logits[12] == clf.NEVER
+    model.save(str(tmp_path / "model"))
+    loaded = clf.TextClassifier.load(str(tmp_path / "model"))
+    assert {r["text"]: r["logits"] for r in loaded.transform(data).collect()} == scored
+    plan = loaded.transform(data)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("ArrowEvalPython") == 1
+
+
 def assessor():
     def answer(system, user):
         direction = "positive" if "Label: One\n\nProvide a structured impact assessment." in user else "negative"
