@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 import time
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass
@@ -60,6 +61,17 @@ def stored_codelist(quads: DataFrame, scheme: str) -> DataFrame:
     return codelist
 
 
+CHUNK_ROWS = 1000
+
+
+def _chunks(pending: DataFrame, max_callers: int | None) -> list[DataFrame]:
+    """The rows as they are, or cut by a hash of the id so that a chunk is CHUNK_ROWS for each caller."""
+    if not max_callers:
+        return [pending]
+    n = max(1, math.ceil(pending.count() / (max_callers * CHUNK_ROWS)))
+    return [pending.where(F.pmod(F.xxhash64("id"), F.lit(n)) == k) for k in range(n)]
+
+
 def ask_model(
     requests: DataFrame,
     factory: calls.ChatFactory,
@@ -71,6 +83,7 @@ def ask_model(
     on_failure: str = "raise",
     delay_seconds: float = 0.0,
     max_callers: int | None = None,
+    calls_per_second: float | None = None,
     store: str | None = None,
 ) -> tuple[DataFrame, DataFrame]:
     """Send (id, keep.., system_message, user_message) to a model until the replies parse.
@@ -82,6 +95,11 @@ def ask_model(
     latter are an error with ``on_failure='raise'`` and a result with
     ``'quarantine'``.
 
+    ``max_callers`` bounds the calls at the same time; requests are then sent in chunks of at
+    most CHUNK_ROWS a caller, each written when it is done, so a lost task repeats few
+    calls. ``calls_per_second`` is the rate of the whole job: its callers, one unless
+    ``max_callers`` says more, share it. Without either, every task calls.
+
     ``store`` is the path of a table of usable replies by id and message. What it holds
     is not asked again and every round adds to it, so a job that failed, or was stopped,
     goes on where it was.
@@ -89,6 +107,9 @@ def ask_model(
     if on_failure not in ("raise", "quarantine"):
         raise ValueError(f"unknown on_failure: {on_failure}")
     asked = F.sha2(F.concat_ws("\u001f", "system_message", "user_message"), 256)
+    if calls_per_second:
+        max_callers = max_callers or 1
+        delay_seconds = max(delay_seconds, max_callers / calls_per_second)
     pending, good, bad = materialised(requests.withColumn("asked", asked), "requests"), [], None
     requests, keep = pending, [*keep, "asked"]
     if store:
@@ -99,13 +120,16 @@ def ask_model(
         known = known.select("id", *keep, "raw", F.lit(None).cast("string").alias("call_error"))
         good.append(materialised(parse(known).where("parse_error IS NULL"), "replies-known"))
         pending = requests.join(good[0].select("id"), "id", "left_anti")
+    failed = F.col("call_error").isNotNull() | F.col("parse_error").isNotNull()
     for attempt in range(1, attempts + 1):
-        raw = calls.call_model(pending, factory, keep=keep, delay_seconds=delay_seconds, max_callers=max_callers)
-        parsed = materialised(parse(raw), f"replies-{attempt}")
-        failed = F.col("call_error").isNotNull() | F.col("parse_error").isNotNull()
+        parsed = None
+        for chunk in _chunks(pending, max_callers):
+            raw = calls.call_model(chunk, factory, keep=keep, delay_seconds=delay_seconds, max_callers=max_callers)
+            done = materialised(parse(raw), f"replies-{attempt}")
+            if store:
+                done.where(~failed).select("id", "asked", "raw").write.mode("append").parquet(store)
+            parsed = done if parsed is None else parsed.unionByName(done)
         good.append(parsed.where(~failed))
-        if store:
-            good[-1].select("id", "asked", "raw").write.mode("append").parquet(store)
         bad = parsed.where(failed)
         if attempt == attempts or bad.isEmpty():
             break

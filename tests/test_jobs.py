@@ -1,6 +1,7 @@
 """Whole jobs with stand-in models, writes and streams."""
 
 import json
+import time
 
 import pytest
 from conftest import lit, rows
@@ -112,6 +113,21 @@ def test_stored_replies_are_not_asked_again(spark, make_quads, prompts, tmp_path
     assert rows(result.annotations, "target", "body") == [("e:1", "c:1"), ("e:2", "c:2"), ("e:3", v.NO_MATCH)]
 
 
+def test_chunks_and_the_rate_of_a_job(spark, monkeypatch):
+    monkeypatch.setattr(jobs, "CHUNK_ROWS", 3)
+    requests = spark.createDataFrame([(f"r{i}", "s", f"u{i}") for i in range(20)], "id string, system_message string, user_message string")
+    chunks = jobs._chunks(requests, 2)
+    assert len(chunks) == 4 and sum(c.count() for c in chunks) == 20
+
+    def parse(df):
+        return df.withColumn("parse_error", F.lit(None).cast("string"))
+
+    begun = time.time()
+    answered, bad = jobs.ask_model(requests, lambda: lambda system, user: user[1:], parse, max_callers=2, calls_per_second=40)
+    assert rows(answered, "id", "raw") == sorted((f"r{i}", str(i)) for i in range(20)) and bad.isEmpty()
+    assert time.time() - begun >= 20 / 40
+
+
 def test_impact_model_is_told_the_format(make_quads):
     message = jobs.impact_requests(impact_graph(make_quads), TASK).first()["user_message"]
     assert all(name in message for name in ("impact_direction", "second_order_effects", "key_uncertainties", "uncertain"))
