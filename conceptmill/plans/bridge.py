@@ -151,6 +151,12 @@ RULES: dict[str, list[Rule]] = {
         Rule("region", JOBS, "'http://ex/job/impact'", v.JOB_CODELIST, _text(QUALITY), where=_FIRST),
         Rule("region", JOBS, "'http://ex/job/impact'", v.JOB_TARGET_GRAPH, _text(DECISIONS), where=_FIRST),
     ],
+    "shapes": [
+        Rule("region", JOBS, "'http://ex/job/quality'", v.JOB_SHAPE, "'http://ex/shape/quality'", where=_FIRST),
+        Rule("region", PUBLIC, "'http://ex/shape/quality'", v.TARGET_CLASS, _text(v.WORK), where=_FIRST),
+        Rule("documents", PUBLIC, "'http://ex/shape/quality'", v.TARGET_NODE, DOC, where="doc_id % 6 = 0"),
+        Rule("pages", PUBLIC, "'http://ex/shape/quality'", v.TARGET_NODE, "concat('http://ex/page/', page_id)"),
+    ],
     "inputs": [
         Rule("documents", JOBS, _text(IMPACT_TASK), v.INPUT_CONTAINER, "concat('http://ex/container/', doc_id % 10)", where="doc_id % 10 < 7", distinct=True),
         Rule("documents", CONTAINERS, "concat('http://ex/container/', doc_id % 10)", v.HAS_RESOURCE, DOC),

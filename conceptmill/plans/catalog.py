@@ -82,6 +82,15 @@ def unannotated_by_node_or_class(spark, sf):
     )
 
 
+@query(sql.unannotated(f"{sql.NODE_TARGETS} UNION {sql.WORK_TARGETS}", sql.IN_DECISIONS))
+def unannotated_by_shape(spark, sf):
+    quads = br.quads(spark, sf, *_LABELLED, "task", "shapes")
+    nodes, classes = sel.shape_targets_of_task(quads, br.TASK)
+    return sel.unannotated_decisions(
+        quads, br.QUALITY, target_graph=br.DECISIONS, nodes=nodes, classes=classes
+    )
+
+
 @query(sql.unannotated(sql.DEFAULT_TARGETS, sql.IN_DECISIONS, inputs=br.IMPACT_TASK))
 def unannotated_among_inputs(spark, sf):
     quads = br.quads(spark, sf, *_LABELLED, "inputs")
