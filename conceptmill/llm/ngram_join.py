@@ -7,7 +7,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from conceptmill.llm.common import WordHashes, bit_filter, may_hold, raw_texts, written
@@ -25,6 +25,8 @@ FREQUENT_TIMES, FREQUENT_ABOVE = 8, 64
 PAIRED_SIZE = 300
 # Buckets up to this size are compared in full; in larger ones stars come first.
 SMALL_BUCKET = 32
+# Signatures that two linked sets share at least, where they are large enough.
+LEVEL = 4
 STAR_ROUNDS = 3
 FILTER_BITS = 26
 
@@ -123,42 +125,46 @@ def mismatches(size: int, percent: int = PERCENT) -> int:
     return size - -(-percent * size // 100)
 
 
-def signatures(grams: np.ndarray, classes: np.ndarray, frequent: int, percent: int = PERCENT) -> tuple[np.ndarray, float]:
-    """Signatures of a set, and the mean class of its tokens.
+def signatures(grams: np.ndarray, classes: np.ndarray, frequent: int, percent: int = PERCENT) -> tuple[np.ndarray, np.ndarray, float]:
+    """Signatures of a set, the place of the first token of each, and the mean class of its tokens.
 
     Tokens stand in the order of (class, hash), rare ones first. With m tokens that may be
-    missing, m + 1 rare tokens as single signatures are enough. A set with fewer rare tokens
-    takes them all and extends its prefix into the frequent ones until rare tokens plus
-    frequent tokens less one are m + 1: two linked sets then share a rare token or a pair
-    of frequent ones. Sets above PAIRED_SIZE index single tokens only (pairs would
-    grow with the square of the prefix); those close to that size do both, as the two
-    ways do not meet.
+    missing, m + LEVEL rare tokens as single signatures are enough for LEVEL to be shared. A
+    set with fewer rare tokens takes them all and extends its prefix into the frequent
+    ones until rare tokens plus frequent tokens less one are m + LEVEL; pairs of the
+    frequent ones are signatures. Linked sets then share that many tokens and one more, and
+    thus LEVEL signatures again, be they tokens or pairs. Sets above PAIRED_SIZE index
+    single tokens only (pairs would grow with the square of the prefix); those close to
+    that size do both, as the two ways do not meet.
     """
     of = classes[(grams & np.uint64((1 << SKETCH_BITS) - 1)).astype(np.int64)]
     weight = float(of.mean())
     order = np.lexsort((grams, of))
     ranked, rare = grams[order], int((of < frequent).sum())
-    need = mismatches(grams.size, percent) + 1
-    made = []
+    need = mismatches(grams.size, percent) + LEVEL
+    made, places = [], []
     if 100 * grams.size > percent * PAIRED_SIZE:
         made.append(mixed(ranked[:need] + np.uint64(1)))
+        places.append(np.arange(made[-1].size))
     if grams.size <= PAIRED_SIZE:
         made.append(mixed(ranked[: min(need, rare)] + np.uint64(2)))
+        places.append(np.arange(made[-1].size))
         if rare < need:
             tail = ranked[rare : need + 1]
             first, second = np.triu_indices(tail.size, 1)
             made.append(mixed(mixed(tail[first] + np.uint64(3)) + tail[second]))
-    return np.concatenate(made), weight
+            places.append(rare + first)
+    return np.concatenate(made), np.concatenate(places), weight
 
 
 def index_sets(docs: DataFrame, classes: np.ndarray, frequent: int, n: int, percent: int) -> DataFrame:
-    """(sig, set_id, size, weight): a row for each signature of each set."""
+    """(sig, set_id, size, weight, place): a row for each signature of each set."""
     known = docs.sparkSession.sparkContext.broadcast(classes)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         memory, done = WordHashes(), set()
         for batch in batches:
-            parts: list[tuple[np.ndarray, int, int, float]] = []
+            parts: list[tuple[np.ndarray, int, int, float, np.ndarray]] = []
             for text in raw_texts(batch.column(0)):
                 grams = shingle_set(text, memory, n)
                 if grams.size < 2:
@@ -169,8 +175,8 @@ def index_sets(docs: DataFrame, classes: np.ndarray, frequent: int, n: int, perc
                 if len(done) > 200_000:
                     done.clear()
                 done.add(name)
-                found, weight = signatures(grams, known.value, frequent, percent)
-                parts.append((found, name, grams.size, weight))
+                found, places, weight = signatures(grams, known.value, frequent, percent)
+                parts.append((found, name, grams.size, weight, places))
             if parts:
                 lengths = [p[0].size for p in parts]
                 yield pa.RecordBatch.from_pydict(
@@ -179,10 +185,11 @@ def index_sets(docs: DataFrame, classes: np.ndarray, frequent: int, n: int, perc
                         "set_id": pa.array(np.repeat(np.array([p[1] for p in parts], np.int64), lengths)),
                         "size": pa.array(np.repeat(np.array([p[2] for p in parts], np.int32), lengths)),
                         "weight": pa.array(np.repeat(np.array([p[3] for p in parts], np.float32), lengths)),
+                        "place": pa.array(np.concatenate([p[4] for p in parts]).astype(np.int32)),
                     }
                 )
 
-    return docs.select("text").mapInArrow(run, "sig bigint, set_id bigint, size int, weight float")
+    return docs.select("text").mapInArrow(run, "sig bigint, set_id bigint, size int, weight float, place int")
 
 
 def sets_of(docs: DataFrame, wanted: DataFrame, n: int) -> DataFrame:
@@ -227,13 +234,23 @@ def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     )
 
 
-def _near_in_size(percent: int):
+def _near_in_size(percent: int) -> Column:
     return 100 * F.least("size_a", "size_b") >= percent * F.greatest("size_a", "size_b")
 
 
-def star_pairs(buckets: DataFrame, choice, percent: int) -> DataFrame:
+def _may_link(percent: int) -> Column:
+    """Sizes and places allow a link, if this is the first signature that both have.
+
+    Before the first token that two sets share they share none, so what they share is at
+    most what stands from there on. Links show this at their first common signature.
+    """
+    rest = F.least(F.col("size_a") - F.col("place_a"), F.col("size_b") - F.col("place_b"))
+    return _near_in_size(percent) & ((100 + percent) * rest >= percent * (F.col("size_a") + F.col("size_b")))
+
+
+def star_pairs(buckets: DataFrame, choice: Column, percent: int) -> DataFrame:
     """Every member of a bucket with the one member that ``choice`` puts first."""
-    centre = buckets.groupBy("sig").agg(F.max_by(F.struct("set_id", "size", "part"), choice).alias("c"))
+    centre = buckets.groupBy("sig").agg(F.max_by(F.struct("set_id", "size", "part", "place"), choice).alias("c"))
     return (
         buckets.join(centre, "sig")
         .where("part <> c.part")
@@ -242,34 +259,76 @@ def star_pairs(buckets: DataFrame, choice, percent: int) -> DataFrame:
             F.greatest("set_id", "c.set_id").alias("b"),
             F.col("size").alias("size_a"),
             F.col("c.size").alias("size_b"),
+            F.col("place").alias("place_a"),
+            F.col("c.place").alias("place_b"),
         )
-        .where(_near_in_size(percent))
+        .where(_may_link(percent))
         .select("a", "b")
         .distinct()
     )
 
 
+def _required(size: str, percent: int) -> Column:
+    """Signatures that a set of this size shares with any it links with, at least."""
+    return F.greatest(F.lit(1), F.least(F.lit(LEVEL), F.ceil(F.col(size) * percent / 100).cast("int") - 1))
+
+
+def counted_pairs(buckets: DataFrame, percent: int) -> DataFrame:
+    """Pairs that meet in small buckets often enough.
+
+    What a pair may share in large buckets, at most the large buckets of either, counts in its favour.
+    """
+    large = buckets.where(F.col("n_members") > SMALL_BUCKET).groupBy("set_id").agg(F.count(F.lit(1)).alias("n_large"))
+    small = (
+        buckets.where(F.col("n_members") <= SMALL_BUCKET)
+        .join(large, "set_id", "left")
+        .select("sig", "set_id", "size", "place", F.coalesce("n_large", F.lit(0)).cast("int").alias("n_large"))
+    )
+    names = ("set_id", "size", "place", "n_large")
+    left, right = (small.select("sig", *(F.col(c).alias(f"{c}_{x}") for c in names)) for x in "ab")
+    return (
+        left.join(right, "sig")
+        .where((F.col("set_id_a") < F.col("set_id_b")) & _near_in_size(percent))
+        .withColumn(
+            "needed",
+            F.least(_required("size_a", percent), _required("size_b", percent)) - F.least("n_large_a", "n_large_b"),
+        )
+        .groupBy(F.col("set_id_a").alias("a"), F.col("set_id_b").alias("b"))
+        .agg(
+            F.count(F.lit(1)).alias("n"),
+            F.max("needed").alias("needed"),
+            F.bool_or(_may_link(percent) | (F.least("n_large_a", "n_large_b") > 0)).alias("may"),
+        )
+        .where("n >= needed AND may")
+        .select("a", "b")
+    )
+
+
 def other_pairs(buckets: DataFrame, percent: int) -> DataFrame:
     """All pairs within a bucket that are not yet in one component."""
-    right = buckets.select("sig", F.col("set_id").alias("b"), F.col("size").alias("size_b"), F.col("part").alias("part_b"))
+    names = {"set_id": "", "size": "size_", "place": "place_", "part": "part_"}
+    left, right = (buckets.select("sig", *(F.col(c).alias(f"{n}{x}") for c, n in names.items())) for x in "ab")
     return (
-        buckets.withColumnRenamed("size", "size_a")
-        .withColumnRenamed("set_id", "a")
-        .join(right, "sig")
-        .where((F.col("a") < F.col("b")) & (F.col("part") != F.col("part_b")) & _near_in_size(percent))
+        left.join(right, "sig")
+        .where((F.col("a") < F.col("b")) & (F.col("part_a") != F.col("part_b")) & _may_link(percent))
         .select("a", "b")
         .distinct()
     )
 
 
+def _parts(links: DataFrame) -> DataFrame:
+    return components(links).select(F.col("node").alias("set_id"), F.col("component").alias("part"))
+
+
 def link_documents(docs: DataFrame, n: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
     """(doc_id, n_shingles, component_id): one row for each row of ``docs``.
 
-    Documents with equal sets are one node. Nodes that share a signature form a bucket. In
-    a large bucket all are compared with one member, the one with the most frequent tokens
-    first, and links join nodes to parts; buckets within one part are done, so a group of
-    near copies takes as many comparisons as it has members. Then, in buckets
-    that still hold several parts, every pair of different parts that has not been compared is.
+    Documents with equal sets are one node. Nodes that share a signature form a bucket. Pairs
+    that meet in small buckets as often as linked ones must are compared. In a large bucket
+    all are compared with one member, the one with the most frequent tokens first, and
+    links join nodes to parts; buckets within one part are done, so a group of near copies
+    takes as many comparisons as it has members. Then, in large buckets that still hold
+    several parts, every pair of different parts that has not been compared is.
     Pairs are verified by their whole sets. Parts are connected components.
 
     Words are lower-cased (A-Z). Fewer than n words are one n-gram; texts without words (or
@@ -290,29 +349,34 @@ def link_documents(docs: DataFrame, n: int = SHINGLE, percent: int = PERCENT) ->
     shared = written(index.join(met, "sig", "left_semi").distinct(), "shared-signatures")
     sizes = shared.groupBy("sig").agg(F.count(F.lit(1)).alias("n_members"))
     shared = written(shared.join(sizes, "sig"), "buckets")
-    sets = written(sets_of(docs, shared.select("set_id").distinct(), n), "sets")
-
-    links = docs.sparkSession.createDataFrame([], "a bigint, b bigint")
-    parts = docs.sparkSession.createDataFrame([], "set_id bigint, part bigint")
-    compared = links
+    large = shared.where(F.col("n_members") > SMALL_BUCKET)
+    pairs = written(counted_pairs(shared, percent), "pairs")
+    ends = F.explode(F.array("a", "b")).alias("set_id")
+    wanted = pairs.select(ends).unionByName(large.select("set_id")).distinct()
+    sets = written(sets_of(docs, wanted, n), "sets")
+
+    compared = pairs
+    links = written(verified(pairs, sets, percent), "links")
+    parts = _parts(links)
     for step in range(STAR_ROUNDS + 1):
-        buckets = shared.join(parts, "set_id", "left").withColumn("part", F.coalesce("part", "set_id"))
-        mixed_sigs = (
+        buckets = large.join(parts, "set_id", "left").withColumn("part", F.coalesce("part", "set_id"))
+        several = (
             buckets.groupBy("sig").agg(F.min("part").alias("_low"), F.max("part").alias("_high")).where("_low <> _high")
         )
-        buckets = buckets.join(mixed_sigs.select("sig"), "sig", "left_semi")
+        buckets = written(buckets.join(several.select("sig"), "sig", "left_semi"), "open-buckets")
+        if buckets.isEmpty():
+            break
         if step == STAR_ROUNDS:
             pairs = other_pairs(buckets, percent)
         else:
             choice = F.struct("weight", "set_id") if step == 0 else F.struct(F.xxhash64("set_id", F.lit(step)), F.col("set_id"))
-            pairs = star_pairs(buckets.where(F.col("n_members") > SMALL_BUCKET), choice, percent)
+            pairs = star_pairs(buckets, choice, percent)
         pairs = written(pairs.join(compared, ["a", "b"], "left_anti"), "pairs")
         compared = compared.unionByName(pairs)
         found = written(verified(pairs, sets, percent), "links")
-        if found.isEmpty() and step < STAR_ROUNDS:
-            continue
-        links = links.unionByName(found)
-        parts = components(links).select(F.col("node").alias("set_id"), F.col("component").alias("part"))
+        if not found.isEmpty():
+            links = links.unionByName(found)
+            parts = _parts(links)
     named = nodes.join(parts, "set_id", "left").withColumn("part", F.coalesce("part", "set_id"))
     least = named.where("part IS NOT NULL").groupBy("part").agg(F.min("doc_id").alias("component_id"))
     return named.join(least, "part", "left").select(
