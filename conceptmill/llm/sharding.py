@@ -92,7 +92,13 @@ def shard_documents(docs: DataFrame, shards: int = SHARDS, seed: int = 42) -> Da
     """
     n = docs.select(F.lit(1)).count()
     text = F.coalesce("text", F.lit(""))
-    numbered = hash_rank(docs.withColumn("_uid", identity(docs)), "_uid", name="_number").drop("_uid")
+    measured = (
+        docs.withColumn("_uid", identity(docs))
+        .withColumn("size", F.octet_length(text).cast("bigint") + 1)
+        .withColumn("text_crc32", F.crc32(text.cast("binary")))
+    )
+    # Measured before rows move, so texts move only where they are asked for.
+    numbered = hash_rank(measured, "_uid", name="_number").drop("_uid")
 
     @F.pandas_udf("bigint")
     def place(number: pd.Series) -> pd.Series:
@@ -100,8 +106,6 @@ def shard_documents(docs: DataFrame, shards: int = SHARDS, seed: int = 42) -> Da
 
     return (
         numbered.withColumn("_place", place("_number"))
-        .withColumn("size", F.octet_length(text).cast("bigint") + 1)
-        .withColumn("text_crc32", F.crc32(text.cast("binary")))
         .withColumn("shard", (F.col("_place") % shards).cast("int"))
         .withColumn("slot", F.floor(F.col("_place") / shards).cast("bigint"))
         .drop("_number", "_place")
