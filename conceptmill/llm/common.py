@@ -76,13 +76,29 @@ def in_chunks(texts: Iterable[bytes], size: int = 1 << 20) -> Iterator[slice]:
         yield slice(start, at + 1)
 
 
+def columns(rows: DataFrame) -> dict[str, np.ndarray]:
+    """Columns of a small result on the driver."""
+    table = rows.toArrow()
+    return {name: table.column(name).to_numpy() for name in table.column_names}
+
+
+def hash_sample(ids: DataFrame, limit: int) -> DataFrame:
+    """At most ``limit`` of the distinct values of one column, those with the smallest hash.
+
+    A cut on the hash leaves a little more than ``limit`` rows before they are sorted.
+    """
+    n, of = ids.count(), F.pmod(F.xxhash64(*ids.columns), F.lit(1 << 40))
+    if n > limit:
+        ids = ids.where(of <= int((limit + 4 * limit**0.5) / n * (1 << 40)) + 1)
+    return ids.orderBy(of, *ids.columns).limit(limit)
+
+
 def counters(parts: DataFrame, key: str, *values: str) -> dict[str, np.ndarray]:
     """Sums of ``values`` by ``key`` on the driver.
 
     Only for keys out of a fixed, documented range (buckets, letters, states).
     """
-    rows = parts.groupBy(key).agg(*(F.sum(v).alias(v) for v in values)).toPandas()
-    return {name: rows[name].to_numpy() for name in rows.columns}
+    return columns(parts.groupBy(key).agg(*(F.sum(v).alias(v) for v in values)))
 
 
 def written(df: DataFrame, name: str) -> DataFrame:
@@ -103,10 +119,9 @@ def bit_filter(values: DataFrame, bits: int) -> np.ndarray:
         values.select(F.explode(places).alias("place"))
         .groupBy(F.shiftright("place", 6).cast("int").alias("at"))
         .agg(F.bit_or(F.expr("shiftleft(1L, cast(place & 63 AS INT))")).alias("bits"))
-        .toPandas()
     )
-    packed = np.zeros(1 << (bits - 6), np.int64)
-    packed[rows["at"].to_numpy(np.int64)] = rows["bits"].to_numpy(np.int64)
+    found, packed = columns(rows), np.zeros(1 << (bits - 6), np.int64)
+    packed[found["at"]] = found["bits"]
     return packed.view(np.uint64)
 
 

@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from conceptmill.llm.common import in_chunks, raw_texts, remainder
+from conceptmill.llm.common import columns, in_chunks, raw_texts, remainder
 
 DIMENSIONS = 1024
 UNKNOWN = "und"
@@ -111,15 +111,14 @@ def language_prototypes(docs: DataFrame, dimensions: int = DIMENSIONS) -> tuple[
 
     held_out = F.coalesce(remainder(F.col("doc_id"), 4) == 2, F.lit(False))
     parts = docs.where(F.col("lang").isNotNull() & ~held_out).select("text", "lang")
-    sums = (
+    sums = columns(
         parts.mapInArrow(bundle, "lang string, at int, value bigint")
         .groupBy("lang", "at")
         .agg(F.sum("value").alias("value"))
-        .toPandas()
     )
-    langs = sorted(sums["lang"].unique())
+    langs = sorted(set(sums["lang"].tolist()))
     table = np.zeros((len(langs), dimensions))
-    table[np.searchsorted(langs, sums["lang"]), sums["at"]] = sums["value"]
+    table[[langs.index(lang) for lang in sums["lang"]], sums["at"]] = sums["value"]
     return langs, (table / np.maximum(np.linalg.norm(table, axis=1, keepdims=True), 1)).astype(np.float32)
 
 

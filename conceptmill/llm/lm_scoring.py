@@ -11,7 +11,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from conceptmill.llm.common import REMEMBERED_WORDS, counters, raw_texts, remainder, written
+from conceptmill.llm.common import REMEMBERED_WORDS, columns, counters, raw_texts, remainder, written
 
 STATES = 8
 ROUNDS = 3
@@ -104,27 +104,41 @@ class Vocabulary:
         return np.log10((n + 1.0) / (self.tokens + self.distinct + 1.0))
 
 
+def frequent(counts: DataFrame, most: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Hashes, counts and endings of the most frequent words, at most ``most`` of them, in that order.
+
+    Words are counted by 16 classes for each doubling of their count, so the least count
+    that leaves few enough is known before any word reaches the driver.
+    """
+    level = F.floor(16 * F.log2("n")).cast("int")
+    sizes = columns(counts.groupBy(level.alias("level")).agg(F.count(F.lit(1)).alias("words")))
+    order = np.argsort(-sizes["level"])
+    fits = np.cumsum(sizes["words"][order]) <= most
+    least = int(sizes["level"][order][fits][-1]) if fits.any() else 1 << 20
+    top = columns(counts.where(level >= least))
+    order = np.lexsort((top["hash"], -top["n"]))
+    return top["hash"][order], top["n"][order], top["ending"][order].astype(np.int64)
+
+
 def vocabulary(counts: DataFrame) -> Vocabulary:
     """The frequent words (a fixed number) and sums by class of endings of those without a code."""
     total = counts.agg(F.sum("n"), F.count(F.lit(1))).first()
-    top = counts.orderBy(F.desc("n"), "hash").limit(KNOWN_WORDS).toPandas()
-    words = top[top["hash"] != END]
-    code = np.full(len(top), -1)
-    code[np.flatnonzero(top["hash"].to_numpy() != END)[:OWN_CODES]] = np.arange(min(OWN_CODES, len(words)))
-    code[top["hash"].to_numpy() == END] = END_CODE
-    order = np.argsort(top["hash"].to_numpy())
+    hashes, n, endings = frequent(counts, KNOWN_WORDS)
+    code = np.full(hashes.size, -1)
+    own = np.flatnonzero(hashes != END)[:OWN_CODES]
+    code[own] = np.arange(own.size)
+    code[hashes == END] = END_CODE
     sums = counters(
         counts.where("ending >= 0").select("ending", "n", F.lit(1).alias("words")), "ending", "n", "words"
     )
     class_n, class_words = np.zeros(ENDINGS), np.zeros(ENDINGS)
     class_n[sums["ending"]], class_words[sums["ending"]] = sums["n"], sums["words"]
-    own = words.head(OWN_CODES)
-    np.subtract.at(class_n, own["ending"].to_numpy(np.int64), own["n"].to_numpy(float))
-    np.subtract.at(class_words, own["ending"].to_numpy(np.int64), 1.0)
+    np.subtract.at(class_n, endings[own], n[own].astype(float))
+    np.subtract.at(class_words, endings[own], 1.0)
+    order = np.argsort(hashes)
     return Vocabulary(
-        int(total[0] or 0), int(total[1] or 0), top["hash"].to_numpy(np.int64)[order],
-        top["n"].to_numpy(np.int64)[order], code[order], class_n, class_words,
-    )
+        int(total[0] or 0), int(total[1] or 0), hashes[order], n[order], code[order], class_n, class_words
+    )
 
 
 def encoded(docs: DataFrame, vocabulary: Vocabulary) -> DataFrame:

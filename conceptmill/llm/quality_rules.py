@@ -9,9 +9,8 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
-from conceptmill.llm.common import REMEMBERED_WORDS, SPACE_BYTES, counters, raw_texts
+from conceptmill.llm.common import REMEMBERED_WORDS, SPACE_BYTES, columns, counters, hash_sample, raw_texts
 
 # Buckets of the hashed n-grams (a prime): the size of the model, whatever the corpus.
 BUCKETS = 32_749
@@ -66,8 +65,7 @@ def repeated_words(ids: np.ndarray) -> int:
 def trusted_ids(labels: DataFrame, limit: int = MAX_TRUSTED) -> np.ndarray:
     """Sorted ids of documents labelled as good, at most ``limit`` of them (chosen by hash)."""
     good = labels.where("quality = 1 AND doc_id IS NOT NULL").select("doc_id").distinct()
-    rows = good.orderBy(F.xxhash64("doc_id"), "doc_id").limit(limit).toPandas()
-    return np.sort(rows["doc_id"].to_numpy(np.int64))
+    return np.sort(columns(hash_sample(good, limit))["doc_id"].astype(np.int64))
 
 
 def log_ratios(docs: DataFrame, labels: DataFrame, limit: int = MAX_TRUSTED) -> np.ndarray:

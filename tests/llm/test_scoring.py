@@ -9,7 +9,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from conceptmill.llm import language_id, lm_scoring, quality_rules, token_counts, toxicity
+from conceptmill.llm import common, language_id, lm_scoring, quality_rules, token_counts, toxicity
 
 
 def low(text):
@@ -221,3 +221,25 @@ def test_language_edges(edge_docs, no_docs):
     unlabelled = edge_docs.withColumn("lang", F.lit(None).cast("string"))
     assert {r["lang_pred"] for r in language_id.identify_languages(unlabelled).collect()} <= {"und"}
     assert language_id.identify_languages(no_docs).collect() == []
+
+
+# --- shared helpers ---------------------------------------------------------------------
+
+
+def test_bounded_samples(spark):
+    ids = spark.range(5000).select(F.col("id").alias("doc_id"))
+    some = [r[0] for r in common.hash_sample(ids, 700).collect()]
+    assert len(some) == len(set(some)) == 700
+    assert set(some) <= {r[0] for r in common.hash_sample(ids, 900).collect()}
+    assert common.hash_sample(ids, 10_000).count() == 5000
+    counts = spark.createDataFrame([(i, i % 5, 1 + 1000 // (i + 1)) for i in range(200)], "hash bigint, ending smallint, n bigint")
+    hashes, n, endings = lm_scoring.frequent(counts, 20)
+    assert 10 <= hashes.size <= 20 and hashes.tolist() == list(range(hashes.size))
+    assert n.tolist() == [1 + 1000 // (i + 1) for i in hashes] and endings.tolist() == [i % 5 for i in hashes]
+
+
+def test_bit_filter_misses_nothing(spark):
+    values = [((i * 0x9E3779B97F4A7C15) % (1 << 64)) - (1 << 63) for i in range(2000)]
+    packed = common.bit_filter(spark.createDataFrame([(x,) for x in values[:1000]], "h bigint"), 16)
+    held = common.may_hold(packed, np.array(values, np.int64).view(np.uint64))
+    assert held[:1000].all() and held[1000:].mean() < 0.05
