@@ -4,7 +4,8 @@ Every stage takes (spark, docs, sf_dir) and works on all rows its predecessor ke
 the last return the columns of documents. Which operator decides what:
 
 quality rules        drops documents that the rules reject
-n-gram Jaccard join  keeps the smallest doc_id of each group of near copies
+n-gram Jaccard join  keeps the smallest doc_id of each group of near copies (5-word shingles, Jaccard
+                     0.8; op5_ngram_join links by its own rule of 3 words and 0.9)
 decontamination      drops documents that hold a passage of the benchmark
 mixing               takes words of each source up to its target; a document may be taken in
                      part, once or twice, and then stands as one row for each pass
@@ -19,13 +20,16 @@ from conceptmill.llm import decontamination, mixing, ngram_join, quality_rules,
 from conceptmill.llm.common import table
 from conceptmill.session import scratch_path
 
+# Documents are near copies when their sets of so many words in a row are alike to this percentage.
+NEAR_COPY_WORDS, NEAR_COPY_PERCENT = 5, 80
+
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return quality_rules.keep_good(docs, table(spark, sf_dir, "labels"))
 
 
 def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return ngram_join.first_of_each(docs)
+    return ngram_join.first_of_each(docs, n=NEAR_COPY_WORDS, percent=NEAR_COPY_PERCENT)
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

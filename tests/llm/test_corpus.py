@@ -360,6 +360,24 @@ def test_pipeline_stage_by_stage(spark, sf, documents):
     assert got == +words
 
 
+def test_near_copy_stage_takes_five_words_and_80_percent(spark, sf, documents):
+    rng = random.Random(8)
+    words = [f"w{i}" for i in range(400)]
+    near = near_copies()
+    for size in (40, 80, 160, 310):  # copies between the rule of the stage and that of operator 5
+        origin = [rng.choice(words) for _ in range(size)]
+        for copy in range(4):
+            text = list(origin)
+            for at in range(copy * 3, size, 50):
+                text[at] = f"c{copy}"
+            near.append((len(near), " ".join(text)))
+    for docs in (spark.createDataFrame(near, "doc_id bigint, text string"), documents):
+        rows = [(r["doc_id"], r["text"]) for r in docs.select("doc_id", "text").collect()]
+        firsts = [{i for i, first in brute_components(rows, *rule)[1].items() if i == first} for rule in ((5, 80), (3, 90))]
+        got = [r["doc_id"] for r in corpus_pipeline.near_copies(spark, docs, sf).collect()]
+        assert sorted(got) == sorted(firsts[0]) and firsts[0] != firsts[1]
+
+
 def test_pipeline_on_an_empty_table(spark, sf, documents):
     docs = documents.limit(0)
     for _, stage in corpus_pipeline.STAGES:
