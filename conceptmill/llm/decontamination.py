@@ -15,10 +15,9 @@ from conceptmill.llm.common import WordHashes, bit_filter, in_chunks, may_hold,
 # Positions of a window that count (1) and that may differ (0).
 MASKS = ("11101011011", "11011001111", "10110111101")
 SPAN = len(MASKS[0])
-# An overlap counts from this many words, with this share of them equal, in place.
+# An overlap counts from this many words, with this share of them equal in place, in percent.
 MIN_OVERLAP = 10
-MIN_SAME = 0.8
-MISMATCH = 3
+SAME_PERCENT = 80
 # Bits of the filter sent to the tasks: 8 MB, whatever the benchmark.
 FILTER_BITS = 26
 
@@ -115,25 +114,29 @@ def seed_hits(docs: DataFrame, packed: np.ndarray) -> DataFrame:
     )
 
 
-def best_overlap(doc: list[bytes], item: list[bytes], shift: int) -> tuple[int, int, int, int]:
-    """(start in the document, start in the item, words, equal words) of the best stretch.
+def longest_overlap(doc: list[bytes], item: list[bytes], shift: int) -> tuple[int, int, int, int]:
+    """(start in the document, start in the item, words, equal words) of the longest leak, zeros without one.
 
-    The item is laid on the document with its word 0 at ``shift``. An equal word counts 1,
-    a different one -MISMATCH; the stretch of the largest sum wins, the first of equals.
+    The item is laid on the document with its word 0 at ``shift``. Of all stretches of
+    MIN_OVERLAP words or more with a share of SAME_PERCENT equal, the longest wins, the first of
+    equals. In the sums of what each word has above that share, such a stretch ends no lower
+    than it starts; a longest one starts at a new minimum, and is met first from the right.
     """
     start = max(0, -shift)
     stop = min(len(item), len(doc) - shift)
-    best, total, begin, result = 0, 0, start, (0, 0, 0, 0)
-    same = equal = 0
+    above, same, lows = [0], [0], [0]
     for at in range(start, stop):
         match = item[at] == doc[at + shift]
-        total += 1 if match else -MISMATCH
-        same += match
-        if total <= 0:
-            total, begin, same = 0, at + 1, 0
-        elif total > best:
-            best, equal = total, same
-            result = (begin + shift, begin, at + 1 - begin, equal)
+        above.append(above[-1] + (100 - SAME_PERCENT if match else -SAME_PERCENT))
+        same.append(same[-1] + match)
+        if above[-1] < above[lows[-1]]:
+            lows.append(len(above) - 1)
+    result = (0, 0, 0, 0)
+    for end in range(len(above) - 1, 0, -1):
+        while lows and above[end] >= above[lows[-1]]:
+            low = lows.pop()
+            if end - low >= max(MIN_OVERLAP, result[2]):
+                result = (start + low + shift, start + low, end - low, same[end] - same[low])
     return result
 
 
@@ -143,8 +146,8 @@ def _verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         columns = (batch.column(i) for i in range(2, 5))
         docs, items, shifts = (c.to_pylist() for c in columns)
         for at, (doc, item, shift) in enumerate(zip(docs, items, shifts, strict=True)):
-            found = best_overlap(doc.split(" "), item.split(" "), shift)
-            if found[2] >= MIN_OVERLAP and found[3] >= MIN_SAME * found[2]:
+            found = longest_overlap(doc.split(" "), item.split(" "), shift)
+            if found[2]:
                 kept.append(at)
                 rows.append((*found, len(item.split(" "))))
         take = pa.array(kept, pa.int64())
@@ -161,9 +164,9 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     Words are lower-cased (A-Z) and stripped of punctuation. Three masks of 11 positions
     ignore 3 each; windows of documents whose seed may be in the benchmark (a filter of
     fixed size tells) are joined with the benchmark's seeds. Around every hit the item is
-    laid on the document and the best stretch of equal words, each different word
-    costing three, is measured. It is a leak from 10 words with 80 % equal. One row for each
-    (row, item), the longest stretch (then the first) when the item occurs more than once.
+    laid on the document and the longest stretch from 10 words with 80 % equal is a leak.
+    One row for each (row, item), the longest stretch (then the one with the most equal
+    words, then the first) when the item occurs more than once.
 
     Equal texts are verified once. Null texts and texts or items of fewer than 11 words
     never match. Repeated document or item rows give a row each. Empty tables give none.
@@ -200,7 +203,7 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
         .agg(
             F.max_by(
                 F.struct("doc_start", "item_start", "n_overlap", "n_same", "n_item"),
-                F.struct("n_same", "n_overlap", -F.col("doc_start"), -F.col("item_start")),
+                F.struct("n_overlap", "n_same", -F.col("doc_start"), -F.col("item_start")),
             ).alias("best")
         )
     )

@@ -330,6 +330,44 @@ def test_leak_edges(spark, edge_docs, no_docs):
     assert decontamination.find_leaks(edge_docs, benchmark.limit(0)).collect() == []
 
 
+def brute_overlap(doc, item, shift):
+    """Every stretch on the diagonal; the longest that is a leak, the first of equals."""
+    start, stop, best = max(0, -shift), min(len(item), len(doc) - shift), (0, 0, 0, 0)
+    for i in range(start, stop):
+        for j in range(i + 10, stop + 1):
+            same = sum(item[k] == doc[k + shift] for k in range(i, j))
+            if 5 * same >= 4 * (j - i) and j - i > best[2]:
+                best = (i + shift, i, j - i, same)
+    return best
+
+
+def test_longest_overlap_matches_brute_force():
+    rng = random.Random(11)
+    found = 0
+    for _ in range(1500):
+        item = [f"i{k}" for k in range(rng.choice((9, 10, 11, 15, 18, 30, 45)))]
+        doc = [w if rng.random() < rng.choice((0.7, 0.8, 0.9)) else "x" for w in item]
+        at = rng.randrange(len(doc))
+        doc[at : at + rng.randrange(4)] = ["x"] * len(doc[at : at + 3])
+        doc = doc[rng.randrange(4) :]
+        shift = next((k - int(w[1:]) for k, w in enumerate(doc) if w != "x"), 0)
+        got = decontamination.longest_overlap(doc, item, shift)
+        assert got == brute_overlap(doc, item, shift)
+        found += got[2] > 0
+    assert 300 < found < 1400
+
+
+def test_neighbouring_substitutions_are_leaks(spark):
+    """9 equal words, 2 different, 4 equal: 13 of 15."""
+    item = [f"i{k}" for k in range(15)]
+    docs = [(0, " ".join(item[:9] + ["x", "y"] + item[11:]))]
+    got = decontamination.find_leaks(
+        spark.createDataFrame(docs, "doc_id bigint, text string"),
+        spark.createDataFrame([(7, " ".join(item))], "item_id bigint, text string"),
+    ).collect()
+    assert sorted(tuple(r) for r in got) == [(0, 7, 0, 0, 15, 13, 15)]
+
+
 # --- pipeline and queries ----------------------------------------------------------------
 
 
