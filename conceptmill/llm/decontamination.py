@@ -12,9 +12,11 @@ from pyspark.sql import functions as F
 
 from conceptmill.llm.common import WordHashes, bit_filter, in_chunks, may_hold, raw_texts, written
 
-# Positions of a window that count (1) and that may differ (0).
-MASKS = ("11101011011", "11011001111", "10110111101")
-SPAN = len(MASKS[0])
+# Positions of a window that count (1) and that may differ (0). No leak is without a seed: one from
+# 20 words on has a part of 10 to 19 words that is a leak, and in that there are 10 words with two
+# different ones at most, of which one of the first five masks avoids any two, or else 15 with three,
+# all among the middle five, which the last one leaves out.
+MASKS = ("1110111", "11011011", "1110000111", "111111", "1101001011", "111110000011111")
 # An overlap counts from this many words, with this share of them equal in place, in percent.
 MIN_OVERLAP = 10
 SAME_PERCENT = 80
@@ -23,7 +25,7 @@ FILTER_BITS = 26
 
 LOWER = bytes(range(65)) + bytes(range(97, 123)) + bytes(range(91, 256))
 PUNCTUATION = b"""!"'(),.:;?[]{}"""
-MULTIPLIERS = np.random.default_rng(7).integers(1 << 62, 1 << 63, SPAN, dtype=np.uint64) | np.uint64(1)
+MULTIPLIERS = np.random.default_rng(7).integers(1 << 62, 1 << 63, max(map(len, MASKS)), dtype=np.uint64) | np.uint64(1)
 
 
 def plain_words(text: bytes) -> list[bytes]:
@@ -31,11 +33,17 @@ def plain_words(text: bytes) -> list[bytes]:
     return text.translate(LOWER, PUNCTUATION).split()
 
 
-def seeds_of(hashes: np.ndarray, mask: int) -> np.ndarray:
+def whole_mask(n_words: int) -> str:
+    """Mask of an item with fewer words than an overlap needs: all of them count."""
+    return "1" * n_words + "|"
+
+
+def seeds_of(hashes: np.ndarray, mask: str) -> np.ndarray:
     """Hash of the counting positions of every window."""
-    n = hashes.size - SPAN + 1
-    sums = np.full(max(n, 0), mask + 1, np.uint64)
-    for at, bit in enumerate(MASKS[mask]):
+    bits = mask.rstrip("|")
+    n = hashes.size - len(bits) + 1
+    sums = np.full(max(n, 0), xxhash.xxh3_64_intdigest(mask), np.uint64)
+    for at, bit in enumerate(bits):
         if bit == "1" and n > 0:
             sums += hashes[at : at + n] * MULTIPLIERS[at]
     sums ^= sums >> np.uint64(29)
@@ -49,7 +57,7 @@ def _item_seeds(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for text in raw_texts(batch.column(0)):
             found = plain_words(text)
             hashes, key = memory.of(found), xxhash.xxh3_128_digest(b" ".join(found))
-            for mask in range(len(MASKS)):
+            for mask in MASKS if len(found) >= MIN_OVERLAP else [whole_mask(len(found))] if found else []:
                 seeds = seeds_of(hashes, mask)
                 yield pa.RecordBatch.from_pydict(
                     {
@@ -68,12 +76,13 @@ def _items(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 batch.column(0),
                 pa.array([xxhash.xxh3_128_digest(b" ".join(w)) for w in found], pa.binary()),
                 pa.array([b" ".join(w).decode("utf-8", "replace") for w in found], pa.string()),
+                pa.array([len(w) for w in found], pa.int64()),
             ],
-            names=["item_id", "item_key", "item_words"],
+            names=["item_id", "item_key", "item_words", "n_words"],
         )
 
 
-def seed_hits(docs: DataFrame, packed: np.ndarray) -> DataFrame:
+def seed_hits(docs: DataFrame, packed: np.ndarray, masks: list[str]) -> DataFrame:
     """(doc_id, doc_key, doc_words, seeds, places) of documents with a window in the filter."""
     bits = docs.sparkSession.sparkContext.broadcast(packed)
 
@@ -84,17 +93,18 @@ def seed_hits(docs: DataFrame, packed: np.ndarray) -> DataFrame:
             texts = raw_texts(batch.column(1))
             for part in in_chunks(texts):
                 found = [plain_words(text) for text in texts[part]]
-                ends = np.cumsum([len(w) for w in found])
+                sizes = [len(w) for w in found]
+                starts = np.cumsum([0, *sizes])
+                owner = np.repeat(np.arange(len(found)), sizes)
                 hashes = memory.of([w for doc in found for w in doc])
-                owner = np.searchsorted(ends, np.arange(max(hashes.size - SPAN + 1, 0)), side="right")
-                last = np.searchsorted(ends, np.arange(SPAN - 1, hashes.size), side="right")
                 hits: dict[int, list[tuple[int, int]]] = {}
-                for mask in range(len(MASKS)):
+                for mask in masks:
                     seeds = seeds_of(hashes, mask)
-                    some = np.flatnonzero(may_hold(table, seeds) & (owner == last))
+                    last = owner[owner.size - seeds.size :]
+                    some = np.flatnonzero(may_hold(table, seeds) & (owner[: seeds.size] == last))
                     for at, seed in zip(some.tolist(), seeds[some].view(np.int64).tolist(), strict=True):
                         doc = int(owner[at])
-                        hits.setdefault(doc, []).append((seed, at - int(ends[doc]) + len(found[doc])))
+                        hits.setdefault(doc, []).append((seed, at - int(starts[doc])))
                 docs_hit = sorted(hits)
                 joined = [b" ".join(found[d]) for d in docs_hit]
                 yield pa.RecordBatch.from_arrays(
@@ -140,16 +150,23 @@ def longest_overlap(doc: list[bytes], item: list[bytes], shift: int) -> tuple[in
     return result
 
 
+def whole_item(doc: list[bytes], item: list[bytes], shift: int) -> tuple[int, int, int, int]:
+    """What ``longest_overlap`` gives, for an item that has to stand in the document as it is."""
+    n = len(item)
+    return (shift, 0, n, n) if doc[shift : shift + n] == item else (0, 0, 0, 0)
+
+
 def _verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         kept, rows = [], []
-        columns = (batch.column(i) for i in range(2, 5))
-        docs, items, shifts = (c.to_pylist() for c in columns)
-        for at, (doc, item, shift) in enumerate(zip(docs, items, shifts, strict=True)):
-            found = longest_overlap(doc.split(" "), item.split(" "), shift)
+        columns = (batch.column(i).to_pylist() for i in range(2, 5))
+        for at, (doc_words, item_words, shifts) in enumerate(zip(*columns, strict=True)):
+            doc, item = doc_words.split(" "), item_words.split(" ")
+            overlap = longest_overlap if len(item) >= MIN_OVERLAP else whole_item
+            found = max((overlap(doc, item, shift) for shift in shifts), key=lambda x: (x[2], x[3], -x[0], -x[1]))
             if found[2]:
                 kept.append(at)
-                rows.append((*found, len(item.split(" "))))
+                rows.append((*found, len(item)))
         take = pa.array(kept, pa.int64())
         values = np.array(rows, np.int64).reshape(-1, 5)
         yield pa.RecordBatch.from_arrays(
@@ -161,25 +178,28 @@ def _verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def find_leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """(doc_id, item_id, doc_start, item_start, n_overlap, n_same, n_item) of contaminated documents.
 
-    Words are lower-cased (A-Z) and stripped of punctuation. Three masks of 11 positions
-    ignore 3 each; windows of documents whose seed may be in the benchmark (a filter of
+    Words are lower-cased (A-Z) and stripped of punctuation. Masks ignore some
+    positions of a window; windows of documents whose seed may be in the benchmark (a filter of
     fixed size tells) are joined with the benchmark's seeds. Around every hit the item is
     laid on the document and the longest stretch from 10 words with 80 % equal is a leak.
     One row for each (row, item), the longest stretch (then the one with the most equal
     words, then the first) when the item occurs more than once.
 
-    Equal texts are verified once. Null texts and texts or items of fewer than 11 words
-    never match. Repeated document or item rows give a row each. Empty tables give none.
+    An item of fewer than 10 words is a leak where all its words stand in a row, unchanged.
+
+    Equal texts are verified once. Null texts and items without words never match. Repeated document or item rows give a row each. Empty tables give none.
     """
     items = written(benchmark.select("item_id", "text").mapInArrow(
-        _items, f"item_id {benchmark.schema['item_id'].dataType.simpleString()}, item_key binary, item_words string"
+        _items, f"item_id {benchmark.schema['item_id'].dataType.simpleString()}, item_key binary, item_words string, n_words bigint"
     ), "benchmark-items")
     unique_items = items.groupBy("item_key").agg(F.first("item_words").alias("item_words"))
     seeds = written(
         unique_items.select("item_words").mapInArrow(_item_seeds, "item_key binary, seed bigint, item_at bigint"),
         "benchmark-seeds",
     )
-    hits = written(seed_hits(docs, bit_filter(seeds.select("seed"), FILTER_BITS)), "seed-hits")
+    short = items.where(F.col("n_words").between(1, MIN_OVERLAP - 1)).select("n_words").distinct().collect()
+    masks = [*MASKS, *(whole_mask(r["n_words"]) for r in short)]
+    hits = written(seed_hits(docs, bit_filter(seeds.select("seed"), FILTER_BITS), masks), "seed-hits")
     unique_docs = hits.groupBy("doc_key").agg(
         F.first("doc_words").alias("doc_words"), F.first("seeds").alias("seeds"), F.first("places").alias("places")
     )
@@ -188,29 +208,22 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     ).select("doc_key", F.col("hit.seeds").alias("seed"), F.col("hit.places").alias("doc_at"))
     pairs = (
         windows.join(seeds, "seed")
-        .select("doc_key", "item_key", (F.col("doc_at") - F.col("item_at")).alias("shift"))
-        .distinct()
+        .groupBy("doc_key", "item_key")
+        .agg(F.collect_set(F.col("doc_at") - F.col("item_at")).alias("shifts"))
     )
     found = (
         pairs.join(unique_docs.select("doc_key", "doc_words"), "doc_key")
         .join(unique_items, "item_key")
-        .select("doc_key", "item_key", "doc_words", "item_words", "shift")
+        .select("doc_key", "item_key", "doc_words", "item_words", "shifts")
         .mapInArrow(
             _verify,
             "doc_key binary, item_key binary, doc_start bigint, item_start bigint, n_overlap bigint, n_same bigint, n_item bigint",
         )
-        .groupBy("doc_key", "item_key")
-        .agg(
-            F.max_by(
-                F.struct("doc_start", "item_start", "n_overlap", "n_same", "n_item"),
-                F.struct("n_overlap", "n_same", -F.col("doc_start"), -F.col("item_start")),
-            ).alias("best")
-        )
     )
     return (
         found.join(hits.select("doc_id", "doc_key"), "doc_key")
         .join(items.select("item_id", "item_key"), "item_key")
-        .select("doc_id", "item_id", "best.*")
+        .select("doc_id", "item_id", "doc_start", "item_start", "n_overlap", "n_same", "n_item")
     )
 
 

@@ -1,6 +1,7 @@
 """Operators on the corpus as a whole: 2, 5, 6, 8, 9, components and the pipeline."""
 
 import hashlib
+import itertools
 import random
 import re
 import zlib
@@ -368,6 +369,55 @@ def test_neighbouring_substitutions_are_leaks(spark):
     assert sorted(tuple(r) for r in got) == [(0, 7, 0, 0, 15, 13, 15)]
 
 
+def avoids(bits, different):
+    """Whether a mask has a place in a stretch at which it leaves out all that differs."""
+    n = len(different)
+    return any(all(b == "0" or not different[i + k] for k, b in enumerate(bits)) for i in range(n - len(bits) + 1))
+
+
+def test_every_leak_has_a_seed():
+    for n in range(10, 20):
+        for k in range(n // 5 + 1):
+            for places in itertools.combinations(range(n), k):
+                different = [i in places for i in range(n)]
+                assert any(avoids(mask, different) for mask in decontamination.MASKS)
+
+
+def test_changed_and_short_items_match_brute_force(spark):
+    rng = random.Random(21)
+    words = [f"v{i}" for i in range(2000)]
+    items = [[rng.choice(words) for _ in range(n)] for n in (1, 2, 5, 9, 10, 11, 14, 15, 18, 30, 59)]
+    docs = [["only"], items[0], items[3], items[4]]
+    for i in range(330):
+        item = items[i % 11]
+        n = len(item) if i % 3 else min(len(item), 10 + i % 9)  # whole, or a part of it
+        at = rng.randrange(len(item) - n + 1)
+        part = list(item[at : at + n])
+        first = rng.randrange(n)
+        for k in range(rng.randrange(n // 4 + 2)):  # neighbours or anywhere
+            part[(first + k) % n if i % 2 else rng.randrange(n)] = "changed"
+        text = [rng.choice(words) for _ in range(rng.choice((0, 1, 40)))]
+        docs.append(text + part + [rng.choice(words) for _ in range(rng.choice((0, 1, 40)))])
+    expected = {}
+    for d, doc in enumerate(docs):
+        for t, item in enumerate(items):
+            if len(item) < 10:
+                n = len(item)
+                at = [i for i in range(len(doc) - n + 1) if doc[i : i + n] == item]
+                best = (at[0], 0, n, n) if at else (0, 0, 0, 0)
+            else:
+                found = (brute_overlap(doc, item, shift) for shift in range(1 - len(item), len(doc)) if sum(a == b for a, b in zip(doc[max(0, shift) :], item[max(0, -shift) :])) > 7)
+                best = max(found, key=lambda x: (x[2], x[3], -x[0], -x[1]), default=(0, 0, 0, 0))
+            if best[2]:
+                expected[d, t] = (*best, len(item))
+    got = decontamination.find_leaks(
+        spark.createDataFrame([(i, " ".join(w)) for i, w in enumerate(docs)], "doc_id bigint, text string"),
+        spark.createDataFrame([(i, " ".join(w)) for i, w in enumerate(items)], "item_id bigint, text string"),
+    ).collect()
+    assert {(r[0], r[1]): tuple(r[2:]) for r in got} == expected and len(got) == len(expected)
+    assert {t for _, t in expected} == set(range(11)) and len(expected) > 150
+
+
 # --- pipeline and queries ----------------------------------------------------------------
 
 
