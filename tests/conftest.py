@@ -11,6 +11,7 @@ sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
 from conceptmill.operators.graph import QUAD_SCHEMA  # noqa: E402
 from conceptmill.session import build_session  # noqa: E402
+from small_tables import uri  # noqa: E402
 
 SF = "/root/testdata/sf0.001"
 
@@ -28,14 +29,6 @@ def sf():
     return SF
 
 
-def uri(value):
-    return (value, "uri", None, None)
-
-
-def lit(value, lang=None):
-    return (value, "literal", lang, None)
-
-
 @pytest.fixture(scope="session")
 def make_quads(spark):
     """Quads from (g, s, p, object) tuples; a plain string object is a URI."""
@@ -45,9 +38,3 @@ def make_quads(spark):
         return spark.createDataFrame(data, QUAD_SCHEMA)
 
     return make
-
-
-def rows(df, *names):
-    """Sorted tuples of a small result."""
-    picked = df.select(*names) if names else df
-    return sorted(map(tuple, picked.collect()), key=repr)

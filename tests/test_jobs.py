@@ -4,7 +4,7 @@ import json
 import time
 
 import pytest
-from conftest import lit, rows
+from small_tables import lit, rows
 from pyspark import cloudpickle
 from pyspark.sql import functions as F
 from test_selection import DATA, SCHEME, TASK, annotation, concept, expression, impact_graph, inputs_of, job

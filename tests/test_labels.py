@@ -3,7 +3,7 @@
 import random
 
 import pytest
-from conftest import lit, rows
+from small_tables import lit, rows
 
 from conceptmill import vocab as v
 from conceptmill.operators import labels as lab

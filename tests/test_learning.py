@@ -6,7 +6,7 @@ from collections import Counter
 
 import numpy as np
 import pytest
-from conftest import rows
+from small_tables import rows
 from pyspark.sql import functions as F
 
 from conceptmill import vocab as v

@@ -4,7 +4,7 @@ import json
 import re
 
 import pytest
-from conftest import rows
+from small_tables import rows
 from pyspark.sql import functions as F
 
 from conceptmill import vocab as v

@@ -1,7 +1,7 @@
 """Selection of options, inputs and decisions on small graphs."""
 
 import pytest
-from conftest import lit, rows
+from small_tables import lit, rows
 
 from conceptmill import vocab as v
 from conceptmill.operators import graph as q
