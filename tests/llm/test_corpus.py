@@ -433,7 +433,7 @@ def test_pipeline_stage_by_stage(spark, sf, documents):
 
     assert ids[0] == {r["doc_id"] for r in quality_rules.score_quality(documents, labels).where("kept").collect()}
     rows = [(r["doc_id"], r["text"]) for r in documents.collect() if r["doc_id"] in ids[0]]
-    _, groups = brute_components(rows)
+    _, groups = brute_components(rows, corpus_pipeline.NEAR_COPY_WORDS, corpus_pipeline.NEAR_COPY_PERCENT)
     assert ids[1] == {i for i, first in groups.items() if i == first}
     second = documents.where(F.col("doc_id").isin(list(ids[1])))
     assert ids[1] - ids[2] == {r["doc_id"] for r in decontamination.find_leaks(second, benchmark).collect()}
