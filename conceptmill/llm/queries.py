@@ -1,4 +1,4 @@
-"""Registered queries of the ten operators and their checks."""
+"""Registered queries of the operators and their checks."""
 
 from __future__ import annotations
 
@@ -7,7 +7,10 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from conceptmill.llm import decontamination, language_id, lm_scoring, mixing, ngram_join, pii, quality_rules, sharding, token_counts, toxicity
+from conceptmill.llm import (
+    checks, conversations, decontamination, language_id, lm_scoring, mixing, ngram_join, pii, quality_rules, sharding,
+    token_counts, toxicity,
+)
 from conceptmill.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -82,3 +85,9 @@ def op9_decontamination(spark, sf):
 @query()
 def op10_language_id(spark, sf):
     return language_id.identify_languages(table(spark, sf, "documents"))
+
+
+@query(checks.CONVERSATIONS)
+def op11_conversation_repair(spark, sf):
+    turns = table(spark, sf, "conversations")
+    return conversations.repair_conversations(conversations.damaged(turns), turns.select("conv_id"))
