@@ -105,3 +105,48 @@ FROM (SELECT DISTINCT conv_id FROM conversations) o
   LEFT JOIN parsed p ON p.conv_id IS NOT DISTINCT FROM o.conv_id
   LEFT JOIN sums s ON s.conv_id IS NOT DISTINCT FROM o.conv_id
 """
+
+_WORDS = r"""list_filter(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+  '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), lambda w: w <> '')"""
+
+RESAMPLING = f"""
+WITH docs AS (
+  SELECT row_number() OVER () AS row, doc_id, {_WORDS} AS words FROM documents
+), doc_words AS (
+  SELECT row, unnest(words) AS word FROM docs
+), target_words AS (
+  SELECT unnest({_WORDS}) AS word FROM benchmark
+), vocabulary AS (
+  SELECT word, {utf8('word')} AS codes FROM (SELECT word FROM doc_words UNION SELECT word FROM target_words)
+), hashed AS (
+  SELECT word, {crc32('codes')} % 10000 AS bucket FROM vocabulary
+), raw AS (
+  SELECT bucket, count(*) AS n FROM doc_words JOIN hashed USING (word) GROUP BY bucket
+), target AS (
+  SELECT bucket, count(*) AS n FROM target_words JOIN hashed USING (word) GROUP BY bucket
+), totals AS (
+  SELECT (SELECT count(*) FROM doc_words) AS raw_size, (SELECT count(*) FROM target_words) AS target_size
+), gains AS (
+  SELECT bucket, floor(1000 * ln(((coalesce(t.n, 0) + 1.0::DOUBLE) * (raw_size + 10000)) /
+    ((r.n + 1.0::DOUBLE) * (target_size + 10000))))::BIGINT AS gain
+  FROM raw r LEFT JOIN target t USING (bucket), totals
+), weights AS (
+  SELECT row, count(*) AS n_features, floor(sum(gain)::DOUBLE / count(*))::BIGINT AS weight
+  FROM doc_words JOIN hashed USING (word) JOIN gains USING (bucket) GROUP BY row
+), hexed AS (
+  SELECT row, doc_id, string_split(substr(sha256('2024:' || coalesce(doc_id::VARCHAR, '')), 1, 8), '') AS digits FROM docs
+), noise AS (
+  SELECT row, doc_id, list_reduce(list_transform(digits, lambda c: (instr('0123456789abcdef', c) - 1)::BIGINT),
+    lambda x, y: 16 * x + y) AS h FROM hexed
+), scored AS (
+  SELECT row, doc_id, coalesce(n_features, 0)::BIGINT AS n_features, coalesce(weight, 0) AS weight,
+    (coalesce(weight, 0) + floor(-1000 * ln(-ln((h + 0.5::DOUBLE) / 4294967296::DOUBLE)))::BIGINT)::BIGINT AS score
+  FROM noise LEFT JOIN weights USING (row)
+), ranked AS (
+  SELECT row, row_number() OVER (ORDER BY score DESC, doc_id NULLS FIRST, weight, n_features) AS place,
+    count(*) OVER () * 10 // 100 AS n_drawn
+  FROM scored WHERE n_features >= 20
+)
+SELECT doc_id, n_features, weight, score, CASE WHEN place <= n_drawn THEN place END AS rank
+FROM scored LEFT JOIN ranked USING (row)
+"""

@@ -8,8 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from conceptmill.llm import (
-    checks, conversations, decontamination, language_id, lm_scoring, mixing, ngram_join, pii, quality_rules, sharding,
-    token_counts, toxicity,
+    checks, conversations, decontamination, language_id, lm_scoring, mixing, ngram_join, pii, quality_rules,
+    resampling, sharding, token_counts, toxicity,
 )
 from conceptmill.llm.common import table
 
@@ -91,3 +91,8 @@ def op10_language_id(spark, sf):
 def op11_conversation_repair(spark, sf):
     turns = table(spark, sf, "conversations")
     return conversations.repair_conversations(conversations.damaged(turns), turns.select("conv_id"))
+
+
+@query(checks.RESAMPLING)
+def op13_resampling(spark, sf):
+    return resampling.draw_documents(table(spark, sf, "documents"), table(spark, sf, "benchmark"))
