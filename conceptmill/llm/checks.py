@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from conceptmill.llm import licenses
+
 _BYTE_STEPS = """list_reduce(list_prepend(xor(c, b), [0, 0, 0, 0, 0, 0, 0, 0]),
   lambda x, i: xor(x >> 1, (x & 1) * 3988292384))"""
 
@@ -150,3 +152,38 @@ WITH docs AS (
 SELECT doc_id, n_features, weight, score, CASE WHEN place <= n_drawn THEN place END AS rank
 FROM scored LEFT JOIN ranked USING (row)
 """
+
+LICENSES = f"""
+WITH docs AS (
+  SELECT row_number() OVER () AS row, doc_id, {_WORDS} AS words FROM documents
+), phrases(label, phrase) AS (
+  VALUES {licenses.sql_list(licenses.PHRASES)}
+), templates(label, text) AS (
+  VALUES {licenses.sql_list(licenses.TEMPLATES)}
+), sets AS (
+  SELECT label, list_distinct(string_split(text, ' ')) AS needed FROM templates
+), places AS (
+  SELECT row, words, unnest(range(len(words))) AS place FROM docs
+), phrase_words AS (
+  SELECT label, string_split(phrase, ' ') AS phrase FROM phrases
+), hits AS (
+  SELECT row, place, label FROM places JOIN phrase_words ON words[place + 1] = phrase[1]
+    AND list_slice(words, place + 1, place + len(phrase)) = phrase
+), base AS (
+  SELECT row, count(*) AS n_base, min(place) AS first_word, max(place) AS last_word, list(DISTINCT label) AS labels
+  FROM hits GROUP BY row
+), blocks AS (
+  SELECT row, list_slice(words, place + 1, place + {licenses.BLOCK_WORDS}) AS block FROM places
+  WHERE place % {licenses.STEP} = 0 AND (place = 0 OR place + {licenses.BLOCK_WORDS - licenses.STEP} < len(words))
+), shares AS (
+  SELECT row, label, len(list_intersect(needed, block)) AS common, len(needed) AS size FROM blocks, sets
+), notices AS (
+  SELECT row, list(DISTINCT label) AS labels, max(common / size) AS share
+  FROM shares WHERE 100 * common >= {licenses.THRESHOLD} * size GROUP BY row
+)
+SELECT doc_id, len(words)::BIGINT AS n_words, coalesce(n_base, 0) AS n_base, first_word::BIGINT AS first_word,
+  last_word::BIGINT AS last_word, coalesce(array_to_string(list_sort(b.labels), ','), '') AS base_labels,
+  array_to_string(list_sort(list_distinct(list_concat(coalesce(b.labels, []), coalesce(n.labels, [])))), ',') AS labels,
+  CASE WHEN n_base > 0 THEN 1.0::DOUBLE ELSE coalesce(share, 0)::DOUBLE END AS score
+FROM docs LEFT JOIN base b USING (row) LEFT JOIN notices n USING (row)
+"""

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from conceptmill.llm import (
-    checks, conversations, decontamination, language_id, lm_scoring, mixing, ngram_join, pii, quality_rules,
+    checks, conversations, decontamination, language_id, licenses, lm_scoring, mixing, ngram_join, pii, quality_rules,
     resampling, sharding, token_counts, toxicity,
 )
 from conceptmill.llm.common import table
@@ -93,6 +93,13 @@ def op11_conversation_repair(spark, sf):
     return conversations.repair_conversations(conversations.damaged(turns), turns.select("conv_id"))
 
 
+@query(checks.LICENSES)
+def op12_license_scans(spark, sf):
+    found = licenses.find_licenses(table(spark, sf, "documents"))
+    joined = [F.array_join(c, ",").alias(name) for c, name in (("base", "base_labels"), ("labels", "labels"))]
+    return found.select("doc_id", "n_words", "n_base", "first_word", "last_word", *joined, "score")
+
+
 @query(checks.RESAMPLING)
 def op13_resampling(spark, sf):
     return resampling.draw_documents(table(spark, sf, "documents"), table(spark, sf, "benchmark"))

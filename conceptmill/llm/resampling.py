@@ -131,7 +131,7 @@ def run_buckets(crc: np.ndarray, length: np.ndarray, shifts: Shifts, run: int, b
     """Buckets of all runs of 1, 2, .. ``run`` words, from the payloads of the words of one text."""
     yield crc % buckets
     space, whole = np.uint32(zlib.crc32(b" ")), crc
-    for n in range(1, min(run, crc.size - 1 + (run == 1))):
+    for n in range(1, min(run, crc.size)):
         left = shifts.composed(whole[:-1], np.full(whole.size - 1, space), np.ones(whole.size - 1, np.int64))
         whole = shifts.composed(left, crc[n:], length[n:])
         yield whole % buckets
