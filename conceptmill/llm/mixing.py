@@ -15,8 +15,8 @@ BLOCK_WORDS = 64
 SHARDS = 16
 ROUNDS = 12
 SEED = 42
-# Slots made by one task from one row.
-SLOTS_AT_ONCE = 65_536
+# Slots made from one row.
+SLOTS_AT_ONCE = 16_384
 
 
 def _mixed(x: Column, key: Column | int) -> Column:
@@ -141,30 +141,32 @@ def taken_blocks(draws: DataFrame, seed: int = SEED, rounds: int = ROUNDS) -> Da
     decides for both whether they swap. A source is passed over twice at most.
     """
     before = Window.partitionBy("rank").orderBy("shard").rowsBetween(Window.unboundedPreceding, -1)
+    tasks = int(draws.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    step = F.lit(SLOTS_AT_ONCE).cast("bigint")
     ranges = (
         draws.withColumn("from", F.coalesce(F.sum("n_slots").over(before), F.lit(0)))
         .where("n_slots > 0")
-        .withColumn(
-            "chunk", F.explode(F.sequence(F.col("from"), F.col("from") + F.col("n_slots") - 1, F.lit(SLOTS_AT_ONCE).cast("bigint")))
-        )
+        .withColumn("chunk", F.explode(F.sequence(F.col("from"), F.col("from") + F.col("n_slots") - 1, step)))
         .withColumn("to", F.least(F.col("chunk") + SLOTS_AT_ONCE, F.col("from") + F.col("n_slots")) - 1)
-        .repartition("rank", "chunk")
+        # A number of tasks, as these few small rows become all slots: left to itself Spark would put them together.
+        .repartition(tasks, "rank", "chunk")
     )
-    keys = [_mixed(F.col("rank") * 1_000_003 + i * 7919, seed) for i in range(rounds)]
-
-    def swapped(block: Column, key: Column) -> Column:
-        key = key + F.col("epoch") * 104_729
-        pair = F.pmod(key - block, F.col("n_blocks"))
-        return F.when(_mixed(F.greatest(block, pair) + key, seed) % 2 == 1, pair).otherwise(block)
-
     slots = (
-        ranges.withColumn("_keys", F.array(*keys))
-        .withColumn("slot", F.explode(F.sequence("chunk", "to")))
+        ranges.withColumn("slot", F.explode(F.sequence("chunk", "to")))
         .where(F.col("slot") < LIMIT * F.col("n_blocks"))
         .withColumn("epoch", F.floor(F.col("slot") / F.col("n_blocks")))
-        .withColumn("block", F.aggregate("_keys", F.col("slot") % F.col("n_blocks"), swapped))
-    )
-    return slots.select("rank", "block", "epoch", "shard")
+        .withColumn("block", F.col("slot") % F.col("n_blocks"))
+    )
+    # One projection after the other, so that each value is computed once.
+    for i in range(rounds):
+        slots = (
+            slots.withColumn("_key", _mixed(F.col("rank") * 1_000_003 + i * 7919, seed) + F.col("epoch") * 104_729)
+            .withColumn("_pair", F.pmod(F.col("_key") - F.col("block"), F.col("n_blocks")))
+            .withColumn("_bit", _mixed(F.greatest("block", "_pair") + F.col("_key"), seed) % 2)
+            .withColumn("block", F.when(F.col("_bit") == 1, F.col("_pair")).otherwise(F.col("block")))
+        )
+    # As a table, since what a join asks of the block would be pushed down and written out through all rounds.
+    return written(slots.select("rank", "block", "epoch", "shard"), "mix-slots")
 
 
 def _overlaps(placed: DataFrame) -> DataFrame:
@@ -190,14 +192,17 @@ def mix_documents(docs: DataFrame) -> DataFrame:
     Rows that repeat id and text stand beside each other. An empty table gives none. Other
     columns are ignored.
     """
-    sized = docs.select("doc_id", "source", word_count(F.col("text")).alias("size"), identity(docs).alias("uid"))
+    sized = written(
+        docs.select("doc_id", "source", word_count(F.col("text")).alias("size"), identity(docs).alias("uid")), "mix-sizes"
+    )
     targets = source_targets(sized)
     placed = word_offsets(sized, targets)
     times = taken_blocks(shard_draws(targets)).groupBy("rank", "block").agg(F.count(F.lit(1)).alias("times"))
     keep = ["doc_id", "source", "size", "source_size", "target"]
+    # The blocks grow with the corpus, though their plan looks small: joined by sorting, never by broadcast.
     taken = (
         _overlaps(placed)
-        .join(times, ["rank", "block"], "left")
+        .join(times.hint("merge"), ["rank", "block"], "left")
         .groupBy("rank", "first_word")
         .agg(
             *(F.first(c).alias(c) for c in keep),
@@ -214,24 +219,29 @@ def mixed_texts(docs: DataFrame) -> DataFrame:
     A pass that takes all words keeps the text as it is; otherwise the words taken are
     joined by spaces, in order. n_chars, where there is one, is counted anew.
     """
-    sized = docs.select(
-        F.struct(*(docs[c] for c in docs.columns)).alias("doc"),
-        "source",
-        word_count(F.col("text")).alias("size"),
-        identity(docs).alias("uid"),
-    )
-    targets = source_targets(sized.select("source", "size"))
-    placed = written(word_offsets(sized, targets).drop("source"), "mix-places")
+    numbered = written(
+        docs.select(
+            F.struct(*(docs[c] for c in docs.columns)).alias("doc"),
+            "source",
+            word_count(F.col("text")).alias("size"),
+            identity(docs).alias("uid"),
+            F.monotonically_increasing_id().alias("row"),  # read from the table, so it stays as it is
+        ),
+        "mix-documents",
+    )
+    sized = numbered.select("row", "source", "size", "uid")
+    targets = source_targets(sized)
+    placed = word_offsets(sized, targets)
     taken = F.struct(
         (F.col("_from") - F.col("first_word")).alias("at"), (F.col("_to") - F.col("_from") + 1).alias("n")
     )
     picks = (
-        _overlaps(placed.select("rank", "first_word", "size"))
-        .join(taken_blocks(shard_draws(targets)), ["rank", "block"])
-        .groupBy("rank", "first_word", "size", "epoch")
+        _overlaps(placed.select("row", "rank", "first_word", "size"))
+        .join(taken_blocks(shard_draws(targets)).hint("merge"), ["rank", "block"])
+        .groupBy("row", "epoch")
         .agg(F.sort_array(F.collect_list(taken)).alias("picks"), F.sum(taken["n"]).alias("n_taken"))
     )
-    joined = placed.where("size > 0").join(picks, ["rank", "first_word", "size"])
+    joined = numbered.join(picks.hint("merge"), "row")
     parts = F.transform("picks", lambda p: F.slice(F.col("_words"), (p["at"] + 1).cast("int"), p["n"].cast("int")))
     whole = F.col("n_taken") == F.col("size")
     mixed = joined.withColumn("_words", F.when(~whole, words(F.col("doc.text")))).withColumn(
