@@ -10,6 +10,40 @@ from pyspark.sql import functions as F
 from conceptmill.session import ensure_checkpoint_dir
 
 RANK_DIGITS = 4
+# Hot keys that are looked for, at most; counters of the sketch that finds them (its counts are at most
+# 3.5 / TRACKED of all rows too low); partitions a key has to fill to be hot.
+MAX_HOT, TRACKED, HOT = 1000, 16_384, 2
+
+
+def hot_keys(rows: DataFrame, on: Sequence[str], parts: int | None = None) -> DataFrame:
+    """(_key, _salts) of the keys that need more than one shuffle partition; at most MAX_HOT rows.
+
+    A frequent-items sketch, filled where the rows are and merged, sees every row once and
+    keeps TRACKED counters, whatever the number of keys. A key is hot when it has HOT
+    times the rows of an average partition and a thousandth of all rows at least; it is then cut
+    into as many salts as it fills partitions. Keys are compared by their 64-bit hash: a cold
+    key that shares the hash of a hot one is salted like it, on both sides.
+    """
+    parts = parts or int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    hashed = rows.select(F.xxhash64(*on).alias("_key"))
+    seen = hashed.agg(F.count(F.lit(1)).alias("n"), F.expr(f"approx_top_k(_key, {MAX_HOT}, {TRACKED})").alias("items"))
+    filled = F.col("count") * parts / F.col("n")
+    return (
+        seen.select("n", F.inline("items"))
+        .where((filled > HOT) & (F.col("count") * MAX_HOT >= F.col("n")))
+        .select(F.col("item").alias("_key"), F.least(F.ceil(filled), F.lit(parts)).cast("int").alias("_salts"))
+    )
+
+
+def _with_salts(rows: DataFrame, hot: DataFrame, on: Sequence[str]) -> DataFrame:
+    # The hot keys are MAX_HOT rows of two numbers at most, so every task may hold them.
+    return rows.withColumn("_key", F.xxhash64(*on)).join(F.broadcast(hot), "_key", "left")
+
+
+def salted_lookup(lookup: DataFrame, hot: DataFrame, on: Sequence[str]) -> DataFrame:
+    """``lookup`` with ``_salt``: rows of hot keys once for each of their salts, all others once."""
+    every = F.when(F.col("_salts").isNull(), F.array(F.lit(0))).otherwise(F.sequence(F.lit(0), F.col("_salts") - 1))
+    return _with_salts(lookup, hot, on).withColumn("_salt", F.explode(every)).drop("_key", "_salts")
 
 
 def spread_join(
@@ -19,21 +53,19 @@ def spread_join(
     how: str = "left",
     *,
     spread: Sequence[str],
-    salts: int | None = None,
+    parts: int | None = None,
 ) -> DataFrame:
     """Equi-join rows with hot keys to a lookup side that is small per key.
 
-    Every key is split over ``salts`` sub-keys by a hash of the ``spread``
-    columns; the lookup side is repeated once per sub-key. There are as many
-    sub-keys as shuffle partitions, so a hot key reaches all of them. When the
-    lookup side turns out small, AQE still turns this into a broadcast join.
+    Only the keys that ``hot_keys`` measures are split, by a hash of the ``spread`` columns over
+    as many salts as they need, and only their lookup rows are repeated; all other keys join as
+    they are. When the lookup side turns out small, AQE still turns this into a broadcast join.
     """
-    if salts is None:
-        salts = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    left = rows.withColumn("_salt", F.pmod(F.xxhash64(*spread), F.lit(salts)).cast("int"))
-    right = lookup.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
+    hot = hot_keys(rows, on, parts)
+    salt = F.coalesce(F.pmod(F.xxhash64(*spread), F.col("_salts")).cast("int"), F.lit(0))
+    left = _with_salts(rows, hot, on).withColumn("_salt", salt)
     added = [] if how in ("left_semi", "left_anti") else [name for name in lookup.columns if name not in on]
-    return left.join(right, [*on, "_salt"], how).select(*rows.columns, *added)
+    return left.join(salted_lookup(lookup, hot, on), [*on, "_salt"], how).select(*rows.columns, *added)
 
 
 def hash_rank(rows: DataFrame, uid: str, groups: Sequence[str] = (), name: str = "rank") -> DataFrame:

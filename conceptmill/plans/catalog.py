@@ -644,7 +644,8 @@ def chain_join(spark, sf):
     containers = q.pattern(quads, v.INPUT_CONTAINER, "task", "container", graphs=br.JOBS)
     resources = q.pattern(quads, v.HAS_RESOURCE, "container", "expression", graphs=br.CONTAINERS)
     works = q.pattern(quads, v.REALIZED_BY, "work", "expression", graphs=br.DECISIONS)
-    return containers.join(resources, "container").join(works, "expression")
+    listed = spread_join(resources, containers, ["container"], "inner", spread=["expression"])
+    return listed.join(works, "expression")
 
 
 @query(sql.CROSS_GRAPH_JOIN)
@@ -652,7 +653,7 @@ def cross_graph_join(spark, sf):
     quads = br.quads(spark, sf, *_LABELLED)
     bodies = q.pattern(quads, v.HAS_BODY, "ann", "concept", graphs=br.AI)
     labels = q.pattern(quads, v.PREF_LABEL, "concept", "label", graphs=br.PUBLIC)
-    return bodies.join(labels, "concept")
+    return spread_join(bodies, labels, ["concept"], "inner", spread=["ann"])
 
 
 @query(sql.ANY_GRAPH_JOIN)

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from conceptmill import vocab as v
 from conceptmill.operators import learning as learn
 from conceptmill.operators import prediction as pred
-from conceptmill.operators.skew import hash_rank, members_without, spread_join
+from conceptmill.operators.skew import hash_rank, hot_keys, members_without, salted_lookup, spread_join
 
 IDS = [("a", 0), ("b", 1), ("c", 2)]
 LABELLED = "decision string, classes array<string>"
@@ -111,6 +111,30 @@ def test_spread_join_equals_plain_join(spark):
         assert rows(got, *got.columns) == rows(left.join(right, ["k"], how), *got.columns)
 
 
+def test_only_hot_keys_are_repeated(spark):
+    left = spark.range(40_000).selectExpr(
+        "id AS row", "CASE WHEN id % 3 = 0 THEN 'hot' WHEN id % 50 = 1 THEN NULL ELSE CAST(id AS STRING) END AS k"
+    )
+    right = spark.range(5000).selectExpr("CAST(id AS STRING) AS k", "id AS x").unionByName(
+        spark.createDataFrame([("hot", -1)], "k string, x bigint")
+    )
+    hot = hot_keys(left, ["k"], 2000)
+    share = {r["_salts"] for r in hot.collect()}
+    assert len(share) == 2 and max(share) == 667  # 'hot' and null, as many salts as they fill partitions
+    copies = dict(rows(salted_lookup(right, hot, ["k"]).groupBy("k").count(), "k", "count"))
+    assert copies.pop("hot") == 667 and set(copies.values()) == {1}
+    for how in ("left", "inner"):
+        got = spread_join(left, right, ["k"], how, spread=["row"], parts=2000)
+        assert got.groupBy().agg(F.count("x"), F.sum("x"), F.count("row")).collect() == (
+            left.join(right, ["k"], how).groupBy().agg(F.count("x"), F.sum("x"), F.count("row")).collect()
+        )
+
+
+def test_no_key_is_hot_where_all_are_rare(spark):
+    assert hot_keys(spark.range(100_000).selectExpr("id % 30000 AS k"), ["k"], 2000).isEmpty()
+    assert hot_keys(spark.range(0).selectExpr("id AS k"), ["k"], 2000).isEmpty()
+
+
 def test_members_without(spark):
     def of(*keys):
         return spark.createDataFrame([(k,) for k in keys], "k string")
