@@ -23,7 +23,7 @@ from conceptmill.operators import selection as sel
 from conceptmill.operators import text as txt
 from conceptmill.operators import writes as wr
 from conceptmill.session import scratch_path
-from conceptmill.sources.quads import read_table_or_empty
+from conceptmill.sources.tables import materialised, read_table_or_empty
 
 
 @dataclass
@@ -38,17 +38,6 @@ class JobResult:
         return wr.annotation_quads(self.annotations).unionByName(wr.container_quads(self.containers))
 
 
-def materialised(rows: DataFrame, name: str) -> DataFrame:
-    """Write rows to the shared folder and read them back.
-
-    Later steps and retried tasks then reuse what is written, which matters for
-    replies of a paid model, and the planner knows the real size.
-    """
-    path = scratch_path(rows.sparkSession, name)
-    rows.write.parquet(path)
-    return rows.sparkSession.read.schema(rows.schema).parquet(path)
-
-
 def stored_codelist(quads: DataFrame, scheme: str) -> DataFrame:
     """The codelist of a job as a small table of its own; an empty one is an error.
 

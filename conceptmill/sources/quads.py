@@ -4,11 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Iterable
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from conceptmill.operators import graph as q
+from conceptmill.sources.keyed import KeyedTable
 
 PARTITIONS = ("p",)
 _KEYS = ["g", "s", "p", "o"]
@@ -19,16 +19,6 @@ def read_quads(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(q.QUAD_SCHEMA).parquet(path)
 
 
-def read_table_or_empty(spark: SparkSession, path: str, schema: str) -> DataFrame:
-    """The table at the path, or no rows if nothing has been written there yet."""
-    try:
-        return spark.read.schema(schema).parquet(path)
-    except AnalysisException as error:
-        if error.getCondition() != "PATH_NOT_FOUND":
-            raise
-        return spark.createDataFrame([], schema)
-
-
 def write_quads(quads: DataFrame, path: str, partition_by: Iterable[str] = PARTITIONS) -> None:
     """Write a new quad table. A graph is a set, so equal quads are written once.
 
@@ -58,10 +48,18 @@ def missing_quads(new: DataFrame, existing: DataFrame) -> DataFrame:
     return fresh.join(hits, on, "left_anti").select(*_KEYS)
 
 
+def quad_table(path: str, partition_by: Iterable[str] = PARTITIONS) -> KeyedTable:
+    """The quads at the path as a set, with an index of digests beside them."""
+    return KeyedTable(path, q.QUAD_SCHEMA, _KEYS, _KEYS, tuple(partition_by), hashed=True)
+
+
 def append_quads(new: DataFrame, path: str, partition_by: Iterable[str] = PARTITIONS) -> None:
-    """Add quads to a table; those already there are left alone."""
-    existing = read_table_or_empty(new.sparkSession, path, q.QUAD_SCHEMA)
-    _balanced(missing_quads(new, existing), partition_by).write.mode("append").partitionBy(*partition_by).parquet(path)
+    """Add quads to a table; those already there are left alone.
+
+    Known quads are found in the index of ``quad_table``; stored terms are read once, when a table
+    without an index gets its first append.
+    """
+    quad_table(path, partition_by).append(new)
 
 
 def without_graphs(quads: DataFrame, graphs: Iterable[str]) -> DataFrame:

@@ -9,9 +9,10 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from conceptmill import vocab as v
-from conceptmill.operators.writes import ANNOTATION_KEY, only_new
-from conceptmill.plans.jobs import JobResult, materialised
-from conceptmill.sources.quads import read_table_or_empty
+from conceptmill.operators.writes import ANNOTATION_KEY
+from conceptmill.plans.jobs import JobResult
+from conceptmill.sources.keyed import KeyedTable
+from conceptmill.sources.tables import materialised, read_table_or_empty
 
 ANNOTATION_SCHEMA = (
     "ann_uri string, task_uri string, target string, body string, motivated_by string, "
@@ -32,15 +33,18 @@ def of_scheme(codelist: DataFrame) -> Callable[[DataFrame], DataFrame]:
     return done
 
 
+def annotation_table(path: str) -> KeyedTable:
+    """Annotations at the path, indexed by target."""
+    return KeyedTable(path, ANNOTATION_SCHEMA, ANNOTATION_KEY, ["target"])
+
+
 def append_annotations(annotations: DataFrame, path: str) -> None:
     """Append annotations that are not in the table yet."""
-    existing = read_table_or_empty(annotations.sparkSession, path, ANNOTATION_SCHEMA)
-    only_new(annotations, existing, ANNOTATION_KEY).write.mode("append").parquet(path)
+    annotation_table(path).append(annotations)
 
 
 def append_containers(containers: DataFrame, path: str) -> None:
-    existing = read_table_or_empty(containers.sparkSession, path, CONTAINER_SCHEMA)
-    only_new(containers, existing, ["container_uri"]).write.mode("append").parquet(path)
+    KeyedTable(path, CONTAINER_SCHEMA, ["container_uri"], ["container_uri"]).append(containers)
 
 
 def label_stream(
@@ -57,8 +61,8 @@ def label_stream(
 
     ``label`` turns a batch of (decision, text) into a JobResult. Decisions that
     the annotation table already targets are left out; ``done`` narrows which
-    annotations count (see ``of_scheme``). What is done lives in the table, not in stream state, so
-    the state does not grow. Containers are written before annotations: a batch
+    annotations (their keys) count (see ``of_scheme``). What is done lives in the table, not in stream
+    state, so the state does not grow; a batch reads the buckets of the table's index that it touches. Containers are written before annotations: a batch
     that is repeated after a failure then finds its decisions still open, and
     ids derived from the content keep the repetition from adding rows.
 
@@ -73,10 +77,10 @@ def label_stream(
         waiting = read_table_or_empty(spark, f"{failed_path}/batch-{number - 1}", FAILED_SCHEMA)
         arrived = batch.select("decision", "text").unionByName(waiting.select("decision", "text"))
         arrived = arrived.groupBy("decision").agg(F.min("text").alias("text"))
-        table = read_table_or_empty(spark, annotations_path, ANNOTATION_SCHEMA)
-        finished = (done(table) if done else table).select(F.col("target").alias("decision"))
-        hits = finished.join(arrived.select("decision"), "decision", "left_semi")
-        open_ = materialised(arrived.join(hits, "decision", "left_anti"), "open")
+        arrived = materialised(arrived, "arrived")
+        known = annotation_table(annotations_path).held(arrived.select(F.col("decision").alias("target")))
+        finished = (done(known) if done else known).select(F.col("target").alias("decision")).distinct()
+        open_ = materialised(arrived.join(finished, "decision", "left_anti"), "open")
         result = label(open_)
         append_containers(result.containers, containers_path)
         append_annotations(result.annotations, annotations_path)
