@@ -228,6 +228,7 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
 
 
 def clean_documents(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """Rows of ``docs`` without a leak, with all their columns."""
-    leaks = written(find_leaks(docs, benchmark).select(F.col("doc_id").alias("_leak")).distinct(), "leaks")
-    return docs.join(leaks, F.col("doc_id").eqNullSafe(F.col("_leak")), "left_anti")
+    """Rows of ``docs`` whose text has no leak, with all their columns; null, repeated or clashing ids do not matter."""
+    by_text = docs.select(F.md5(F.col("text").cast("binary")).alias("doc_id"), "text")
+    leaks = written(find_leaks(by_text, benchmark).select(F.col("doc_id").alias("digest")).distinct(), "leaks")
+    return docs.join(leaks, F.md5(docs["text"].cast("binary")) == leaks["digest"], "left_anti")

@@ -153,7 +153,7 @@ def encoded(docs: DataFrame, vocabulary: Vocabulary) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         memory, v = WordTable(), Vocabulary(**model.value)
         divisor = np.log10(v.class_n + v.class_words + 1)
-        names = ["row", "doc_id", "held_out", "n_tokens", "n_known", "base", "in_class", "codes", "others", "endings"]
+        names = ["row", "doc_id", "held_out", "n_tokens", "n_known", "base", "in_class", "codes", "others"]
         for batch in batches:
             made = []
             for text in raw_texts(batch.column(3)):
@@ -172,10 +172,10 @@ def encoded(docs: DataFrame, vocabulary: Vocabulary) -> DataFrame:
                 codes = np.where(by_class, OWN_CODES + endings, codes)
                 made.append(
                     (hashes.size, int((n > 0).sum()), float(v.base(n[here]).sum()), in_class,
-                     codes.astype(np.uint16).tobytes(), hashes[~here], endings[~here].astype(np.int16))
+                     codes.astype(np.uint16).tobytes(), hashes[~here])
                 )
-            columns = list(zip(*made, strict=True)) if made else [[]] * 7
-            kinds = [pa.int64(), pa.int64(), pa.float64(), pa.float64(), pa.binary(), pa.list_(pa.int64()), pa.list_(pa.int16())]
+            columns = list(zip(*made, strict=True)) if made else [[]] * 6
+            kinds = [pa.int64(), pa.int64(), pa.float64(), pa.float64(), pa.binary(), pa.list_(pa.int64())]
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), batch.column(1), batch.column(2), *(pa.array(c, k) for c, k in zip(columns, kinds, strict=True))],
                 names=names,
@@ -185,27 +185,23 @@ def encoded(docs: DataFrame, vocabulary: Vocabulary) -> DataFrame:
     return docs.select(F.monotonically_increasing_id().alias("row"), "doc_id", "held_out", "text").mapInArrow(
         run,
         f"row bigint, doc_id {doc_id}, held_out boolean, n_tokens bigint, n_known bigint, base double, "
-        "in_class double, codes binary, others array<bigint>, endings array<smallint>",
+        "in_class double, codes binary, others array<bigint>",
     )
 
 
 def looked_up(rows: DataFrame, counts: DataFrame, vocabulary: Vocabulary) -> DataFrame:
-    """(row, base, in_class, n_known) of the words whose counts the tasks do not hold."""
-    spark = rows.sparkSession
-    unseen = spark.createDataFrame(
-        [(i, float(x)) for i, x in enumerate(np.log10(vocabulary.class_words + 1))], "ending smallint, unseen double"
-    )
-    each = rows.select("row", F.explode(F.arrays_zip("others", "endings")).alias("w")).select(
-        "row", F.col("w.others").alias("hash"), F.col("w.endings").alias("ending")
-    )
+    """(row, base, in_class, n_known) of the words whose counts the tasks do not hold.
+
+    Within its class a word counts as often as in training, one never seen once.
+    """
+    each = rows.select("row", F.explode("others").alias("hash"))
     n = F.coalesce("n", F.lit(0))
     return (
         each.join(counts.select("hash", "n"), "hash", "left")
-        .join(F.broadcast(unseen), "ending")  # one row for each class of endings
         .groupBy("row")
         .agg(
             F.sum(F.log10((n + 1) / F.lit(float(vocabulary.tokens + vocabulary.distinct + 1)))).alias("base"),
-            F.sum(F.when(n > 0, F.log10(n)).otherwise(F.col("unseen"))).alias("in_class"),
+            F.sum(F.log10(F.greatest(n, F.lit(1)))).alias("in_class"),
             F.sum((n > 0).cast("bigint")).alias("n_known"),
         )
     )
@@ -375,7 +371,7 @@ def sequence_scores(rows: DataFrame, model: Model) -> DataFrame:
                 [*batch.columns[:-1], pa.array(total)], names=[*batch.schema.names[:-1], "path"]
             )
 
-    kept = [f for f in rows.schema.fields if f.name not in ("codes", "others", "endings")]
+    kept = [f for f in rows.schema.fields if f.name not in ("codes", "others")]
     schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in kept)
     return rows.select(*(f.name for f in kept), "codes").mapInArrow(run, f"{schema}, path double")
 
@@ -385,8 +381,8 @@ def score_texts(docs: DataFrame, rounds: int = ROUNDS, states: int = STATES) ->
 
     Words are lower-cased (A-Z); a text is its words and one end token. The model is a hidden
     Markov model: a state emits a frequent word, the class of endings of any other word, or
-    the end; a word within its class follows its training count, and words never seen share
-    what as many tokens as the class has different words would have. score is the log10 of
+    the end; a word within its class follows its training count. Each word never seen counts as one
+    token of its class, of which there is room for one more than the class has different words. score is the log10 of
     the exact probability (forward recursion over the codes plus the words in their classes),
     base_score that of single words with one added to each count.
 

@@ -385,9 +385,31 @@ def link_documents(docs: DataFrame, n: int = SHINGLE, percent: int = PERCENT) ->
 
 
 def first_of_each(docs: DataFrame, n: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
-    """Rows of ``docs`` whose id is the smallest of its group, with all their columns."""
-    rest = written(
-        link_documents(docs, n, percent).where("doc_id <> component_id").select(F.col("doc_id").alias("_copy")).distinct(),
+    """One row of ``docs`` for each group that links reach, with all columns; rows without words all stay.
+
+    It is the row with the smallest id, null last, and then with the smallest checksum of the text.
+    Rows are told apart by id and text, so an id that stands on several texts, or none, is no
+    reason to lose a row; of rows equal in both any one stays.
+    """
+
+    def digest(text: Column) -> Column:
+        return F.unhex(F.md5(F.coalesce(text, F.lit("")).cast("binary")))
+
+    key = F.struct(F.isnull("doc_id").alias("absent"), F.col("doc_id").alias("id"), digest(F.col("text")).alias("digest"))
+    linked = link_documents(docs.select(key.alias("doc_id"), "text"), n, percent).where("n_shingles > 0")
+    grouped = linked.groupBy("doc_id").agg(F.first("component_id").alias("first"), F.count(F.lit(1)).alias("rows"))
+    moved = written(
+        grouped.where("doc_id <> first OR rows > 1").select("doc_id.id", "doc_id.digest", (F.col("doc_id") == F.col("first")).alias("stays")),
         "copies",
     )
-    return docs.join(rest, F.col("doc_id") == F.col("_copy"), "left_anti")
+
+    def at(listed: DataFrame) -> Column:
+        return docs["doc_id"].eqNullSafe(listed["id"]) & (digest(docs["text"]) == listed["digest"])
+
+    rest = docs.join(moved, at(moved), "left_anti")
+    repeated = moved.where("stays")
+    if repeated.isEmpty():
+        return rest
+    copies = docs.join(repeated, at(repeated), "left_semi").select(F.struct(*docs.columns).alias("doc"))
+    by_row = copies.groupBy(F.col("doc.doc_id").alias("id"), digest(F.col("doc.text")).alias("digest")).agg(F.first("doc").alias("doc"))
+    return rest.unionByName(by_row.select("doc.*"))

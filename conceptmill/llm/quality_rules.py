@@ -9,8 +9,9 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
-from conceptmill.llm.common import REMEMBERED_WORDS, SPACE_BYTES, columns, counters, hash_sample, raw_texts
+from conceptmill.llm.common import REMEMBERED_WORDS, SPACE_BYTES, counters, hash_sample, raw_texts
 
 # Buckets of the hashed n-grams (a prime): the size of the model, whatever the corpus.
 BUCKETS = 32_749
@@ -62,22 +63,25 @@ def repeated_words(ids: np.ndarray) -> int:
     return int(covered.sum())
 
 
-def trusted_ids(labels: DataFrame, limit: int = MAX_TRUSTED) -> np.ndarray:
-    """Sorted ids of documents labelled as good, at most ``limit`` of them (chosen by hash)."""
+def trusted_ids(labels: DataFrame, limit: int = MAX_TRUSTED) -> DataFrame:
+    """Distinct ids of documents labelled as good, at most ``limit`` of them (chosen by hash)."""
     good = labels.where("quality = 1 AND doc_id IS NOT NULL").select("doc_id").distinct()
-    return np.sort(columns(hash_sample(good, limit))["doc_id"].astype(np.int64))
+    return hash_sample(good, limit)
 
 
 def log_ratios(docs: DataFrame, labels: DataFrame, limit: int = MAX_TRUSTED) -> np.ndarray:
     """ln p(bucket | trusted) - ln p(bucket | raw), each with one added to every count."""
-    trusted = docs.sparkSession.sparkContext.broadcast(trusted_ids(labels, limit))
+    trusted = trusted_ids(labels, limit).select(F.col("doc_id").alias("trusted_id"))
+    marked = docs.select("doc_id", "text").join(
+        F.broadcast(trusted),  # at most ``limit`` ids
+        F.col("doc_id") == F.col("trusted_id"),
+        "left",
+    )
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         memory, raw, target = Words(), np.zeros(BUCKETS, np.int64), np.zeros(BUCKETS, np.int64)
         for batch in batches:
-            ids = batch.column(0).to_pandas().to_numpy(float, na_value=np.nan)
-            good = np.isin(ids, trusted.value)
-            for text, is_good in zip(raw_texts(batch.column(1)), good, strict=True):
+            for text, is_good in zip(raw_texts(batch.column(1)), batch.column(0).to_pylist(), strict=True):
                 found = ngram_buckets(memory.of(text.split())[1])
                 once = np.bincount(found, minlength=BUCKETS) if found.size > BUCKETS // 8 else None
                 for sums in (raw, target) if is_good else (raw,):
@@ -90,7 +94,9 @@ def log_ratios(docs: DataFrame, labels: DataFrame, limit: int = MAX_TRUSTED) ->
             {"bucket": pa.array(some.astype(np.int32)), "raw": pa.array(raw[some]), "target": pa.array(target[some])}
         )
 
-    parts = docs.select("doc_id", "text").mapInArrow(count, "bucket int, raw bigint, target bigint")
+    parts = marked.select(F.isnotnull("trusted_id").alias("good"), "text").mapInArrow(
+        count, "bucket int, raw bigint, target bigint"
+    )
     sums = counters(parts, "bucket", "raw", "target")
     raw, target = np.zeros(BUCKETS), np.zeros(BUCKETS)
     raw[sums["bucket"]], target[sums["bucket"]] = sums["raw"], sums["target"]
@@ -131,7 +137,7 @@ def score_quality(
     per bucket, the model is one number per bucket.
 
     A null or empty text has no words, llr 0, and fails the base rule. Repeated rows are
-    scored and counted each. A null id is never trusted. Without trusted documents the
+    scored and counted each. Ids may be of any type; a null id is never trusted. Without trusted documents the
     ratio measures how common n-grams are. Other columns are ignored.
     """
     model = docs.sparkSession.sparkContext.broadcast(log_ratios(docs, labels, limit))

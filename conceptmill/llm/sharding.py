@@ -92,24 +92,24 @@ def shard_documents(docs: DataFrame, shards: int = SHARDS, seed: int = 42) -> Da
     """
     n = docs.select(F.lit(1)).count()
     text = F.coalesce("text", F.lit(""))
-    measured = (
-        docs.withColumn("_uid", identity(docs))
-        .withColumn("size", F.octet_length(text).cast("bigint") + 1)
-        .withColumn("text_crc32", F.crc32(text.cast("binary")))
+    kept = [docs[c] for c in docs.columns if c not in ("size", "text_crc32", "shard", "slot")]
+    # The row stands in one column, so that its names meet no others.
+    measured = docs.select(
+        F.struct(*kept).alias("doc"),
+        identity(docs).alias("uid"),
+        (F.octet_length(text).cast("bigint") + 1).alias("size"),
+        F.crc32(text.cast("binary")).alias("text_crc32"),
     )
     # Measured before rows move, so texts move only where they are asked for.
-    numbered = hash_rank(measured, "_uid", name="_number").drop("_uid")
+    numbered = hash_rank(measured, "uid", name="number")
 
     @F.pandas_udf("bigint")
     def place(number: pd.Series) -> pd.Series:
         return pd.Series(permuted(number.to_numpy() - 1, n, seed))
 
-    return (
-        numbered.withColumn("_place", place("_number"))
-        .withColumn("shard", (F.col("_place") % shards).cast("int"))
-        .withColumn("slot", F.floor(F.col("_place") / shards).cast("bigint"))
-        .drop("_number", "_place")
-    )
+    placed = numbered.withColumn("place", place("number"))
+    shard = (F.col("place") % shards).cast("int").alias("shard")
+    return placed.select("doc.*", "size", "text_crc32", shard, F.floor(F.col("place") / shards).cast("bigint").alias("slot"))
 
 
 def write_shards(sharded: DataFrame, path: str) -> None:

@@ -16,8 +16,7 @@ from conceptmill.llm.common import REMEMBERED_WORDS, columns, counters, hash_sam
 
 # Labelled documents the classifier learns from, at most (those with the smallest hash of the id).
 MAX_LABELLED = 200_000
-# Features in the lexicon, at most, and what one needs to be in it.
-MAX_FEATURES = 20_000
+# What a feature needs to be in the lexicon: toxic documents that have it, and their share.
 MIN_TOXIC = 3
 MIN_SHARE = 0.7
 PRIOR_WEIGHT = 2.0
@@ -44,13 +43,21 @@ CODES = np.full(256, OTHER, np.int64)
 CODES[list(b" \t\n\x0b\x0c\r")] = BORDER
 CODES[97:123] = np.arange(1, 27)
 CODES[128:] = 27 + np.arange(128) % 4
-SPACED = re.compile(rb"(?<![^\x20\x09-\x0D])[a-z0-9@$!|](?:[ ._*-][a-z0-9@$!|]){3,}(?![^\x20\x09-\x0D.,;:!?])")
+SPACED = re.compile(rb"(?<![^\x20\x09-\x0D])[a-z0-9@$!|](?:[\x20\x09-\x0D._*-]{1,3}[a-z0-9@$!|]){2,}(?![^\x20\x09-\x0D.,;:!?])")
+GAPS = re.compile(rb"[\x20\x09-\x0D._*-]+")
 DISGUISED = re.compile(rb"[a-z\x80-\xff]", re.S)
 SIGN = re.compile(rb"[0-9@$!|+(<*._~'-]|([a-z\x80-\xff])\1\1")
+RUNS = re.compile(rb"(.)\1*", re.S)
+JOINTS = re.compile(rb"[._*~'-]+")
+# Shortest form that has features.
+LEAST = 3
 
+# What may stand at a place of a lattice: (letter, its code or -1 for nothing, cost).
+Place = list[tuple[bytes, int, float]]
 
-def character_model(docs: DataFrame) -> np.ndarray:
-    """Cost of a symbol after two others, from the 3-grams of all texts with one added to each count."""
+
+def character_model(docs: DataFrame) -> list[float]:
+    """Cost of each symbol after two others, from the 3-grams of all texts with one added to each count."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sums = np.zeros(SYMBOLS**3, np.int64)
@@ -69,65 +76,107 @@ def character_model(docs: DataFrame) -> np.ndarray:
     table = np.ones(SYMBOLS**3)
     table[sums["gram"]] += sums["n"]
     table = table.reshape(SYMBOLS, SYMBOLS, SYMBOLS)
-    return -np.log(table / table.sum(axis=2, keepdims=True))
-
-
-def lattice(word: bytes) -> list[list[tuple[bytes, float]]]:
-    """For each place of a word what may have stood there, with its cost; b"" is nothing."""
-    places: list[list[tuple[bytes, float]]] = []
-    for run in re.finditer(rb"(.)\1*", word, re.S):
-        sign, n = run.group(1), len(run.group())
-        if sign in SIGNS:
-            options = [(SIGNS[sign][i : i + 1], DISGUISE) for i in range(len(SIGNS[sign]))]
-            if sign in JOINT:
-                options.append((b"", DISGUISE))
-        elif sign in JOINT:
-            options = [(b"", REPEAT)]
-        else:
-            options = [(sign, 0.0)]
-        places.append(options)
-        if n >= 2:
-            may_go = [(b"", REPEAT if n >= 3 else 2 * REPEAT)]
-            places.append(options + may_go)
-    return places
-
-
-def restored(word: bytes, costs: np.ndarray) -> bytes:
+    return (-np.log(table / table.sum(axis=2, keepdims=True))).ravel().tolist()
+
+
+def run_places(sign: bytes, n: int) -> list[Place]:
+    """What a run of ``n`` equal characters may stand for: one letter or two, or nothing for a joint."""
+    if sign in SIGNS:
+        letters = [SIGNS[sign][i : i + 1] for i in range(len(SIGNS[sign]))]
+        options = [(letter, int(CODES[letter[0]]), DISGUISE) for letter in letters]
+        if sign in JOINT:
+            options.append((b"", -1, DISGUISE))
+    elif sign in JOINT:
+        options = [(b"", -1, REPEAT)]
+    else:
+        options = [(sign, int(CODES[sign[0]]), 0.0)]
+    if n == 1:
+        return [options]
+    return [options, [*options, (b"", -1, REPEAT if n >= 3 else 2 * REPEAT)]]
+
+
+class Places(dict):
+    """Places of the lattice by character and length of its run, up to 3."""
+
+    def __missing__(self, key: tuple[int, int]) -> list[Place]:
+        places = self[key] = run_places(bytes(key[:1]), key[1])
+        return places
+
+
+PLACES = Places()
+END: Place = [(b" ", BORDER, 0.0)]
+
+
+def restored(word: bytes, costs: list[float]) -> bytes:
     """The most likely plain word behind a disguised one: Viterbi over its lattice.
 
-    A state is the last two symbols. A run of equal characters is one or two of them.
+    A state is the last two symbols, and there is a step back for each place and state, so
+    work and memory grow with the length of the word alone. Of equally likely words the one
+    whose letters are listed first wins.
     """
-    paths: dict[tuple[int, int], tuple[float, bytes]] = {(BORDER, BORDER): (0.0, b"")}
-    for options in [*lattice(word), [(b" ", 0.0)]]:
-        onward: dict[tuple[int, int], tuple[float, bytes]] = {}
-        for (first, second), (cost, text) in paths.items():
-            for letter, price in options:
-                if letter:
-                    code = int(CODES[letter[0]])
-                    state, total = (second, code), cost + price + costs[first, second, code]
+    places = [p for run in RUNS.finditer(word) for p in PLACES[word[run.start()], min(run.end() - run.start(), 3)]]
+    paths, trail = {BORDER * SYMBOLS + BORDER: 0.0}, []
+    for options in [*places, END]:
+        onward: dict[int, float] = {}
+        back: dict[int, tuple[int, bytes]] = {}
+        for state, cost in paths.items():
+            for letter, code, price in options:
+                if code < 0:
+                    to, total = state, cost + price
                 else:
-                    state, total = (first, second), cost + price
-                if state not in onward or (total, text + letter) < onward[state]:
-                    onward[state] = (total, text + letter)
+                    to, total = state % SYMBOLS * SYMBOLS + code, cost + price + costs[state * SYMBOLS + code]
+                if to not in onward or total < onward[to]:
+                    onward[to], back[to] = total, (state, letter)
         paths = onward
-    return min(paths.values())[1].strip()
+        trail.append(back)
+    state, letters = min(paths, key=paths.__getitem__), []
+    for back in reversed(trail):
+        state, letter = back[state]
+        letters.append(letter)
+    return b"".join(reversed(letters)).strip()
 
 
-def features(word: bytes, costs: np.ndarray) -> set[bytes]:
-    """The plain and the restored form of a word (marked by a final space) and their beginnings."""
+def forms(word: bytes, costs: list[float]) -> set[bytes]:
+    """The plain and the restored forms of a word, and its parts between joints."""
     plain = word.strip(EDGE)
-    forms = {plain}
-    if len(word) <= 40 and DISGUISED.search(word) and SIGN.search(word):
-        forms.add(restored(word.strip(b""".,;:?"'[]{}#%&"""), costs))
-        forms.add(restored(plain, costs))
+    found = {plain}
+    for form in {plain, word.strip(b""".,;:?"'[]{}#%&""")}:
+        if SIGN.search(form) and DISGUISED.search(form):
+            found.add(restored(form, costs))
+            found.update(JOINTS.split(form))
+    return {form for form in found if len(form) >= LEAST}
+
+
+def features(word: bytes, costs: list[float]) -> set[bytes]:
+    """The forms of a word (marked by a final space) and their beginnings."""
     found = set()
-    for form in forms:
-        if len(form) >= 3:
-            found.add(form + b" ")
-            found.update(form[:n] for n in STEMS if len(form) > n)
+    for form in forms(word, costs):
+        found.add(form + b" ")
+        found.update(form[:n] for n in STEMS if len(form) > n)
     return found
 
 
+class Lexicon:
+    """Shares of features; forms are looked up only if some feature begins as they do."""
+
+    def __init__(self, shares: dict[bytes, float]) -> None:
+        self.shares = shares
+        self.heads = {feature[:LEAST] for feature in shares}
+
+    def best(self, word: bytes, costs: list[float]) -> float:
+        """Greatest share of the features of a word."""
+        share = self.shares.get
+        return max(
+            (
+                share(feature, 0.0)
+                for form in forms(word, costs)
+                if form[:LEAST] in self.heads
+                for feature in (form + b" ", *(form[:n] for n in STEMS if len(form) > n))
+            ),
+            default=0.0,
+        )
+
+
 def tokens(text: bytes) -> set[bytes]:
     """Distinct words in lower case, and single characters set apart joined again.
 
@@ -136,7 +185,7 @@ def tokens(text: bytes) -> set[bytes]:
     low = text.translate(LOWER)
     found = set(low.split())
     for match in SPACED.finditer(low):
-        row = re.sub(rb"[ ._*-]", b"", match.group())
+        row = GAPS.sub(b"", match.group())
         found |= {row, row[1:], row[:-1], row[1:-1]}
     return found
 
@@ -159,8 +208,11 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, limit: int = MAX_LABELLE
     return dict(zip(rows["doc_id"].tolist(), rows["toxic"].tolist(), strict=True))
 
 
-def toxic_lexicon(docs: DataFrame, labels: DataFrame, costs: np.ndarray, limit: int = MAX_LABELLED) -> dict[bytes, float]:
-    """Features and the smoothed share of toxic documents among those that have them."""
+def toxic_lexicon(docs: DataFrame, labels: DataFrame, costs: list[float], limit: int = MAX_LABELLED) -> dict[bytes, float]:
+    """Features and the smoothed share of toxic documents among those that have them.
+
+    Only features of the labelled sample are in it, each in MIN_TOXIC of its documents or more.
+    """
     sample = labelled_sample(docs, labels, limit)
     if not any(sample.values()):
         return {}
@@ -208,8 +260,6 @@ def toxic_lexicon(docs: DataFrame, labels: DataFrame, costs: np.ndarray, limit:
         .where(F.col("n_toxic") >= MIN_TOXIC)
         .withColumn("share", share)
         .where(F.col("share") >= MIN_SHARE)
-        .orderBy(F.desc("n_toxic"), "feature")
-        .limit(MAX_FEATURES)
         .select("feature", "share")
         .collect()
     )
@@ -226,7 +276,8 @@ def score_toxicity(
     toxic documents of the labelled sample (ids whose crc32 leaves no 1 modulo 3); one minus
     the product of what each distinct word leaves open is the score.
 
-    Null and empty texts, and all texts where nothing toxic was learned, get the floor.
+    Words of any length are decoded, rows of three single characters or more are joined, words with
+    joints count with their parts, too. Null and empty texts, and all texts where nothing toxic was learned, get the floor.
     A null id is not held out and never learned from. Repeated rows are scored each and
     learned from once. Scores read the text only.
     """
@@ -237,17 +288,16 @@ def score_toxicity(
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         memory: dict[bytes, float] = {}
-        table, shares = model.value, terms.value
+        table, known = model.value, Lexicon(terms.value)
         for batch in batches:
             scores = []
             for text in raw_texts(batch.column(2)):
                 if len(memory) > REMEMBERED_WORDS:
                     memory.clear()
                 left = 0.0
-                for word in tokens(text) if shares else ():
+                for word in tokens(text) if known.shares else ():
                     if word not in memory:
-                        best = max((shares.get(f, 0.0) for f in features(word, table)), default=0.0)
-                        memory[word] = math.log1p(-best)
+                        memory[word] = math.log1p(-known.best(word, table))
                     left += memory[word]
                 scores.append(1 - (1 - FLOOR) * math.exp(left))
             values = np.round(np.array(scores, float), 9)

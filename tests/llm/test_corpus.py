@@ -181,10 +181,31 @@ def test_join_edges(edge_docs, no_docs):
     assert got[4] == (0, 4) and got[5] == (0, 5) and got[6] == (0, 6) and got[None][1] is None and got[9][1] == 9
     first = ngram_join.first_of_each(edge_docs)
     assert first.columns == edge_docs.columns
-    assert sorted((r["doc_id"] or 0) for r in first.collect()) == [0, 1, 4, 5, 6, 7, 8, 9, 9, 12]
+    assert sorted((r["doc_id"] or 0) for r in first.collect()) == [0, 1, 4, 5, 6, 7, 8, 9, 12]
     assert ngram_join.link_documents(no_docs).collect() == []
 
 
+def test_rows_are_kept_by_row_not_by_id(spark):
+    one, other = " ".join(f"a{i}" for i in range(40)), " ".join(f"b{i}" for i in range(40))
+    rows = [(1, one, 0), (2, other, 1), (2, one, 2), (None, one, 3), (None, other + " c", 4), (None, "alone here", 5), (1, one, 6), (7, "", 7), (7, "", 8)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, _copy int").withColumn("id", F.lit("x"))
+    got = ngram_join.first_of_each(docs)
+    assert got.columns == docs.columns
+    kept = sorted(r["_copy"] for r in got.collect())
+    assert kept[0] in (0, 6) and kept[1:] == [1, 5, 7, 8] or kept == [1, 5, 6, 7, 8]
+    named = docs.select(F.col("doc_id").cast("string").alias("doc_id"), "text", "_copy", F.lit(1).alias("digest"))
+    assert ngram_join.first_of_each(named).count() == len(kept)
+
+
+def test_leaks_are_dropped_by_text_not_by_id(spark):
+    passage = " ".join(f"word{i}" for i in range(30))
+    bench = spark.createDataFrame([(1, passage)], "item_id bigint, text string")
+    rows = [(None, "clean " + passage, 0), (None, "a clean text", 1), (3, passage, 2), (3, "another clean text", 3), (4, None, 4)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, _leak int").withColumn("digest", F.lit("d"))
+    got = decontamination.clean_documents(docs, bench)
+    assert got.columns == docs.columns and sorted(r["_leak"] for r in got.collect()) == [1, 3, 4]
+
+
 # --- 6: sharding -------------------------------------------------------------------
 
 
@@ -196,6 +217,14 @@ def test_permutation(n):
         assert (sharding.permuted(np.arange(n), n, 1) != sharding.permuted(np.arange(n), n, 2)).any()
 
 
+def test_shards_of_columns_with_inner_names(spark):
+    names = ["_uid", "_digest", "_range", "_inside", "_start", "_number", "_place", "number", "place", "doc", "uid"]
+    docs = spark.createDataFrame([(i, "t", *range(i, i + len(names))) for i in range(20)], ["doc_id", "text", *names])
+    got = sharding.shard_documents(docs, 4)
+    assert got.columns == [*docs.columns, "size", "text_crc32", "shard", "slot"]
+    assert all(r[n] == r["doc_id"] + i for r in got.collect() for i, n in enumerate(names))
+
+
 def test_shards(documents, edge_docs, no_docs, tmp_path):
     once = {tuple(r) for r in sharding.shard_documents(documents, 7).select("doc_id", "shard", "slot").collect()}
     again = {tuple(r) for r in sharding.shard_documents(documents.repartition(5), 7).select("doc_id", "shard", "slot").collect()}

@@ -1,7 +1,9 @@
 """Operators that score or measure each text: 1, 3, 4, 7, 10."""
 
 import hashlib
+import itertools
 import math
+import re
 import zlib
 from collections import Counter
 
@@ -42,6 +44,15 @@ def test_lm_base_matches_brute_force_with_a_small_memory(documents, monkeypatch)
     assert sum(r["score"] for r in got.values()) > sum(r["base_score"] for r in got.values())
 
 
+def test_lm_words_never_seen_are_no_likelier_than_seen_ones(spark, monkeypatch):
+    monkeypatch.setattr(lm_scoring, "OWN_CODES", 8)
+    train = [(i, " ".join(f"w{(i * 7 + j) % 300}ing" for j in range(30))) for i in range(200)]
+    seen, unseen = (10_000, "w5ing"), (10_001, "neverseening")
+    got = by_id(lm_scoring.score_texts(spark.createDataFrame([*train, seen, unseen], "doc_id bigint, text string"), 1, 2))
+    assert got[10_000]["n_known"] == 2 and got[10_001]["n_known"] in (1, 2)
+    assert got[10_000]["score"] >= got[10_001]["score"]
+
+
 def test_lm_scores_do_not_depend_on_which_counts_are_held(documents, monkeypatch):
     few = documents.where("doc_id < 40")
     whole = {r["doc_id"]: r["score"] for r in lm_scoring.score_texts(few, 1, 3).collect()}
@@ -144,6 +155,21 @@ def test_quality_edges(edge_docs, no_docs, labels, no_labels):
     }
 
 
+@pytest.mark.parametrize("kind", ["bigint", "string"])
+def test_trusted_ids_are_exact(spark, kind):
+    first = 1 << 53
+    texts = [(first, "good words here"), (first + 1, "bad words there")]
+    docs = spark.createDataFrame(texts, "doc_id bigint, text string").withColumn("doc_id", F.col("doc_id").cast(kind))
+    marks = spark.createDataFrame([(first + 1, 1), (first + 2, 1)], "doc_id bigint, quality int")
+    ratios = quality_rules.log_ratios(docs, marks.withColumn("doc_id", F.col("doc_id").cast(kind)))
+    memory = quality_rules.Words()
+    good, bad = (ratios[memory.of([w])[1] % quality_rules.BUCKETS][0] for w in (b"good", b"bad"))
+    assert bad > good
+    assert [r["doc_id"] for r in quality_rules.score_quality(docs, marks.limit(0)).select("doc_id").collect()] == [
+        r["doc_id"] for r in docs.collect()
+    ]
+
+
 # --- 4: toxicity ------------------------------------------------------------------
 
 
@@ -155,6 +181,37 @@ def test_disguised_words_are_restored(spark):
     assert b"idiot" in toxicity.tokens(b"what an I D I O T you are")
 
 
+def test_restored_words_are_the_cheapest_of_all_ways_through_the_lattice():
+    rng = np.random.default_rng(4)
+    costs = rng.random(toxicity.SYMBOLS**3).tolist()
+    for _ in range(300):
+        word = b"".join(bytes([rng.choice(list(b"ab01!*.-_@\xc3"))]) * int(rng.integers(1, 4)) for _ in range(rng.integers(1, 5)))
+        places = [p for m in re.finditer(rb"(.)\1*", word, re.S) for p in toxicity.run_places(m.group(1), len(m.group()))]
+        best = {}
+        for way in itertools.product(*places):
+            text = b"".join(letter for letter, _, _ in way)
+            codes = [0, 0, *toxicity.CODES[list(text)].tolist(), 0] if text else [0, 0, 0]
+            spent = sum(price for _, _, price in way)
+            spent += sum(costs[(a * 32 + b) * 32 + c] for a, b, c in zip(codes, codes[1:], codes[2:], strict=False))
+            best[text] = min(spent, best.get(text, spent))
+        assert best[toxicity.restored(word, costs)] == pytest.approx(min(best.values()))
+
+
+def test_long_words_short_rows_and_joints(spark):
+    costs = toxicity.character_model(spark.createDataFrame([("the idiot is a fool",)] * 30, "text string"))
+    assert b"idiot " in toxicity.features(b"i" * 60 + b"d" * 30 + b"1ot", costs)
+    assert toxicity.restored(b"1d10t" * 20_000, costs).count(b"idiot") == 20_000
+    assert b"you" in toxicity.tokens(b"so  y o u") and b"idiot" in toxicity.tokens(b"i -d - i\to.\nt")
+    assert {b"some ", b"idiot "} <= toxicity.features(b"some-1d10t,", costs) | toxicity.features(b"idiot-some", costs)
+
+
+def test_lexicon_finds_what_the_features_say():
+    costs = [0.1] * toxicity.SYMBOLS**3
+    known = toxicity.Lexicon({b"grum": 0.8, b"bad ": 0.9, b"fooli": 0.7})
+    for word in (b"grumble", b"b4d", b"bad!", b"foolish", b"grammar", b"", b"x-bad"):
+        assert known.best(word, costs) == max((known.shares.get(f, 0.0) for f in toxicity.features(word, costs)), default=0.0)
+
+
 def test_toxicity_learns_words_and_their_beginnings(spark):
     rows, marks = [], []
     for i in range(400):
