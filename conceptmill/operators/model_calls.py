@@ -4,14 +4,47 @@ from __future__ import annotations
 
 import time
 from collections.abc import Callable, Iterator, Sequence
+from dataclasses import dataclass
 
 import pandas as pd
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from conceptmill.operators.skew import hash_rank
 
 ChatFactory = Callable[[], Callable[[str, str], str]]
 ScorerFactory = Callable[[], Callable[[pd.Series], object]]
 
 
+@dataclass(frozen=True)
+class Schedule:
+    """Send times of a job: request ``number`` (from 0) is due ``number / rate`` seconds after ``begun``.
+
+    Every request of a job has a number of its own, whatever task sends it and also when it is
+    sent again, so all tasks together keep the rate. Requests that are late are sent by each
+    of the ``callers`` no faster than its share of the rate allows.
+    """
+
+    begun: float
+    rate: float
+    callers: int
+
+    def wait(self, number: int, last: float) -> float:
+        """Seconds from now until a request may be sent whose sender sent its last one at ``last``."""
+        return max(self.begun + number / self.rate, last + self.callers / self.rate) - time.time()
+
+
+def send_slots(requests: DataFrame, callers: int, rate: float, id: str = "id", first: int = 0) -> DataFrame:
+    """``requests`` with ``number`` (in the order of the md5 of their id), ``caller`` and ``due_seconds``.
+
+    Numbers go round the callers, so the requests of each are due at even distances.
+    """
+    numbered = hash_rank(requests, id, name="number").withColumn("number", F.col("number") + (first - 1))
+    return numbered.withColumn("caller", (F.col("number") % callers).cast("int")).withColumn(
+        "due_seconds", F.col("number") / rate
+    )
+
+
 def call_model(
     prompts: DataFrame,
     factory: ChatFactory,
@@ -19,22 +52,30 @@ def call_model(
     keep: Sequence[str] = (),
     delay_seconds: float = 0.0,
     max_callers: int | None = None,
+    schedule: Schedule | None = None,
+    timed: bool = False,
 ) -> DataFrame:
     """(id, keep.., raw, call_error) for (id, keep.., system_message, user_message).
 
     ``factory`` runs once per partition and gives ``fn(system, user) -> text``.
-    A failed call gives its message in ``call_error``. ``delay_seconds`` is
-    waited after each call; ``max_callers`` bounds the number of tasks that
-    call at the same time.
+    A failed call gives its message in ``call_error``. ``timed`` adds ``sent``, the time of the call
+    in seconds of the epoch.
+    ``delay_seconds`` is waited after each call; ``max_callers`` bounds the number of tasks that
+    call at the same time. With a ``schedule`` prompts have ``number`` and ``caller`` of
+    ``send_slots``; each caller is one task and sends its requests when they are due.
     """
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        model = None
+        model, last = None, 0.0
         for batch in batches:
             if model is None:
                 model = factory()
-            replies, errors = [], []
-            for system, user in zip(batch["system_message"], batch["user_message"]):
+            replies, errors, sent = [], [], []
+            for at, (system, user) in enumerate(zip(batch["system_message"], batch["user_message"])):
+                if schedule:
+                    time.sleep(max(0.0, schedule.wait(batch["number"].iloc[at], last)))
+                last = time.time()
+                sent.append(last)
                 try:
                     replies.append(model(system, user))
                     errors.append(None)
@@ -43,15 +84,19 @@ def call_model(
                     errors.append(f"{type(error).__name__}: {error}")
                 if delay_seconds:
                     time.sleep(delay_seconds)
-            yield batch[kept].assign(raw=replies, call_error=errors)
+            done = batch[kept].assign(raw=replies, call_error=errors)
+            yield done.assign(sent=sent) if timed else done
 
     kept = ["id", *keep]
-    rows = prompts.select(*kept, "system_message", "user_message")
-    if max_callers:
-        rows = rows.repartition(max_callers)
+    if schedule:
+        rows = prompts.select(*kept, "system_message", "user_message", "number", "caller")
+        rows = rows.repartitionById(schedule.callers, F.col("caller")).sortWithinPartitions("number")
+    else:
+        rows = prompts.select(*kept, "system_message", "user_message")
+        rows = rows.repartition(max_callers) if max_callers else rows
     types = dict(prompts.dtypes)
     schema = ", ".join(f"{name} {types[name]}" for name in kept)
-    return rows.mapInPandas(run, f"{schema}, raw string, call_error string")
+    return rows.mapInPandas(run, f"{schema}, raw string, call_error string{', sent double' if timed else ''}")
 
 
 def score_texts(texts: DataFrame, factory: ScorerFactory) -> DataFrame:

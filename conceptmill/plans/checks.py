@@ -546,6 +546,22 @@ INCREMENTAL = (
     f"{_QUALITY_CODES}, {_label_job(f'SELECT {br.DOC} AS decision, text FROM documents', br.TASK)} "
     + _annotation_rows("SELECT * FROM pairs", br.TASK, _MODEL_AGENT)
 )
+_LABELLED_DOCUMENTS = f"{_QUALITY_CODES}, {_label_job(f'SELECT {br.DOC} AS decision, text FROM documents', br.TASK)}"
+FAILED_REPLIES = f"{_LABELLED_DOCUMENTS} SELECT decision AS id, 'cannot say' AS raw, true AS refused FROM picked WHERE shape = 5"
+# Shape 5 is refused in the first two rounds; the third model names its label alone.
+THIRD_ROUND = f"""{_QUALITY_CODES}, {_label_job(f'SELECT {br.DOC} AS decision, text FROM documents', br.TASK).replace(
+    "UNION ALL SELECT '" + QUALITY + "', decision, 'toxic' FROM answered WHERE shape = 4)",
+    "UNION ALL SELECT '" + QUALITY + "', decision, 'toxic' FROM answered WHERE shape = 4 "
+    "UNION ALL SELECT '" + QUALITY + "', decision, label FROM picked WHERE shape = 5)")}
+  SELECT target, body FROM pairs"""
+SEND_SLOTS = f"""SELECT id, number, (number % 7)::INT AS caller, number / 50.0::DOUBLE AS due_seconds
+  FROM (SELECT {br.DOC} AS id, row_number() OVER (ORDER BY md5({br.DOC}), {br.DOC}) - 1 AS number FROM documents)"""
+NEW_ONLY = f"{_LABELLED_DOCUMENTS} " + _annotation_rows(
+    "SELECT * FROM pairs WHERE substr(md5(target), 1, 1) >= '8'", br.TASK, _MODEL_AGENT
+)
+JOB_REPORT = f"""{_LABELLED_DOCUMENTS}
+  SELECT decision, 'skipped' AS kind, 'blank text' AS detail FROM todo WHERE coalesce(trim(replace(text, chr(10), '')), '') = ''
+  UNION ALL SELECT decision, 'unresolved', label FROM wanted JOIN resolved USING (scheme, label) WHERE uri IS NULL"""
 RANDOM_JOB = (
     f"{quads_sql(*_LABELLED)}, {_QUALITY_ENTRIES}, {_OPEN_SAME}, todo AS ({_OPEN_TEXTS}), "
     "lists AS (SELECT list(label ORDER BY uri, label) AS labels FROM entries), "

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from conceptmill import vocab as v
+from conceptmill.operators import model_calls as calls
 from conceptmill.operators import writes as wr
 from conceptmill.plans import bridge as br
 from conceptmill.plans import checks as sql
@@ -79,6 +80,50 @@ def batch_model_annotation(spark, sf):
     return result.quads().select("g", "s", "p", F.col("o.value").alias("o"))
 
 
+def _label_documents(spark, sf, factory=stubs.chat_factory, **options):
+    texts = br.table(spark, sf, "documents").selectExpr(f"{br.DOC} AS decision", "text")
+    codelist = jobs.stored_codelist(br.quads(spark, sf, "concepts"), br.QUALITY)
+    return jobs.label_decisions(
+        texts, codelist, br.QUALITY, task=br.TASK, factory=factory, prompts=_no_prompts(spark),
+        pause_seconds=0, on_failure="quarantine", **options,
+    )
+
+
+@query(sql.FAILED_REPLIES)
+def failed_replies(spark, sf):
+    return _label_documents(spark, sf, attempts=2).failed.select("id", "raw", F.isnotnull("parse_error").alias("refused"))
+
+
+@query(sql.THIRD_ROUND)
+def replies_third_round(spark, sf):
+    """Some prompts fail in the first round, others in the first two; the third model answers what is left."""
+    models = [stubs.broken_factory, stubs.chat_factory, stubs.patient_factory]
+    result = _label_documents(spark, sf, factory=models, max_callers=3, calls_per_second=100_000)
+    return result.annotations.select("target", "body")
+
+
+@query(sql.SEND_SLOTS)
+def send_slots(spark, sf):
+    requests = br.table(spark, sf, "documents").selectExpr(f"{br.DOC} AS id")
+    return calls.send_slots(requests, callers=7, rate=50.0)
+
+
+@query(sql.NEW_ONLY)
+def job_annotations_new_only(spark, sf):
+    made = _label_documents(spark, sf).annotations
+    stored = made.where("substr(md5(target), 1, 1) < '8'").select(*wr.ANNOTATION_KEY)
+    return _label_documents(spark, sf, existing=stored).annotations
+
+
+@query(sql.JOB_REPORT)
+def skipped_and_unresolved(spark, sf):
+    result = _label_documents(spark, sf)
+    skipped = result.skipped.select("decision", F.lit("skipped").alias("kind"), F.col("skip_reason").alias("detail"))
+    return skipped.unionByName(
+        result.unresolved.select("decision", F.lit("unresolved").alias("kind"), F.col("label").alias("detail"))
+    )
+
+
 @query(sql.RANDOM_JOB)
 def random_label_annotation(spark, sf):
     quads = br.quads(spark, sf, *_LABELLED, "task")

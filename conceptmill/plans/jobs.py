@@ -23,16 +23,23 @@ from conceptmill.operators import selection as sel
 from conceptmill.operators import text as txt
 from conceptmill.operators import writes as wr
 from conceptmill.session import scratch_path
-from conceptmill.sources.tables import materialised, read_table_or_empty
+from conceptmill.sources.journal import FAILED, ReplyJournal
+from conceptmill.sources.tables import materialised
 
 
 @dataclass
 class JobResult:
-    """What a job wants written. ``failed`` are rows that got no usable reply."""
+    """What a job wants written, and what it did not do.
+
+    ``failed`` are rows that got no usable reply, ``skipped`` (decision, skip_reason) decisions that were
+    not sent, ``unresolved`` (decision, label) labels that are in no codelist.
+    """
 
     annotations: DataFrame
     containers: DataFrame
     failed: DataFrame | None = None
+    skipped: DataFrame | None = None
+    unresolved: DataFrame | None = None
 
     def quads(self) -> DataFrame:
         return wr.annotation_quads(self.annotations).unionByName(wr.container_quads(self.containers))
@@ -53,17 +60,9 @@ def stored_codelist(quads: DataFrame, scheme: str) -> DataFrame:
 CHUNK_ROWS = 1000
 
 
-def _chunks(pending: DataFrame, max_callers: int | None) -> list[DataFrame]:
-    """The rows as they are, or cut by a hash of the id so that a chunk is CHUNK_ROWS for each caller."""
-    if not max_callers:
-        return [pending]
-    n = max(1, math.ceil(pending.count() / (max_callers * CHUNK_ROWS)))
-    return [pending.where(F.pmod(F.xxhash64("id"), F.lit(n)) == k) for k in range(n)]
-
-
 def ask_model(
     requests: DataFrame,
-    factory: calls.ChatFactory,
+    factory: calls.ChatFactory | Sequence[calls.ChatFactory],
     parse: Callable[[DataFrame], DataFrame],
     *,
     keep: Sequence[str] = (),
@@ -79,61 +78,76 @@ def ask_model(
 
     ``parse`` adds ``parse_error`` to (id, keep.., raw, call_error). A failed
     call or parse puts only that row into the next attempt, after a pause that
-    grows with the attempt. Every round of replies is written with its parsed
-    form before anything else uses it. Returns the parsed rows and the rows that failed every attempt; the
+    grows with the attempt. Several factories are the models of the first, second, ..
+    attempt, the last one of all later ones. Returns the parsed rows and the rows that failed every attempt; the
     latter are an error with ``on_failure='raise'`` and a result with
     ``'quarantine'``.
 
     ``max_callers`` bounds the calls at the same time; requests are then sent in chunks of at
-    most CHUNK_ROWS a caller, each written when it is done, so a lost task repeats few
-    calls. ``calls_per_second`` is the rate of the whole job: its callers, one unless
-    ``max_callers`` says more, share it. Without either, every task calls.
-
-    ``store`` is the path of a table of usable replies by id and message. What it holds
-    is not asked again and every round adds to it, so a job that failed, or was stopped,
-    goes on where it was.
+    most CHUNK_ROWS a caller, so a lost task repeats few calls. ``calls_per_second`` is the
+    rate of the whole job: every request, also a repeated one, has its send time (see
+    ``calls.Schedule``); its callers are one unless ``max_callers`` says more. Without
+    either, every task calls.
+
+    All replies go to a journal, chunk by chunk, before anything else uses them: ``store``, or else a new
+    folder under the shared one, named in the error when a job gives up. A job given the
+    journal of another as ``store`` asks only for what has no usable reply to the same message there.
     """
     if on_failure not in ("raise", "quarantine"):
         raise ValueError(f"unknown on_failure: {on_failure}")
+    spark = requests.sparkSession
+    models = list(factory) if isinstance(factory, Sequence) else [factory]
     asked = F.sha2(F.concat_ws("\u001f", "system_message", "user_message"), 256)
-    if calls_per_second:
-        max_callers = max_callers or 1
-        delay_seconds = max(delay_seconds, max_callers / calls_per_second)
-    pending, good, bad = materialised(requests.withColumn("asked", asked), "requests"), [], None
-    requests, keep = pending, [*keep, "asked"]
+    requests = materialised(requests.withColumn("asked", asked), "requests")
+    path = store or scratch_path(spark, "replies")
+    journal = ReplyJournal(spark, path, dict(requests.dtypes)["id"])
+    about = requests.select("id", *keep, "asked")
+    no_error = F.lit(None).cast("string").alias("call_error")
+
+    def parsed(raw: DataFrame) -> DataFrame:
+        return parse(about.join(raw, ["id", "asked"]).select("id", *keep, "asked", "raw", no_error))
+
+    pending, known = requests, None
     if store:
-        types = dict(requests.dtypes)
-        stored = read_table_or_empty(requests.sparkSession, store, f"id {types['id']}, asked string, raw string")
-        once = stored.groupBy("id", "asked").agg(F.min("raw").alias("raw"))
-        known = requests.select("id", *keep).join(once, ["id", "asked"])
-        known = known.select("id", *keep, "raw", F.lit(None).cast("string").alias("call_error"))
-        good.append(materialised(parse(known).where("parse_error IS NULL"), "replies-known"))
-        pending = requests.join(good[0].select("id"), "id", "left_anti")
-    failed = F.col("call_error").isNotNull() | F.col("parse_error").isNotNull()
+        known = materialised(parsed(journal.usable()).where("parse_error IS NULL"), "replies-known")
+        pending = requests.join(known.select("id"), "id", "left_anti")
+    callers = max_callers or (1 if calls_per_second else None)
+    begun, sent, bad = time.time(), 0, None
     for attempt in range(1, attempts + 1):
-        parsed = None
-        for chunk in _chunks(pending, max_callers):
-            raw = calls.call_model(chunk, factory, keep=keep, delay_seconds=delay_seconds, max_callers=max_callers)
-            done = materialised(parse(raw), f"replies-{attempt}")
-            if store:
-                done.where(~failed).select("id", "asked", "raw").write.mode("append").parquet(store)
-            parsed = done if parsed is None else parsed.unionByName(done)
-        good.append(parsed.where(~failed))
-        bad = parsed.where(failed)
+        if callers:
+            n_pending = pending.count()
+            slots = calls.send_slots(pending, callers, calls_per_second or math.inf, first=sent)
+            size = callers * CHUNK_ROWS
+            journal.requests(slots.withColumn("chunk", F.floor((F.col("number") - sent) / size).cast("int")), attempt)
+            schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in slots.schema)
+            schedule = calls.Schedule(begun, calls_per_second, callers) if calls_per_second else None
+            chunks = [journal.chunk(schema, attempt, k) for k in range(math.ceil(n_pending / size))]
+            sent += n_pending
+        else:
+            chunks, schedule = [pending], None
+        for k, chunk in enumerate(chunks):
+            raw = calls.call_model(
+                chunk, models[min(attempt, len(models)) - 1], keep=[*keep, "asked"], delay_seconds=delay_seconds,
+                max_callers=callers, schedule=schedule, timed=True,
+            )
+            journal.commit(parse(raw), attempt, k)
+        bad = journal.own(attempt).where(FAILED)
         if attempt == attempts or bad.isEmpty():
             break
         pending = requests.join(bad.select("id"), "id", "left_semi")
         time.sleep(attempt * pause_seconds)
-    answered = good[0]
-    for more in good[1:]:
-        answered = answered.unionByName(more)
+    answered = parsed(journal.own().where(f"NOT ({FAILED})").select("id", "asked", "raw"))
+    if known is not None:
+        answered = answered.unionByName(known)
+    bad = about.join(bad.select("id", "asked", "raw", "call_error", "parse_error"), ["id", "asked"])
     if on_failure == "raise":
         first = bad.first()
         if first is not None:
             reason = first["call_error"] or first["parse_error"]
-            kept = f"; usable replies are in {store}" if store else ""
-            raise RuntimeError(f"model call failed after {attempts} attempts for {first['id']}: {reason}{kept}")
-    return answered, bad
+            raise RuntimeError(
+                f"model call failed after {attempts} attempts for {first['id']}: {reason}; usable replies are in {path}"
+            )
+    return answered, bad.select("id", *keep, "asked", "raw", "call_error", "parse_error")
 
 
 def label_requests(decisions: DataFrame, codelist: DataFrame, prompts: DataFrame) -> DataFrame:
@@ -157,7 +171,7 @@ def label_decisions(
     scheme: str,
     *,
     task: str,
-    factory: calls.ChatFactory | None,
+    factory: calls.ChatFactory | Sequence[calls.ChatFactory] | None,
     prompts: DataFrame,
     accept_bare_list: bool = False,
     existing: DataFrame | None = None,
@@ -170,8 +184,9 @@ def label_decisions(
     Without a ``factory`` each decision gets a label fixed by its URI, which
     serves tests. All decisions go through the same plan at once.
     """
-    texts = decisions.where(~is_blank(F.col("text")))
-    failed = None
+    judged = sel.skip_reasons(decisions)
+    skipped = judged.where("skip_reason IS NOT NULL").select("decision", "skip_reason")
+    texts, failed = judged.where("skip_reason IS NULL").drop("skip_reason"), None
     if factory is None:
         labels = lab.codelist_prompt(codelist).select("labels").scalar()
         picked = texts.select("decision", F.array(prm.picked_label(labels, F.col("decision"))).alias("classes"))
@@ -184,12 +199,13 @@ def label_decisions(
             **model_options,
         )
     replies = answered.select(F.lit(scheme).alias("scheme"), F.col("id").alias("decision"), "classes")
-    fanned = lab.fan_out(replies, codelist)
+    fanned = materialised(lab.fan_out(replies, codelist), "resolved")
+    unresolved = fanned.where("uri IS NULL").select("decision", "label")
     annotations = wr.annotation_rows(wr.with_no_match(fanned, replies), task=task, agent=v.AGENTS["model_annotator"])
     if existing is not None:
         annotations = wr.only_new(annotations, existing)
     containers = wr.output_containers(replies.select(F.col("decision").alias("resource")), task)
-    return JobResult(annotations, containers, failed)
+    return JobResult(annotations, containers, failed, skipped, unresolved)
 
 
 def batch_model_annotation(
@@ -253,14 +269,14 @@ def annotate_predictions(
         ),
         "predictions",
     )
-    fanned = lab.fan_out(replies, codelist)
+    fanned = materialised(lab.fan_out(replies, codelist), "resolved")
     found = fanned.where(F.col("uri").isNotNull()).select(
         F.col("decision").alias("target"), F.col("uri").alias("body")
     )
     annotations = wr.annotation_rows(found, task=task, agent=v.AGENTS["classifier_annotator"])
     annotations = wr.only_new(annotations, existing)
     containers = wr.output_containers(replies.select(F.col("decision").alias("resource")), task)
-    return JobResult(annotations, containers)
+    return JobResult(annotations, containers, unresolved=fanned.where("uri IS NULL").select("decision", "label"))
 
 
 def _open_texts(quads: DataFrame, task: str) -> tuple[sel.JobSettings, DataFrame]:

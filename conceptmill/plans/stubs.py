@@ -96,6 +96,23 @@ def chat_factory() -> Callable[[str, str], str]:
     return answer
 
 
+def broken_factory() -> Callable[[str, str], str]:
+    """Fails on some prompts and answers the others as ``chat_factory`` does."""
+    chat = chat_factory()
+
+    def answer(system: str, user: str) -> str:
+        if _number(user) % 6 in (0, 1, 2):
+            raise TimeoutError("late")
+        return chat(system, user)
+
+    return answer
+
+
+def patient_factory() -> Callable[[str, str], str]:
+    """Answers every prompt with one label picked by its hash."""
+    return lambda system, user: json.dumps({"designated_classes": [LABELS[_number(user) // 6 % len(LABELS)]]})
+
+
 def impact_factory() -> Callable[[str, str], str]:
     """Answers with a direction picked by a hash of the prompt."""
 

@@ -17,6 +17,7 @@ from conceptmill.operators import model_metadata as meta
 from conceptmill.operators import selection as sel
 from conceptmill.operators import writes as wr
 from conceptmill.plans import jobs
+from conceptmill.sources.journal import ReplyJournal
 from conceptmill.sources import quads as src
 from conceptmill.sources import results_json, settings
 from conceptmill.streaming import incremental as inc
@@ -116,16 +117,66 @@ def test_stored_replies_are_not_asked_again(spark, make_quads, prompts, tmp_path
 def test_chunks_and_the_rate_of_a_job(spark, monkeypatch):
     monkeypatch.setattr(jobs, "CHUNK_ROWS", 3)
     requests = spark.createDataFrame([(f"r{i}", "s", f"u{i}") for i in range(20)], "id string, system_message string, user_message string")
-    chunks = jobs._chunks(requests, 2)
-    assert len(chunks) == 4 and sum(c.count() for c in chunks) == 20
-
     def parse(df):
         return df.withColumn("parse_error", F.lit(None).cast("string"))
 
     begun = time.time()
     answered, bad = jobs.ask_model(requests, lambda: lambda system, user: user[1:], parse, max_callers=2, calls_per_second=40)
     assert rows(answered, "id", "raw") == sorted((f"r{i}", str(i)) for i in range(20)) and bad.isEmpty()
-    assert time.time() - begun >= 20 / 40
+    assert time.time() - begun >= 19 / 40
+
+
+def test_many_tasks_keep_the_rate_of_the_job(spark, monkeypatch, tmp_path):
+    monkeypatch.setattr(jobs, "CHUNK_ROWS", 5)
+    requests = spark.createDataFrame([(f"r{i}", "s", f"u{i}") for i in range(48)], "id string, system_message string, user_message string")
+
+    def parse(df):
+        error = F.when(F.col("raw") == "u7", F.lit("odd")).cast("string")
+        return df.withColumn("parse_error", error)
+
+    store = str(tmp_path / "journal")
+    answered, bad = jobs.ask_model(
+        requests, lambda: lambda system, user: user, parse, max_callers=4, calls_per_second=30, store=store,
+        on_failure="quarantine", attempts=2, pause_seconds=0,
+    )
+    assert answered.count() == 47 and rows(bad, "id") == [("r7",)]
+    journal = ReplyJournal(spark, store, "string")
+    sent = sorted(r["sent"] for r in journal.replies().collect())
+    # any second holds no more calls than the rate, and one for each caller that was late
+    assert len(sent) == 49 and all(sum(t <= x < t + 1 for x in sent) <= 30 + 4 for t in sent)
+    places = rows(journal.committed().select("round", "chunk"))
+    assert places == [(1, 0), (1, 1), (1, 2), (2, 0)]
+
+
+def test_chunks_without_a_marker_are_asked_again(spark, tmp_path):
+    store, folder = str(tmp_path / "journal"), tmp_path / "calls"
+    folder.mkdir()
+    requests = spark.createDataFrame([(f"r{i}", "s", f"u{i}") for i in range(4)], "id string, system_message string, user_message string")
+
+    def model():
+        def answer(system, user):
+            with open(folder / user, "a") as calls_of:
+                calls_of.write("x")
+            return user
+
+        return answer
+
+    def parse(df):
+        return df.withColumn("parse_error", F.lit(None).cast("string"))
+
+    journal = ReplyJournal(spark, store, "string", run="cut-off")
+    done = requests.where("id IN ('r0', 'r1')").selectExpr(
+        "id", "sha2(concat_ws('\u001f', system_message, user_message), 256) AS asked", "user_message AS raw",
+        "CAST(NULL AS STRING) AS call_error", "CAST(NULL AS STRING) AS parse_error", "0D AS sent",
+    )
+    journal.commit(done.where("id = 'r0'"), 1, 0)
+    done.where("id = 'r1'").write.parquet(f"{store}/replies/run=cut-off/round=1/chunk=1")  # its marker is missing
+    answered, _ = jobs.ask_model(requests, model, parse, store=store)
+    assert rows(answered, "id", "raw") == [(f"r{i}", f"u{i}") for i in range(4)]
+    assert sorted(p.name for p in folder.iterdir()) == ["u1", "u2", "u3"]
+    jobs.ask_model(requests, model, parse, store=store)
+    assert {p.read_text() for p in folder.iterdir()} == {"x"}
+
 
 
 def test_impact_model_is_told_the_format(make_quads):
