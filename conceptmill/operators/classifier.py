@@ -1,24 +1,26 @@
-"""A text classifier on Spark ML: hashed term weights and logistic regression."""
+"""A text classifier: hashed term weights of Spark ML, logistic heads of all labels fitted together."""
 
 from __future__ import annotations
 
 import json
 from collections.abc import Iterator, Sequence
-from concurrent.futures import ThreadPoolExecutor
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.classification import LogisticRegression, LogisticRegressionModel
 from pyspark.ml.feature import IDF, HashingTF, Tokenizer
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from conceptmill import vocab as v
 from conceptmill.operators.learning import check_problem_type
+from conceptmill.sources.tables import materialised
 
 NEVER = -1e9
+# Texts of one step, and numbers of a weight matrix that one set of passes fits (64 MB).
+BATCH, MATRIX = 32, 1 << 23
 
 
 @dataclass
@@ -35,6 +37,7 @@ class TextClassifier:
     used: np.ndarray
     weights: np.ndarray
     intercepts: np.ndarray
+    losses: list[float] = field(default_factory=list)
 
     def transform(self, texts: DataFrame) -> DataFrame:
         """Add ``logits``, one per label, in one pass; a label without training rows never wins."""
@@ -60,9 +63,9 @@ class TextClassifier:
         """Write the model as tables below a new path."""
         spark = SparkSession.active()
         self.features.save(f"{path}/features")
-        rows = [(int(i), w.tolist()) for i, w in zip(self.used, self.weights)]
+        rows = [(int(i), w.astype(float).tolist()) for i, w in zip(self.used, self.weights)]
         spark.createDataFrame(rows, "feature bigint, weights array<double>").write.parquet(f"{path}/weights")
-        about = json.dumps({"problem": self.problem, "labels": self.labels, "intercepts": self.intercepts.tolist()})
+        about = json.dumps({"problem": self.problem, "labels": self.labels, "intercepts": self.intercepts.tolist(), "losses": self.losses})
         spark.createDataFrame([(about,)], "value string").coalesce(1).write.text(f"{path}/about")
 
     @classmethod
@@ -71,9 +74,159 @@ class TextClassifier:
         about = json.loads(spark.read.text(f"{path}/about").first()["value"])
         rows = sorted(spark.read.parquet(f"{path}/weights").collect())
         intercepts = np.array(about["intercepts"])
-        weights = np.array([r["weights"] for r in rows]).reshape(-1, intercepts.size)
+        weights = np.array([r["weights"] for r in rows], np.float32).reshape(-1, intercepts.size)
         used = np.array([r["feature"] for r in rows], np.int64)
-        return cls(about["problem"], about["labels"], PipelineModel.load(f"{path}/features"), used, weights, intercepts)
+        return cls(about["problem"], about["labels"], PipelineModel.load(f"{path}/features"), used, weights, intercepts, about["losses"])
+
+
+@dataclass
+class Head:
+    """Weights of some labels over the used features (row by row), and their intercepts as the last row."""
+
+    table: np.ndarray
+
+    def logits(self, places: np.ndarray, values: np.ndarray, starts: np.ndarray) -> np.ndarray:
+        """One row for each text, whose features begin at ``starts``."""
+        total = np.repeat(self.table[-1:], starts.size, axis=0)
+        sizes = np.diff(np.append(starts, places.size))
+        some = sizes > 0
+        if some.any():
+            total[some] += np.add.reduceat(self.table[places] * values[:, None], starts[some], axis=0)
+        return total
+
+
+def _batches(batches: Iterator[pa.RecordBatch], used: np.ndarray, n_labels: int, first: int) -> Iterator[tuple]:
+    """(places, values, starts, targets) of BATCH texts at a time, features as rows of a head's table."""
+    for batch in batches:
+        for start in range(0, batch.num_rows, BATCH):
+            indices, values, targets = (c.to_pylist() for c in batch.slice(start, BATCH).columns)
+            sizes = np.array([len(x) for x in indices])
+            at = np.array([i for x in indices for i in x], np.int64)
+            value = np.array([y for x in values for y in x], float)
+            place = np.searchsorted(used, at)
+            place[place == used.size] = 0
+            known = used[place] == at if used.size else np.zeros(at.size, bool)
+            owner = np.repeat(np.arange(sizes.size), sizes)[known]
+            truth = np.zeros((sizes.size, n_labels))
+            for row, ids in enumerate(targets):
+                for i in ids:
+                    if first <= i < first + n_labels:
+                        truth[row, i - first] = 1.0
+            yield place[known], value[known], np.searchsorted(owner, np.arange(sizes.size)), owner, truth
+
+
+def _probabilities(logits: np.ndarray, single: bool) -> np.ndarray:
+    if single:
+        raised = np.exp(logits - logits.max(axis=1, keepdims=True))
+        return raised / raised.sum(axis=1, keepdims=True)
+    return 1 / (1 + np.exp(-np.clip(logits, -500, 500)))
+
+
+def _learned(
+    batches: Iterator[pa.RecordBatch], used: np.ndarray, table: np.ndarray, first: int, single: bool, rate: float, decay: float
+) -> Iterator[pa.RecordBatch]:
+    """What a partition's texts change, in steps of BATCH texts: one row for each feature it has."""
+    head, before = Head(table.copy()), table
+    power, touched, n = np.full(table.shape, 1e-8), np.zeros(len(table), bool), 0
+    for places, values, starts, owner, truth in _batches(batches, used, table.shape[1], first):
+        off = (_probabilities(head.logits(places, values, starts), single) - truth) / len(truth)
+        rows, inverse = np.unique(np.append(places, len(table) - 1), return_inverse=True)
+        gradient = np.zeros((rows.size, table.shape[1]))
+        np.add.at(gradient, inverse[:-1], values[:, None] * off[owner])
+        gradient[-1] += off.sum(axis=0)
+        gradient[:-1] += decay * head.table[rows[:-1]] / len(truth)
+        power[rows] += gradient**2
+        head.table[rows] -= rate * gradient / np.sqrt(power[rows])
+        touched[rows], n = True, n + len(truth)
+    at = np.flatnonzero(touched)
+    change = (head.table[at] - before[at]).astype("<f8")
+    yield pa.RecordBatch.from_pydict(
+        {
+            "at": pa.array(at, pa.int64()),
+            "n": pa.array(np.full(at.size, n), pa.int64()),
+            "change": pa.array([row.tobytes() for row in change], pa.binary()),
+        }
+    )
+
+
+def _averaged(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Mean change of each feature over the partitions that have it, by their texts; rows come sorted by feature."""
+    now, total, weight, done = None, None, 0, []
+
+    def row() -> tuple[int, bytes]:
+        return now, (total / weight).tobytes()
+
+    for batch in batches:
+        for at, n, change in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+            if at != now:
+                if now is not None:
+                    done.append(row())
+                now, total, weight = at, 0.0, 0
+            total, weight = total + n * np.frombuffer(change, "<f8"), weight + n
+    if now is not None:
+        done.append(row())
+    yield pa.RecordBatch.from_arrays(
+        [pa.array([a for a, _ in done], pa.int64()), pa.array([c for _, c in done], pa.binary())], names=["at", "change"]
+    )
+
+
+def _loss(batches: Iterator[pa.RecordBatch], used: np.ndarray, table: np.ndarray, first: int, single: bool) -> Iterator[pa.RecordBatch]:
+    head, total, n = Head(table), 0.0, 0
+    for places, values, starts, _, truth in _batches(batches, used, table.shape[1], first):
+        share = np.clip(_probabilities(head.logits(places, values, starts), single), 1e-12, 1 - 1e-12)
+        costs = truth * np.log(share) if single else truth * np.log(share) + (1 - truth) * np.log(1 - share)
+        total, n = total - float(costs.sum()), n + len(truth)
+    yield pa.RecordBatch.from_pydict({"loss": pa.array([total]), "n": pa.array([n], pa.int64())})
+
+
+def fit_heads(
+    examples: DataFrame,
+    validation: DataFrame | None,
+    used: np.ndarray,
+    first: int,
+    n_labels: int,
+    single: bool,
+    *,
+    epochs: int,
+    rate: float,
+    regularisation: float,
+) -> tuple[np.ndarray, list[float]]:
+    """(table, losses): the weights of ``n_labels`` labels from ``first`` on, all fitted in the same passes.
+
+    ``examples`` and ``validation`` are (indices, values, ids). An epoch is one pass: every
+    partition takes steps of BATCH texts from the shared weights and gives what it has
+    changed, feature by feature; the mean of these changes, by numbers of texts, is the next weights. After each
+    epoch the loss over ``validation`` is taken; the epoch with the least is kept, without it the last.
+    """
+    context, n_parts = examples.sparkSession.sparkContext, examples.sparkSession.conf.get("spark.sql.shuffle.partitions")
+    table, best, losses = np.zeros((used.size + 1, n_labels)), None, []
+    for _ in range(epochs):
+        shared = context.broadcast((used, table))  # MATRIX numbers at most
+
+        def learn(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
+            return _learned(batches, *shared.value, first, single, rate, regularisation)
+
+        changes = examples.mapInArrow(learn, "at bigint, n bigint, change binary")
+        means = (
+            changes.repartition(int(n_parts), "at").sortWithinPartitions("at", "n", "change")
+            .mapInArrow(_averaged, "at bigint, change binary").toArrow()
+        )
+        table = table.copy()
+        if means.num_rows:
+            table[means.column("at").to_numpy()] += np.stack([np.frombuffer(x, "<f8") for x in means.column("change").to_pylist()])
+        if validation is None:
+            best = table
+            continue
+        judged = context.broadcast((used, table))
+
+        def judge(batches: Iterator[pa.RecordBatch], judged=judged) -> Iterator[pa.RecordBatch]:
+            return _loss(batches, *judged.value, first, single)
+
+        sums = validation.mapInArrow(judge, "loss double, n bigint").groupBy().agg(F.sum("loss"), F.sum("n")).first()
+        losses.append(sums[0] / sums[1] if sums[1] else 0.0)
+        if best is None or losses[-1] < min(losses[:-1]):
+            best = table
+    return table if best is None else best, losses
 
 
 def fit_classifier(
@@ -81,15 +234,19 @@ def fit_classifier(
     labels: Sequence[str],
     problem: str,
     *,
+    validation: DataFrame | None = None,
     num_features: int = 1 << 18,
-    epochs: int = 20,
-    regularisation: float = 0.01,
-    parallelism: int = 8,
+    epochs: int = 10,
+    rate: float = 0.5,
+    regularisation: float = 1e-4,
 ) -> TextClassifier:
     """Fit on (text, target): a label id for single-label, a 0/1 array for multi-label.
 
-    Multi-label fits one binary model per label on shared features, ``parallelism`` of them
-    at a time.
+    All labels are fitted in the same passes (see ``fit_heads``), one for each epoch, as long as
+    the weights of used features and labels are MATRIX numbers at most, which the driver and every task hold.
+    Beyond that the labels are cut into blocks of that size, each with its passes; in a
+    single-label problem every label of a block is then fitted against the rest.
+    ``validation`` decides which epoch is kept; ``losses`` has its loss after each (of the last block).
     """
     check_problem_type(problem)
     stages = [
@@ -98,34 +255,41 @@ def fit_classifier(
         IDF(inputCol="counts", outputCol="features"),
     ]
     features = Pipeline(stages=stages).fit(training)
-    # The optimiser passes over the features once per step; persisted blocks can
-    # spill to disk and are rebuilt from the source if an executor is lost.
-    ready = features.transform(training).select("features", "target").persist()
+    vector = F.unwrap_udt("features")
+    target = F.col("target")
+    if problem == v.SINGLE_LABEL:
+        ids = F.array(target.cast("int"))
+    else:
+        hits = F.transform(target, lambda x, i: F.when(x > 0, i))
+        ids = F.filter(hits, lambda i: i.isNotNull())
 
-    def head(family: str) -> LogisticRegression:
-        return LogisticRegression(
-            featuresCol="features", labelCol="label", maxIter=epochs, regParam=regularisation, family=family
+    def ready(rows: DataFrame, name: str) -> DataFrame:
+        # Written once: every epoch reads it, and its files stand for the partitions.
+        return materialised(
+            features.transform(rows).select(vector["indices"].alias("indices"), vector["values"].alias("values"), ids.alias("ids")),
+            name,
         )
 
-    if problem == v.SINGLE_LABEL:
-        single = head("multinomial").fit(ready.select("features", F.col("target").cast("double").alias("label")))
-        table, intercepts = single.coefficientMatrix.toArray(), single.interceptVector.toArray()
-        used = np.flatnonzero(table.any(axis=0))
-        weights = table[:, used].T
-    else:
-        totals = ready.select(F.posexplode("target").alias("place", "hit")).groupBy("place").agg(F.sum("hit").alias("n"))
-        trained = sorted(row["place"] for row in totals.where("n > 0").collect())
-
-        def fit(place: int) -> LogisticRegressionModel:
-            return head("binomial").fit(ready.select("features", F.get("target", F.lit(place)).alias("label")))
-
-        with ThreadPoolExecutor(parallelism) as pool:
-            heads = dict(zip(trained, pool.map(fit, trained)))
-        columns = {place: model.coefficients.toArray() for place, model in heads.items()}
-        seen = [np.flatnonzero(column) for column in columns.values()]
-        used = np.unique(np.concatenate(seen)) if seen else np.empty(0, np.int64)
-        weights, intercepts = np.zeros((used.size, len(labels))), np.full(len(labels), NEVER)
-        for place, model in heads.items():
-            weights[:, place], intercepts[place] = columns[place][used], model.intercept
-    ready.unpersist()
-    return TextClassifier(problem, list(labels), features, used.astype(np.int64), weights, intercepts)
+    examples = ready(training, "training-features")
+    judged = None if validation is None else ready(validation, "validation-features")
+    used = np.sort(columns_of(examples.select(F.explode("indices").alias("at")).distinct(), "at"))  # num_features at most
+    seen = np.sort(columns_of(examples.select(F.explode("ids").alias("at")).distinct(), "at"))
+    width = max(1, min(len(labels), MATRIX // (used.size + 1)))
+    single = problem == v.SINGLE_LABEL and width == len(labels)
+    tables, losses = [], []
+    for first in range(0, len(labels), width):
+        table, losses = fit_heads(
+            examples, judged, used, first, min(width, len(labels) - first), single,
+            epochs=epochs, rate=rate, regularisation=regularisation,
+        )
+        tables.append(table.astype(np.float32))
+    whole = np.concatenate(tables, axis=1) if tables else np.zeros((used.size + 1, 0), np.float32)
+    intercepts = whole[-1].astype(float)
+    intercepts[np.setdiff1d(np.arange(len(labels)), seen)] = NEVER
+    weights = whole[:-1].copy()
+    weights[:, intercepts == NEVER] = 0
+    return TextClassifier(problem, list(labels), features, used, weights, intercepts, losses)
+
+
+def columns_of(rows: DataFrame, name: str) -> np.ndarray:
+    return rows.toArrow().column(name).to_numpy().astype(np.int64)

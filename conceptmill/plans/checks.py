@@ -356,7 +356,7 @@ _MODELS = f"""{_SINGLE_SCORES.replace('GROUPS', "concat('demo/model-', vec_id %
     CASE WHEN model_id < 'demo/model-2' THEN '2024-01-15T11:00:00+01:00' ELSE '2024-07-15T12:00:00.250000+02:00' END AS published FROM scores)"""
 
 
-def _metadata() -> str:
+def _metadata(models: str, metrics: tuple[str, ...], source_url: str, measured: str | None = None) -> str:
     b = v.AIRO
 
     def uri(kind: str, x: str) -> str:
@@ -372,25 +372,38 @@ def _metadata() -> str:
         (code, v.SD + "hasSourceCode", source, "uri", ""), (code, v.SD + "hasVersionId", "sha", "literal", ""),
         (files, v.TYPE, f"'{v.SD}SourceCode'", "uri", ""), (files, v.SCHEMA + "codeRepository", "repo", "uri", ""),
         (given, v.DCT + "type", "'string'", "literal", ""), (source, v.TYPE, f"'{v.SD}SourceCode'", "uri", ""),
-        (source, v.SCHEMA + "codeRepository", "'https://git.example.org/code'", "uri", ""),
+        (source, v.SCHEMA + "codeRepository", f"'{source_url}'", "uri", ""),
         (version, v.TYPE, f"'{b}Version'", "uri", ""), (version, v.SD + "hasSourceCode", files, "uri", ""),
         (version, v.SD + "hasVersionId", "oid", "literal", ""),
     ]
-    for name in METRICS:
+    for name in metrics:
         m = uri("qualitymeasurement", _uuid("model_id", f"'eval_{name}'"))
         rows += [
             (model, v.DQV + "QualityMeasurement", m, "uri", ""),
             (m, v.DQV + "isMeasurementOf", f"'{b}/metric/eval_{name}'", "uri", ""),
-            (m, v.DQV + "value", f"CAST({name} AS VARCHAR)", "literal", v.XSD + "float"),
+            (m, v.DQV + "value", measured or f"CAST({name} AS VARCHAR)", "literal", v.XSD + "float"),
         ]
     selects = [
         f"SELECT '{AI}' AS g, {s} AS s, '{p}' AS p, {o} AS o, '{kind}' AS kind, '{dt}' AS datatype FROM models"
         for s, p, o, kind, dt in rows
     ]
-    return f"{_MODELS} " + " UNION ".join(selects)
-
-
-MODEL_METADATA = _metadata()
+    return f"{models} " + " UNION ".join(selects)
+
+
+MODEL_METADATA = _metadata(_MODELS, METRICS, "https://git.example.org/code")
+_TRAINED = """WITH models AS (SELECT 'demo/trained' AS model_id, 'c0ffee' AS oid, 'f00d' AS sha, 'http://ex/repo' AS repo,
+  '2024-03-01T10:30:00+01:00' AS published)"""
+TRAINED_QUADS = f"SELECT g, s, p, o FROM ({_metadata(_TRAINED, ('loss', *METRICS), 'http://ex/code', repr('measured'))})"
+TRAINING_FACTS = f"""{quads_sql(*_LABELLED)}, {_CLASSES}, {_QUALITY_ENTRIES}, {_URI_LABELS},
+  named AS (SELECT DISTINCT decision, coalesce(name, body) AS label FROM pairs LEFT JOIN uri_labels ON uri = body
+    WHERE decision IN (SELECT s FROM quads WHERE p = '{v.TYPE}' AND value = '{v.EXPRESSION}')),
+  judged AS (SELECT *, label IN (SELECT label FROM entries) AS known FROM named),
+  usable AS (SELECT decision FROM judged GROUP BY decision HAVING bool_and(known)),
+  n AS (SELECT count(*) AS n, (count(*) + 9) // 10 AS test FROM usable)
+  SELECT 'test' AS name, test AS value FROM n UNION ALL SELECT 'judged', test FROM n UNION ALL SELECT 'train', n - test FROM n
+  UNION ALL SELECT 'rejected', count(*) FROM judged WHERE NOT known
+  UNION ALL SELECT 'measures from 0 to 1', 4 UNION ALL SELECT 'best epoch kept', 1
+  UNION ALL SELECT 'lines of the report', 8 + count(*) FROM entries"""
 _METRIC_LINE = "concat(" + ", ' | ', ".join(f"'{n.capitalize()}: ', format('{{:.4f}}', {n})" for n in METRICS) + ")"
 MODEL_REPORT = f"""{_MODELS}, named AS (SELECT DISTINCT concat('demo/model-', vec_id % 4) AS model_id, concat('label ', label) AS name FROM embeddings),
   numbered AS (SELECT *, row_number() OVER (PARTITION BY model_id ORDER BY name) AS i FROM named),

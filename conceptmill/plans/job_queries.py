@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import datetime
+
 from pyspark.sql import functions as F
 
 from conceptmill import vocab as v
@@ -146,9 +148,42 @@ def impact_job(spark, sf):
     return stored.select("g", "s", "p", F.col("o.value").alias("o"))
 
 
+_ABOUT = jobs.ModelAbout(
+    "demo/trained", "c0ffee", "f00d", "http://ex/repo", "http://ex/repo/tree/main/", "http://ex/code",
+    datetime.datetime(2024, 3, 1, 9, 30),
+)
+
+
 def _trained(spark, sf):
     quads = br.quads(spark, sf, *_LABELLED, "task")
-    return quads, jobs.train_classifier(quads, br.TASK)
+    return quads, jobs.train_classifier(quads, br.TASK, about=_ABOUT)
+
+
+@query(sql.TRAINING_FACTS)
+def training_facts(spark, sf):
+    """What is known of a training before it is done."""
+    training = _trained(spark, sf)[1]
+    facts = [training.examples.groupBy(F.col("split").alias("name")).agg(F.count(F.lit(1)).alias("value"))]
+    facts.append(training.judged.select(F.lit("judged").alias("name")).groupBy("name").agg(F.count(F.lit(1)).alias("value")))
+    facts.append(training.rejected.agg(F.lit("rejected").alias("name"), F.count(F.lit(1)).alias("value")))
+    shares = F.array(*training.metrics.columns)
+    within = F.size(F.filter(shares, lambda x: (x >= 0) & (x <= 1))).cast("bigint")
+    facts.append(training.metrics.select(F.lit("measures from 0 to 1").alias("name"), within.alias("value")))
+    lines = F.size(F.split("report", "\n")).cast("bigint")
+    facts.append(training.report.select(F.lit("lines of the report").alias("name"), lines.alias("value")))
+    best = min(training.model.losses) < training.model.losses[0] * 1.0001
+    facts.append(spark.range(1).select(F.lit("best epoch kept").alias("name"), F.lit(int(best)).cast("bigint").alias("value")))
+    found = facts[0]
+    for more in facts[1:]:
+        found = found.unionByName(more)
+    return found
+
+
+@query(sql.TRAINED_QUADS)
+def trained_model_quads(spark, sf):
+    """Metadata of a model that has been trained; what was measured is shown as such."""
+    value = F.when(F.col("p") == v.DQV + "value", F.lit("measured")).otherwise(F.col("o.value"))
+    return _trained(spark, sf)[1].metadata.select("g", "s", "p", value.alias("o"))
 
 
 @query()

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import datetime
 import math
 import time
 from collections.abc import Callable, Sequence
@@ -16,6 +17,7 @@ from conceptmill.operators import classifier as clf
 from conceptmill.operators import labels as lab
 from conceptmill.operators import learning as learn
 from conceptmill.operators import model_calls as calls
+from conceptmill.operators import model_metadata as meta
 from conceptmill.operators import prediction as pred
 from conceptmill.operators import prompts as prm
 from conceptmill.operators import replies as rep
@@ -328,18 +330,57 @@ def classifier_annotation_with(
     return result
 
 
+@dataclass(frozen=True)
+class ModelAbout:
+    """What the metadata of a model says besides its measures."""
+
+    model_id: str
+    commit_oid: str
+    code_git_sha: str
+    repo_url: str
+    tree_url: str
+    source_repo_url: str
+    published: datetime.datetime
+    transformer: str = "hashed term weights"
+
+
 @dataclass
 class Training:
-    """A fitted classifier with its test metrics and the rejected class values."""
+    """A fitted classifier with its test metrics, its examples and the rejected class values.
+
+    ``metadata`` (quads) and ``report`` describe the model when the job was told about it.
+    """
 
     model: clf.TextClassifier
     metrics: DataFrame
     judged: DataFrame
     rejected: DataFrame
+    examples: DataFrame
+    metadata: DataFrame | None = None
+    report: DataFrame | None = None
+
+
+def described_model(metrics: DataFrame, model: clf.TextClassifier, about: ModelAbout) -> DataFrame:
+    """The one row that ``metadata_quads`` and ``model_report`` take, from the measures of a training."""
+    measures = [F.struct(F.lit(f"eval_{name}").alias("name"), F.col(name).alias("value")) for name in metrics.columns]
+    if model.losses:
+        measures.insert(0, F.struct(F.lit("eval_loss").alias("name"), F.lit(min(model.losses)).alias("value")))
+    return metrics.select(
+        *(F.lit(value).alias(name) for name, value in vars(about).items()),
+        F.array(*measures).alias("results"),
+        F.array(*map(F.lit, model.labels)).alias("labels"),
+        F.to_date(F.lit(about.published)).alias("trained"),
+    )
 
 
-def train_classifier(quads: DataFrame, task: str, **fit_options) -> Training | None:
-    """Fit and evaluate a classifier on the annotated decisions; None without any."""
+def train_classifier(
+    quads: DataFrame, task: str, *, about: ModelAbout | None = None, **fit_options
+) -> Training | None:
+    """Fit and evaluate a classifier on the annotated decisions; None without any.
+
+    The test set also decides which epoch is kept. With ``about`` the training ends in the quads and the
+    report that describe the model.
+    """
     scheme = sel.job_settings(quads, task).codelist
     codelist = stored_codelist(quads, scheme)
     ids = learn.label_ids(codelist).select("label", "id")
@@ -366,14 +407,20 @@ def train_classifier(quads: DataFrame, task: str, **fit_options) -> Training | N
         encoded = learn.multi_hot(labelled, ids, size=len(labels))
         split = encoded.join(learn.split_global(encoded), "decision")
     examples = materialised(labelled.select("decision", "text").join(split, "decision"), "examples")
-    model = clf.fit_classifier(examples.where("split = 'train'"), labels, problem, **fit_options)
-    tested = model.transform(examples.where("split = 'test'"))
+    test = examples.where("split = 'test'")
+    model = clf.fit_classifier(examples.where("split = 'train'"), labels, problem, validation=test, **fit_options)
+    tested = materialised(model.transform(test), "tested")
     judged = tested.select(
         "decision",
         F.col("target").alias("truth"),
         pred.evaluation_labels(F.col("logits"), problem).alias("predicted"),
     )
-    return Training(model, pred.metrics(judged, problem), judged, learn.unknown_classes(labelled, ids))
+    measured = materialised(pred.metrics(judged, problem), "metrics")
+    training = Training(model, measured, judged, learn.unknown_classes(labelled, ids), examples)
+    if about:
+        models = described_model(measured, model, about)
+        training.metadata, training.report = meta.metadata_quads(models), meta.model_report(models)
+    return training
 
 
 @dataclass
