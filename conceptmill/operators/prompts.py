@@ -6,6 +6,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from conceptmill import vocab as v
+from conceptmill.operators.labels import with_positions
+from conceptmill.operators.skew import spread_join
 
 DEFAULT_KEY = "default"
 
@@ -72,7 +74,16 @@ def impact_format() -> str:
     )
 
 
-def picked_label(labels: Column, key: Column) -> Column:
-    """A label that looks random but is fixed by the key (test provider)."""
-    number = F.conv(F.substring(F.md5(key), 1, 8), 16, 10).cast("bigint")
-    return F.element_at(labels, (F.pmod(number, F.size(labels)) + 1).cast("int"))
+def random_labels(rows: DataFrame, codelist: DataFrame) -> DataFrame:
+    """Columns of ``rows`` (scheme, decision, ..) and ``label``: one of the scheme that looks random, fixed by the decision (test provider).
+
+    A hash of the decision names a position in the scheme's list, and the label there is joined by (scheme,
+    position): no row holds a list. Rows of a scheme without labels are left out.
+    """
+    placed = with_positions(codelist).select("scheme", "label", F.col("ord").alias("_ord"))
+    sizes = placed.groupBy("scheme").agg(F.count(F.lit(1)).alias("_size"))
+    number = F.conv(F.substring(F.md5("decision"), 1, 8), 16, 10).cast("bigint")
+    sized = spread_join(rows, sizes, ["scheme"], "inner", spread=["decision"])
+    wanted = sized.withColumn("_ord", F.pmod(number, F.col("_size"))).drop("_size")
+    found = spread_join(wanted, placed, ["scheme", "_ord"], "inner", spread=["decision"])
+    return found.select(*rows.columns, "label")

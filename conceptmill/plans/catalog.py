@@ -543,10 +543,8 @@ def impact_prompt(spark, sf):
 
 @query(sql.RANDOM_LABEL)
 def random_label(spark, sf):
-    lists = lab.codelist_prompt(_part_codelist(spark, sf)).select("scheme", "labels")
     parts = br.table(spark, sf, "part").selectExpr(f"{br.PART} AS decision", f"{br.BRAND} AS scheme")
-    listed = spread_join(parts, lists, ["scheme"], "inner", spread=["decision"])
-    return listed.select("decision", prm.picked_label(F.col("labels"), F.col("decision")).alias("label"))
+    return prm.random_labels(parts, _part_codelist(spark, sf)).select("decision", "label")
 
 
 @query(sql.PARSE_REPLIES)

@@ -190,9 +190,8 @@ def label_decisions(
     skipped = judged.where("skip_reason IS NOT NULL").select("decision", "skip_reason")
     texts, failed = judged.where("skip_reason IS NULL").drop("skip_reason"), None
     if factory is None:
-        labels = lab.codelist_prompt(codelist).select("labels").scalar()
-        picked = texts.select("decision", F.array(prm.picked_label(labels, F.col("decision"))).alias("classes"))
-        answered = materialised(picked.withColumnRenamed("decision", "id"), "picked")
+        picked = prm.random_labels(texts.select(F.lit(scheme).alias("scheme"), "decision"), codelist)
+        answered = materialised(picked.select(F.col("decision").alias("id"), F.array("label").alias("classes")), "picked")
     else:
         answered, failed = ask_model(
             label_requests(texts, codelist, prompts),
