@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from conceptmill import vocab as v
 from conceptmill.operators import model_calls as calls
 from conceptmill.operators import writes as wr
+from conceptmill.operators.worklist import Worklist
 from conceptmill.plans import bridge as br
 from conceptmill.plans import checks as sql
 from conceptmill.plans import jobs, stubs
@@ -70,6 +71,19 @@ def results_json_scan(spark, sf):
     return results_json.read_results(spark, path, ["doc", "text", "title"], one_per_line=True)
 
 
+@query(sql.unannotated(sql.DEFAULT_TARGETS, sql.IN_DECISIONS))
+def worklist_after_delta(spark, sf):
+    """A worklist of an older store, brought up to date by what has come and gone since."""
+    quads = br.quads(spark, sf, *_LABELLED)
+    matters = F.col("p").isin(v.TYPE, v.MOTIVATED_BY, v.HAS_BODY, v.HAS_TARGET)
+    late = matters & (F.substring(F.md5(F.concat("s", "p")), 1, 1) < "4")
+    gone = quads.where(matters).withColumn("s", F.concat("s", F.lit("/gone")))
+    work = Worklist(scratch_path(spark, "worklist"), br.QUALITY, br.DECISIONS)
+    work.rebuild(quads.where(~late).unionByName(gone))
+    work.update(quads.where(late), gone)
+    return work.open_decisions(spark)
+
+
 # --- jobs ---------------------------------------------------------------------
 
 
