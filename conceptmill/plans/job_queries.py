@@ -249,8 +249,7 @@ def stream_dedup(spark, sf):
     )
     rows = wr.annotation_columns(found, task=br.TASK, agent=v.AGENTS["model_annotator"], keep=["ts"])
     stream = inc.annotation_stream(
-        rows, annotations_path=f"{root}/annotations", checkpoint=f"{root}/checkpoint", event_time="ts", delay="1 day",
-        state_partitions=8,
+        rows, annotations_path=f"{root}/annotations", checkpoint=f"{root}/checkpoint"
     )
     stream.awaitTermination()
     return spark.read.schema(inc.ANNOTATION_SCHEMA).parquet(f"{root}/annotations")

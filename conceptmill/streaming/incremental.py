@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable
+from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
@@ -19,7 +21,7 @@ ANNOTATION_SCHEMA = (
     "agent_uri string, agent_type string, g string"
 )
 CONTAINER_SCHEMA = "container_uri string, uuid string, resource string"
-FAILED_SCHEMA = "decision string, text string, error string"
+FAILED_SCHEMA = "decision string, text string, error string, tries int, due timestamp"
 
 
 def of_scheme(codelist: DataFrame) -> Callable[[DataFrame], DataFrame]:
@@ -47,6 +49,58 @@ def append_containers(containers: DataFrame, path: str) -> None:
     KeyedTable(path, CONTAINER_SCHEMA, ["container_uri"], ["container_uri"]).append(containers)
 
 
+@dataclass(frozen=True)
+class LabelledTables:
+    """Where labelled decisions go: annotations, containers, and decisions without a usable reply.
+
+    Failed decisions are rows with the number of tries and the time from which they may be asked
+    again, in a folder for each batch; a batch carries on what still waits.
+    """
+
+    annotations: str
+    containers: str
+    failed: str
+    done: Callable[[DataFrame], DataFrame] | None = None
+    retry_seconds: float = 0.0
+
+    def _waiting(self, spark: SparkSession, number: int) -> DataFrame:
+        return read_table_or_empty(spark, f"{self.failed}/batch-{number}", FAILED_SCHEMA)
+
+    def label(self, arrived: DataFrame, label: Callable[[DataFrame], JobResult], number: int, since: int) -> None:
+        """Label what has arrived, and what waits in the folder of batch ``since`` and is due, as batch ``number``."""
+        spark = arrived.sparkSession
+        waiting = materialised(self._waiting(spark, since).withColumn("is_due", F.col("due") <= F.current_timestamp()), "waiting")
+        both = arrived.select("decision", "text", F.lit(0).alias("tries")).unionByName(
+            waiting.where("is_due").select("decision", "text", "tries")
+        )
+        asked = materialised(both.groupBy("decision").agg(F.min("text").alias("text"), F.max("tries").alias("tries")), "arrived")
+        known = annotation_table(self.annotations).held(asked.select(F.col("decision").alias("target")))
+        finished = (self.done(known) if self.done else known).select(F.col("target").alias("decision")).distinct()
+        open_ = materialised(asked.join(finished, "decision", "left_anti"), "open")
+        result = label(open_.select("decision", "text"))
+        append_containers(result.containers, self.containers)
+        append_annotations(result.annotations, self.annotations)
+        later = waiting.where("NOT is_due").drop("is_due").join(asked, "decision", "left_anti")
+        if result.failed is not None:
+            errors = result.failed.select(
+                F.col("id").alias("decision"), F.coalesce("call_error", "parse_error").alias("error")
+            )
+            pause = F.lit(self.retry_seconds) * F.pow(F.lit(2.0), F.col("tries"))
+            due = F.timestamp_micros(F.unix_micros(F.current_timestamp()) + (pause * 1_000_000).cast("bigint"))
+            again = open_.join(errors, "decision").withColumn("due", due).withColumn("tries", F.col("tries") + 1)
+            later = later.unionByName(again.select(*later.columns))
+        later.write.mode("overwrite").option("partitionOverwriteMode", "static").parquet(f"{self.failed}/batch-{number}")
+
+    def retry(self, spark: SparkSession, label: Callable[[DataFrame], JobResult]) -> int:
+        """Ask again what is due, without waiting for an arrival; for a timer, while no stream runs. What still waits is returned."""
+        files = read_table_or_empty(spark, f"{self.failed}/batch-*", FAILED_SCHEMA).inputFiles()
+        if not files:
+            return 0
+        last = max(int(re.search(r"/batch-(\d+)/", file).group(1)) for file in files)
+        self.label(spark.createDataFrame([], "decision string, text string"), label, last, last)
+        return self._waiting(spark, last).count()
+
+
 def label_stream(
     arriving: DataFrame,
     label: Callable[[DataFrame], JobResult],
@@ -56,42 +110,27 @@ def label_stream(
     checkpoint: str,
     failed_path: str | None = None,
     done: Callable[[DataFrame], DataFrame] | None = None,
+    retry_seconds: float = 0.0,
 ) -> StreamingQuery:
     """Label each arriving decision once.
 
     ``label`` turns a batch of (decision, text) into a JobResult. Decisions that
     the annotation table already targets are left out; ``done`` narrows which
     annotations (their keys) count (see ``of_scheme``). What is done lives in the table, not in stream
-    state, so the state does not grow; a batch reads the buckets of the table's index that it touches. Containers are written before annotations: a batch
-    that is repeated after a failure then finds its decisions still open, and
-    ids derived from the content keep the repetition from adding rows.
+    state, so the state does not grow; a batch reads the buckets of the table's index that it touches.
+    Containers are written before annotations: a batch that is repeated after a failure then finds its
+    decisions still open, and ids derived from the content keep the repetition from adding rows.
 
     A decision that comes twice in a batch is labelled once. Decisions without a usable
-    reply are written to ``failed_path`` (default: beside the annotations), in a folder
-    for each batch, and asked again in the next one, which carries on what still fails.
+    reply are kept at ``failed_path`` (default: beside the annotations) and asked again with
+    the first batch after ``retry_seconds``, then after twice that time and so on;
+    ``LabelledTables.retry`` asks them without an arrival.
     """
-    failed_path = failed_path or f"{annotations_path.rstrip('/')}-failed"
-
-    def handle(batch: DataFrame, number: int) -> None:
-        spark = batch.sparkSession
-        waiting = read_table_or_empty(spark, f"{failed_path}/batch-{number - 1}", FAILED_SCHEMA)
-        arrived = batch.select("decision", "text").unionByName(waiting.select("decision", "text"))
-        arrived = arrived.groupBy("decision").agg(F.min("text").alias("text"))
-        arrived = materialised(arrived, "arrived")
-        known = annotation_table(annotations_path).held(arrived.select(F.col("decision").alias("target")))
-        finished = (done(known) if done else known).select(F.col("target").alias("decision")).distinct()
-        open_ = materialised(arrived.join(finished, "decision", "left_anti"), "open")
-        result = label(open_)
-        append_containers(result.containers, containers_path)
-        append_annotations(result.annotations, annotations_path)
-        if result.failed is not None:
-            errors = result.failed.select(
-                F.col("id").alias("decision"), F.coalesce("call_error", "parse_error").alias("error")
-            )
-            open_.join(errors, "decision").write.mode("overwrite").parquet(f"{failed_path}/batch-{number}")
-
+    tables = LabelledTables(
+        annotations_path, containers_path, failed_path or f"{annotations_path.rstrip('/')}-failed", done, retry_seconds
+    )
     return (
-        arriving.writeStream.foreachBatch(handle)
+        arriving.writeStream.foreachBatch(lambda batch, number: tables.label(batch, label, number, number - 1))
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
         .start()
@@ -99,38 +138,20 @@ def label_stream(
 
 
 def annotation_stream(
-    arriving: DataFrame,
-    *,
-    annotations_path: str,
-    checkpoint: str,
-    event_time: str | None = None,
-    delay: str = "1 hour",
-    state_partitions: int | None = None,
+    arriving: DataFrame, *, annotations_path: str, checkpoint: str, event_time: str | None = None, delay: str = "1 hour"
 ) -> StreamingQuery:
     """Store a stream of annotation rows without duplicates.
 
-    With an event time the stream forgets keys older than the delay, which
-    bounds its state; repetitions that arrive later meet the table's own check.
-    ``state_partitions`` sets the number of state partitions, which stays fixed
-    for the life of the checkpoint; the default is that of the session.
+    The table's index knows what is stored, so the stream keeps no state. With an event time
+    repetitions within the delay are dropped before they reach the table; that state forgets older keys.
     """
-    keys = list(ANNOTATION_KEY)
     if event_time:
-        unique = arriving.withWatermark(event_time, delay).dropDuplicatesWithinWatermark(keys)
-    else:
-        unique = arriving.dropDuplicates(keys)
+        arriving = arriving.withWatermark(event_time, delay).dropDuplicatesWithinWatermark(list(ANNOTATION_KEY))
     names = [part.split()[0] for part in ANNOTATION_SCHEMA.split(", ")]
-    writer = (
-        unique.select(*names)
+    return (
+        arriving.select(*names)
         .writeStream.foreachBatch(lambda batch, _: append_annotations(batch, annotations_path))
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
+        .start()
     )
-    conf = arriving.sparkSession.conf
-    before = conf.get("spark.sql.shuffle.partitions")
-    try:
-        # A stream keeps the settings with which it starts.
-        conf.set("spark.sql.shuffle.partitions", str(state_partitions or before))
-        return writer.start()
-    finally:
-        conf.set("spark.sql.shuffle.partitions", before)

@@ -1,5 +1,6 @@
 """Whole jobs with stand-in models, writes and streams."""
 
+import datetime
 import json
 import time
 
@@ -496,3 +497,50 @@ def test_stream_takes_up_failed_decisions(spark, make_quads, prompts, tmp_path):
     spark.createDataFrame([("e:3", "about nothing")], schema).write.mode("append").parquet(f"{root}/in")
     run()
     assert rows(spark.read.parquet(f"{root}/ann"), "target") == [("e:1",), ("e:2",), ("e:3",)]
+
+
+def test_failed_decisions_wait_until_they_are_due(spark, make_quads, prompts, tmp_path):
+    codelist, asked = jobs.stored_codelist(decision_graph(make_quads), SCHEME), []
+
+    def label(batch):
+        asked.append(sorted(r["decision"] for r in batch.collect()))
+        return jobs.label_decisions(
+            batch, codelist, SCHEME, task=TASK, factory=failing_model, prompts=prompts, attempts=1, on_failure="quarantine"
+        )
+
+    def waiting(number):
+        return [(r["decision"], r["tries"]) for r in spark.read.parquet(f"{tmp_path}/failed/batch-{number}").collect()]
+
+    tables = inc.LabelledTables(*(f"{tmp_path}/{x}" for x in ("ann", "con", "failed")), retry_seconds=3600)
+    assert tables.retry(spark, label) == 0
+    texts = "decision string, text string"
+    tables.label(spark.createDataFrame([("e:1", "about energy"), ("e:2", "on climate")], texts), label, 0, -1)
+    tables.label(spark.createDataFrame([("e:3", "about nothing")], texts), label, 1, 0)
+    assert asked == [["e:1", "e:2"], ["e:3"]] and waiting(1) == [("e:1", 1)]
+    assert tables.retry(spark, label) == 1 and asked[-1] == []
+    tables.label(spark.createDataFrame([("e:1", "about energy")], texts), label, 2, 1)
+    assert asked[-1] == ["e:1"] and waiting(2) == [("e:1", 1)]
+    soon = inc.LabelledTables(tables.annotations, tables.containers, tables.failed)
+    spark.read.parquet(f"{tmp_path}/failed/batch-2").selectExpr("decision", "text", "error", "tries", "current_timestamp() AS due").write.parquet(
+        f"{tmp_path}/failed/batch-3"
+    )
+    assert soon.retry(spark, label) == 1 and asked[-1] == ["e:1"] and waiting(3) == [("e:1", 2)]
+
+
+def test_annotation_stream_with_and_without_state(spark, tmp_path):
+    columns = "ann_uri string, task_uri string, target string, body string, motivated_by string, agent_uri string, agent_type string, g string, ts timestamp"
+    arrivals = [[("t:1", "b:1"), ("t:1", "b:1"), ("t:2", "b:1")], [("t:1", "b:1"), ("t:1", "b:2")]]
+    for number, pairs in enumerate(arrivals):
+        data = [("a", "k", t, b, "m", "g", "y", "g", datetime.datetime(2024, 1, 1, number)) for t, b in pairs]
+        spark.createDataFrame(data, columns).coalesce(1).write.parquet(f"{tmp_path}/in-{number}")
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    for name, event_time in (("plain", None), ("timed", "ts")):
+        for _ in range(2):  # a restart goes on where the stream was
+            arriving = spark.readStream.schema(columns).option("maxFilesPerTrigger", 1).parquet(f"{tmp_path}/in-*")
+            inc.annotation_stream(
+                arriving, annotations_path=f"{tmp_path}/{name}", checkpoint=f"{tmp_path}/{name}-cp", event_time=event_time
+            ).awaitTermination()
+        got = rows(spark.read.parquet(f"{tmp_path}/{name}"), "target", "body")
+        assert got == [("t:1", "b:1"), ("t:1", "b:2"), ("t:2", "b:1")]
+    assert spark.conf.get("spark.sql.shuffle.partitions") == before
+    assert not (tmp_path / "plain-cp" / "state").exists()
