@@ -3,6 +3,8 @@
 import glob
 import math
 import os
+import subprocess
+import sys
 
 import duckdb
 import pytest
@@ -36,6 +38,19 @@ def test_every_check_has_a_query():
     assert set(catalog.QUERIES) - set(catalog.SQL) == {"train_classifier", "classifier_annotation"}
 
 
+@pytest.mark.parametrize("missing", ["xxhash", "corpus_pipeline", "conceptmill.llm"])
+def test_other_queries_stay_when_something_is_missing(missing):
+    code = (
+        "import sys\n"
+        f"sys.modules[{missing!r}] = None\n"
+        "import __spark_entry__ as entry\n"
+        "from conceptmill.plans import catalog\n"
+        "assert set(catalog.QUERIES) <= set(entry.queries()), 'lost'\n"
+    )
+    root = os.path.dirname(os.path.abspath(entry.__file__))
+    subprocess.run([sys.executable, "-W", "ignore", "-c", code], cwd=root, check=True)
+
+
 @pytest.mark.parametrize("name", sorted(entry.oracle_sql()))
 def test_query_matches_its_sql(spark, sf, duck, name):
     got = entry.queries()[name](spark, sf)

@@ -4,7 +4,7 @@ import random
 
 import pytest
 from small_tables import lit, rows
-from test_selection import AI, DATA, SCHEME, TASK, annotation, expression, impact_graph  # noqa: F401
+from test_selection import AI, DATA, SCHEME
 
 from conceptmill import vocab as v
 from conceptmill.operators import selection as sel
