@@ -43,7 +43,7 @@ PATTERNS = (
     Pattern("email", False, r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]{1,64}\x20?[\[(]at[\])]\x20?[A-Za-z0-9-]{1,63}(?:\x20?(?:\.|[\[(]dot[\])])\x20?[A-Za-z0-9-]{1,63}){1,4}", ("(at)", "[at]"), False),
     Pattern("phone", False, r"(?<![0-9+.(-])(?<![0-9+)]\x20)(?:\([0-9]{3}\)\x20?|[0-9]{3}[.-])[0-9]{3}[.-][0-9]{4}(?![0-9.-])", ("-",)),
     Pattern("secret", False, r"(?<![A-Za-z0-9])AKIA[0-9A-Z]{16}(?![A-Za-z0-9])", ("AKIA",), False),
-    Pattern("secret", False, r"(?<=(?:password|passwd|token|secret|api_key|apikey)\x20{0,2}[=:]\x20{0,2}[\"']?)[A-Za-z0-9/+_-]{12,200}+", SECRET_WORDS, False),
+    Pattern("secret", False, r"(?<=(?:password|passwd|token|secret|api_key|apikey)\x20{0,2}[=:]\x20{0,2}[\"']?)[A-Za-z0-9/+_-]{12,}+", SECRET_WORDS, False),
     Pattern("ssn", False, r"(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-])", ("-",)),
 )
 SECRET_NAMES = rf"(?:{'|'.join(SECRET_WORDS)})\x20{{0,2}}[=:]"

@@ -93,6 +93,14 @@ def test_added_spans_and_redaction(spark):
     assert text[2] == rows[2][1]
 
 
+def test_secrets_of_any_length(spark):
+    long_one = "a1" * 3000
+    docs = spark.createDataFrame([(i, f"the api_key={long_one}{i:04d} is old") for i in range(40)], "doc_id bigint, text string")
+    found = pii.find_personal_data(docs)
+    text = {r["doc_id"]: r["text"] for r in pii.redacted(docs, found).collect()}
+    assert text[3] == "the api_key=[secret] is old"
+
+
 # --- components and 5: near copies ---------------------------------------------------
 
 
