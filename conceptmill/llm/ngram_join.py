@@ -7,7 +7,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from conceptmill.llm.common import WordHashes, bit_filter, may_hold, raw_texts, written
@@ -28,6 +28,8 @@ SMALL_BUCKET = 32
 # Signatures that two linked sets share at least, where they are large enough.
 LEVEL = 4
 STAR_ROUNDS = 3
+# Signatures of each set that link near copies before all signatures are looked at.
+FEW = 8
 FILTER_BITS = 26
 
 MIX = np.uint64(0x9E3779B97F4A7C15)
@@ -358,18 +360,26 @@ def link_documents(docs: DataFrame, n: int = SHINGLE, percent: int = PERCENT) ->
     compared = pairs
     links = written(verified(pairs, sets, percent), "links")
     parts = _parts(links)
-    for step in range(STAR_ROUNDS + 1):
-        buckets = large.join(parts, "set_id", "left").withColumn("part", F.coalesce("part", "set_id"))
+    by_hash = Window.partitionBy("set_id").orderBy(F.xxhash64("sig"), "sig")
+    few = written(large.withColumn("_nth", F.row_number().over(by_hash)).where(F.col("_nth") <= FEW).drop("_nth"), "few")
+    for step in range(-1, STAR_ROUNDS + 1):
+        # First by few signatures of each set, alike for alike sets: most near copies are in one part before all are looked at.
+        buckets = (few if step < 0 else large).join(parts, "set_id", "left").withColumn("part", F.coalesce("part", "set_id"))
         several = (
             buckets.groupBy("sig").agg(F.min("part").alias("_low"), F.max("part").alias("_high")).where("_low <> _high")
         )
         buckets = written(buckets.join(several.select("sig"), "sig", "left_semi"), "open-buckets")
         if buckets.isEmpty():
+            if step < 0:
+                continue
             break
+        if step >= 0:
+            large = buckets.drop("part")  # a bucket within one part stays so
         if step == STAR_ROUNDS:
             pairs = other_pairs(buckets, percent)
         else:
-            choice = F.struct("weight", "set_id") if step == 0 else F.struct(F.xxhash64("set_id", F.lit(step)), F.col("set_id"))
+            first = F.struct("weight", "set_id")
+            choice = first if step <= 0 else F.struct(F.xxhash64("set_id", F.lit(step)), F.col("set_id"))
             pairs = star_pairs(buckets, choice, percent)
         pairs = written(pairs.join(compared, ["a", "b"], "left_anti"), "pairs")
         compared = compared.unionByName(pairs)
