@@ -4,12 +4,15 @@ Every stage takes (spark, docs, sf_dir) and works on all rows its predecessor ke
 the last return the columns of documents. Which operator decides what:
 
 quality rules        drops documents that the rules reject
-n-gram Jaccard join  keeps the smallest doc_id of each group of near copies (5-word shingles, Jaccard
-                     0.8; op5_ngram_join links by its own rule of 3 words and 0.9)
+n-gram Jaccard join  keeps one row of each group of near copies, that with the smallest doc_id (5-word
+                     shingles, Jaccard 0.8; op5_ngram_join links by its own rule of 3 words and 0.9)
 decontamination      drops documents that hold a passage of the benchmark
 mixing               takes words of each source up to its target; a document may be taken in
                      part, once or twice, and then stands as one row for each pass
 sharding             puts every row into a shard and a slot
+
+A null text has no words. Rows with null or repeated ids, and equal rows, go through every stage as rows of
+their own; other columns stay as they are, whatever their names. An empty table gives an empty one.
 """
 
 from __future__ import annotations
@@ -25,22 +28,27 @@ NEAR_COPY_WORDS, NEAR_COPY_PERCENT = 5, 80
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Rows whose text has too few or too often repeated words, or too little of the trusted texts, go; null and empty texts with them."""
     return quality_rules.keep_good(docs, table(spark, sf_dir, "labels"))
 
 
 def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One row of each group of near copies or equal rows stays (null ids last); rows without words all stay."""
     return ngram_join.first_of_each(docs, n=NEAR_COPY_WORDS, percent=NEAR_COPY_PERCENT)
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Rows whose text holds a benchmark passage go, whatever their id; rows without text stay."""
     return decontamination.clean_documents(docs, table(spark, sf_dir, "benchmark"))
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """A row for each pass that takes words of a row, with these words; rows without words are not taken. A null source is one of its own."""
     return mixing.mixed_texts(docs)
 
 
 def shard(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All rows, with size, text_crc32, shard and slot; columns of these names are replaced."""
     return sharding.shard_documents(docs)
 
 
