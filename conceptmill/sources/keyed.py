@@ -102,10 +102,11 @@ class KeyedTable:
         return self._mark(spark, n_buckets, n_rows, True)
 
     def _state(self, spark: SparkSession) -> Row:
-        if not table_exists(spark, self.path):
+        state, there = read_table_or_empty(spark, f"{self._index}/state", STATE).first(), table_exists(spark, self.path)
+        if state is None and not there:
             return Row(n_buckets=LEAST_BUCKETS, n_rows=0, settled=True)
-        state = read_table_or_empty(spark, f"{self._index}/state", STATE).first()
-        return state if state is not None and state["settled"] else self.rebuild(spark)
+        # An index without its table is what a deleted table has left.
+        return state if there and state is not None and state["settled"] else self.rebuild(spark)
 
     def _near(self, rows: DataFrame, state: Row) -> DataFrame:
         """Entries in the buckets that ``rows`` fall into."""

@@ -70,6 +70,15 @@ def test_an_index_that_did_not_follow_is_made_anew(spark, path):
     assert index_files(table, spark)[0]["n_rows"] == 3
 
 
+def test_an_index_without_its_table_counts_for_nothing(spark, path):
+    table = KeyedTable(path, SCHEMA, ["k"], ["k"])
+    of(spark, ("a", "", "")).write.parquet(f"{path}-index/of-16/bucket=3")
+    table._mark(spark, 16, 1, True)
+    table.append(of(spark, ("a", "", ""), ("b", "", "")))
+    table.append(of(spark, ("a", "", "")))
+    assert [r[0] for r in stored(spark, path)] == ["a", "b"]
+
+
 def test_quads_written_before_there_was_an_index(spark, path, make_quads):
     first = make_quads(("g", "s", "p:1", "o"), ("g", "s", "p:1", lit("o")), ("g", "s", "p:1", lit("o", "nl")))
     src.write_quads(first, path)
