@@ -92,10 +92,10 @@ def shard_documents(docs: DataFrame, shards: int = SHARDS, seed: int = 42) -> Da
     """
     n = docs.select(F.lit(1)).count()
     text = F.coalesce("text", F.lit(""))
-    kept = [docs[c] for c in docs.columns if c not in ("size", "text_crc32", "shard", "slot")]
-    # The row stands in one column, so that its names meet no others.
+    kept = [c for c in docs.columns if c not in ("size", "text_crc32", "shard", "slot")]
+    # Columns under plain numbers, so that their names meet no others.
     measured = docs.select(
-        F.struct(*kept).alias("doc"),
+        *(docs[c].alias(f"c{i}") for i, c in enumerate(kept)),
         identity(docs).alias("uid"),
         (F.octet_length(text).cast("bigint") + 1).alias("size"),
         F.crc32(text.cast("binary")).alias("text_crc32"),
@@ -109,7 +109,9 @@ def shard_documents(docs: DataFrame, shards: int = SHARDS, seed: int = 42) -> Da
 
     placed = numbered.withColumn("place", place("number"))
     shard = (F.col("place") % shards).cast("int").alias("shard")
-    return placed.select("doc.*", "size", "text_crc32", shard, F.floor(F.col("place") / shards).cast("bigint").alias("slot"))
+    slot = F.floor(F.col("place") / shards).cast("bigint").alias("slot")
+    own = (F.col(f"c{i}").alias(c) for i, c in enumerate(kept))
+    return placed.select(*own, "size", "text_crc32", shard, slot)
 
 
 def write_shards(sharded: DataFrame, path: str) -> None:
