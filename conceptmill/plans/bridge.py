@@ -6,10 +6,12 @@ check start from the same quads.
 
 from __future__ import annotations
 
+import re
 from dataclasses import dataclass
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from conceptmill import vocab as v
 from conceptmill.operators.graph import QUAD_SCHEMA
@@ -184,6 +186,25 @@ def _struct(rule: Rule) -> str:
     )
 
 
+# Quads that one task may make; it sorts them by predicate to write them.
+TASK_QUADS = 500_000
+
+
+def _dealt(rows: DataFrame, rules: list[Rule]) -> DataFrame:
+    """The columns that the rules use, over so many tasks that none makes more than TASK_QUADS quads.
+
+    Rows of a small file may be many: a scan cuts tables by bytes and row groups. Only where one of its
+    tasks holds too many are the rows dealt by hash.
+    """
+    text = " ".join(f"{rule.s} {rule.o} {rule.lang} {rule.where}" for rule in rules)
+    used = [name for name in rows.columns if re.search(rf"\b{re.escape(name)}\b", text)]
+    sizes = rows.groupBy(F.spark_partition_id()).agg(F.count(F.lit(1)).alias("n"))
+    total, most = sizes.agg(F.sum("n"), F.max("n")).first()
+    if not used or (most or 0) * len(rules) <= TASK_QUADS:
+        return rows
+    return rows.select(*used).repartition(max(rows.rdd.getNumPartitions(), -(-total * len(rules) // TASK_QUADS)), *used)
+
+
 _STORES: dict[tuple[str, str], str] = {}
 _LOADED: set[tuple[str, str]] = set()
 
@@ -200,7 +221,9 @@ def _load(spark: SparkSession, sf_dir: str, group: str, root: str) -> None:
             if not rules:
                 continue
             quads = ", ".join(f"CASE WHEN {rule.where} THEN {_struct(rule)} END" for rule in rules)
-            rows = table(spark, sf_dir, name).selectExpr(f"explode(array({quads})) AS q").where("q IS NOT NULL")
+            given = table(spark, sf_dir, name)
+            given = given if distinct else _dealt(given, rules)
+            rows = given.selectExpr(f"explode(array({quads})) AS q").where("q IS NOT NULL")
             rows = rows.distinct() if distinct else rows
             union = rows if union is None else union.unionByName(rows)
     union = union.select("q.*")
