@@ -59,7 +59,8 @@ def stored_codelist(quads: DataFrame, scheme: str) -> DataFrame:
     return codelist
 
 
-CHUNK_ROWS = 1000
+# Requests of a chunk for each caller, and chunks of a round beyond which they grow.
+CHUNK_ROWS, MOST_CHUNKS = 1000, 24
 
 
 def ask_model(
@@ -85,8 +86,9 @@ def ask_model(
     latter are an error with ``on_failure='raise'`` and a result with
     ``'quarantine'``.
 
-    ``max_callers`` bounds the calls at the same time; requests are then sent in chunks of at
-    most CHUNK_ROWS a caller, so a lost task repeats few calls. ``calls_per_second`` is the
+    ``max_callers`` bounds the calls at the same time; requests are then sent in chunks of
+    CHUNK_ROWS a caller, or of one part in MOST_CHUNKS of a round that would have more chunks, so a lost
+    task repeats few calls and a round has no more jobs than that. ``calls_per_second`` is the
     rate of the whole job: every request, also a repeated one, has its send time (see
     ``calls.Schedule``); its callers are one unless ``max_callers`` says more. Without
     either, every task calls.
@@ -119,7 +121,7 @@ def ask_model(
         if callers:
             n_pending = pending.count()
             slots = calls.send_slots(pending, callers, calls_per_second or math.inf, first=sent)
-            size = callers * CHUNK_ROWS
+            size = callers * max(CHUNK_ROWS, math.ceil(n_pending / (callers * MOST_CHUNKS)))
             journal.requests(slots.withColumn("chunk", F.floor((F.col("number") - sent) / size).cast("int")), attempt)
             schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in slots.schema)
             schedule = calls.Schedule(begun, calls_per_second, callers) if calls_per_second else None

@@ -29,8 +29,8 @@ class ReplyJournal:
         return f"{self.path}/{kind}/run={self.run}/round={round_}"
 
     def requests(self, rows: DataFrame, round_: int) -> None:
-        """Write the requests of a round by their column ``chunk``."""
-        rows.repartition("chunk").write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy(
+        """Write the requests of a round by their column ``chunk``, each from several tasks."""
+        rows.repartition("chunk", F.pmod(F.xxhash64("id"), F.lit(8))).write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy(
             "chunk"
         ).parquet(self._folder("requests", round_))
 

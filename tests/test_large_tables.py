@@ -3,6 +3,8 @@
 from pyspark.sql import functions as F
 
 from conceptmill.plans import bridge as br
+from conceptmill.plans import jobs
+from conceptmill.sources.journal import ReplyJournal
 
 
 def test_quads_of_a_small_file_are_made_by_many_tasks(spark, monkeypatch):
@@ -13,3 +15,16 @@ def test_quads_of_a_small_file_are_made_by_many_tasks(spark, monkeypatch):
     dealt = br._dealt(parts, rules)
     sizes = [r["count"] for r in dealt.groupBy(F.spark_partition_id()).count().collect()]
     assert dealt.columns == ["p_partkey", "p_brand"] and sum(sizes) == 2000 and max(sizes) < 1000
+
+
+def test_a_round_has_a_bounded_number_of_chunks(spark, monkeypatch, tmp_path):
+    monkeypatch.setattr(jobs, "CHUNK_ROWS", 1)
+    monkeypatch.setattr(jobs, "MOST_CHUNKS", 3)
+    requests = spark.createDataFrame([(f"r{i}", "s", f"u{i}") for i in range(20)], "id string, system_message string, user_message string")
+    store = str(tmp_path / "journal")
+    answered, bad = jobs.ask_model(
+        requests, lambda: lambda system, user: user, lambda df: df.withColumn("parse_error", F.lit(None).cast("string")),
+        max_callers=2, store=store,
+    )
+    assert sorted(r["raw"] for r in answered.collect()) == sorted(f"u{i}" for i in range(20)) and bad.isEmpty()
+    assert ReplyJournal(spark, store, "string").committed().count() == 3
