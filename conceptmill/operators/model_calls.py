@@ -7,6 +7,7 @@ from collections.abc import Callable, Iterator, Sequence
 from dataclasses import dataclass
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -14,6 +15,8 @@ from conceptmill.operators.skew import hash_rank
 
 ChatFactory = Callable[[], Callable[[str, str], str]]
 ScorerFactory = Callable[[], Callable[[pd.Series], object]]
+# Prompts that a task holds as Python strings at a time.
+SLICE = 256
 
 
 @dataclass(frozen=True)
@@ -65,27 +68,37 @@ def call_model(
     ``send_slots``; each caller is one task and sends its requests when they are due.
     """
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model, last = None, 0.0
-        for batch in batches:
-            if model is None:
-                model = factory()
-            replies, errors, sent = [], [], []
-            for at, (system, user) in enumerate(zip(batch["system_message"], batch["user_message"])):
-                if schedule:
-                    time.sleep(max(0.0, schedule.wait(batch["number"].iloc[at], last)))
-                last = time.time()
-                sent.append(last)
-                try:
-                    replies.append(model(system, user))
-                    errors.append(None)
-                except Exception as error:  # any client may raise anything
-                    replies.append(None)
-                    errors.append(f"{type(error).__name__}: {error}")
-                if delay_seconds:
-                    time.sleep(delay_seconds)
-            done = batch[kept].assign(raw=replies, call_error=errors)
-            yield done.assign(sent=sent) if timed else done
+        for whole in batches:
+            # Prompts are long: only those of a slice are Python strings at a time.
+            for start in range(0, whole.num_rows, SLICE):
+                batch = whole.slice(start, SLICE)
+                if model is None:
+                    model = factory()
+                numbers = batch.column("number").to_pylist() if schedule else []
+                replies, errors, sent = [], [], []
+                for at, (system, user) in enumerate(
+                    zip(batch.column("system_message").to_pylist(), batch.column("user_message").to_pylist())
+                ):
+                    if schedule:
+                        time.sleep(max(0.0, schedule.wait(numbers[at], last)))
+                    last = time.time()
+                    sent.append(last)
+                    try:
+                        replies.append(model(system, user))
+                        errors.append(None)
+                    except Exception as error:  # any client may raise anything
+                        replies.append(None)
+                        errors.append(f"{type(error).__name__}: {error}")
+                    if delay_seconds:
+                        time.sleep(delay_seconds)
+                # Taken, so that what is handed on does not hold the prompts of the whole batch.
+                about = [batch.column(name).take(pa.array(range(batch.num_rows))) for name in kept]
+                answers = [pa.array(replies, pa.string()), pa.array(errors, pa.string())]
+                times = [pa.array(sent, pa.float64())] if timed else []
+                names = [*kept, "raw", "call_error", *(["sent"] if timed else [])]
+                yield pa.RecordBatch.from_arrays([*about, *answers, *times], names=names)
 
     kept = ["id", *keep]
     if schedule:
@@ -96,7 +109,7 @@ def call_model(
         rows = rows.repartition(max_callers) if max_callers else rows
     types = dict(prompts.dtypes)
     schema = ", ".join(f"{name} {types[name]}" for name in kept)
-    return rows.mapInPandas(run, f"{schema}, raw string, call_error string{', sent double' if timed else ''}")
+    return rows.mapInArrow(run, f"{schema}, raw string, call_error string{', sent double' if timed else ''}")
 
 
 def score_texts(texts: DataFrame, factory: ScorerFactory) -> DataFrame:

@@ -1,7 +1,10 @@
 """Work that has to stay small in each task when tables grow."""
 
+import sys
+
 from pyspark.sql import functions as F
 
+from conceptmill.operators import model_calls as calls
 from conceptmill.plans import bridge as br
 from conceptmill.plans import jobs
 from conceptmill.sources.journal import ReplyJournal
@@ -28,3 +31,13 @@ def test_a_round_has_a_bounded_number_of_chunks(spark, monkeypatch, tmp_path):
     )
     assert sorted(r["raw"] for r in answered.collect()) == sorted(f"u{i}" for i in range(20)) and bad.isEmpty()
     assert ReplyJournal(spark, store, "string").committed().count() == 3
+
+
+def test_a_caller_holds_few_prompts_at_a_time(spark):
+    def factory():
+        return lambda system, user: str(len(sys._getframe(1).f_locals["batch"]))
+
+    prompts = spark.range(600).selectExpr("id", "'s' AS system_message", "concat('u', id) AS user_message").coalesce(1)
+    got = calls.call_model(prompts, factory, timed=True).collect()
+    assert sorted(r["id"] for r in got) == list(range(600)) and all(r["sent"] > 0 for r in got)
+    assert max(int(r["raw"]) for r in got) <= calls.SLICE
