@@ -25,6 +25,8 @@ from conceptmill.sources.tables import materialised, read_table_or_empty, table_
 
 STATE = "n_buckets int, n_rows bigint, settled boolean"
 LEAST_BUCKETS = 16
+# New rows that one task compares, about.
+TASK_ROWS = 250_000
 
 
 @dataclass(frozen=True)
@@ -132,7 +134,9 @@ class KeyedTable:
         # Written, as it is used several times and must not change once the table has it.
         rows = materialised(self._with_entry(new.select(*columns)), "keyed-new")
         entries = self._near(rows, state)
-        fresh = materialised(only_new(rows, entries, self._entry), "keyed-fresh")
+        # Dealt by key before equal rows meet, so that no task sorts or holds more than its share of new rows.
+        dealt = rows.repartition(max(1, -(-rows.count() // TASK_ROWS)), *self._entry).distinct()
+        fresh = materialised(only_new(dealt, entries, self._entry), "keyed-fresh")
         n_fresh = fresh.count()
         if not n_fresh:
             return

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from conceptmill.operators import model_calls as calls
 from conceptmill.plans import bridge as br
 from conceptmill.plans import jobs
+from conceptmill.sources import keyed
 from conceptmill.sources.journal import ReplyJournal
 
 
@@ -41,3 +42,22 @@ def test_a_caller_holds_few_prompts_at_a_time(spark):
     got = calls.call_model(prompts, factory, timed=True).collect()
     assert sorted(r["id"] for r in got) == list(range(600)) and all(r["sent"] > 0 for r in got)
     assert max(int(r["raw"]) for r in got) <= calls.SLICE
+
+
+def test_new_rows_are_compared_by_many_tasks(spark, monkeypatch, tmp_path):
+    seen = []
+
+    def only_new(new, *rest):
+        seen.append(new.rdd.getNumPartitions())
+        return keep(new, *rest)
+
+    keep = keyed.only_new
+    monkeypatch.setattr(keyed, "only_new", only_new)
+    monkeypatch.setattr(keyed, "TASK_ROWS", 100, raising=False)
+    table = keyed.KeyedTable(str(tmp_path / "t"), "k string, v string", ["k"], ["k"])
+    rows = spark.range(1000).selectExpr("concat('k', id % 400) AS k", "concat('v', id % 2) AS v")
+    table.append(rows)
+    table.append(rows)
+    assert seen == [10, 10]
+    stored = spark.read.parquet(table.path)
+    assert stored.count() == 400 and stored.select("k").distinct().count() == 400
