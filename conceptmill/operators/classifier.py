@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import json
+import math
 from collections.abc import Iterator, Sequence
 from dataclasses import dataclass, field
 
@@ -21,6 +22,8 @@ from conceptmill.sources.tables import materialised
 NEVER = -1e9
 # Texts of one step, and numbers of a weight matrix that one set of passes fits (64 MB).
 BATCH, MATRIX = 32, 1 << 23
+# Bytes of changes that a task averages, about.
+AVERAGED = 1 << 24
 
 
 @dataclass
@@ -95,24 +98,35 @@ class Head:
         return total
 
 
+def _flat(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """All values of a list column, and where the list of each row begins (one more at the end)."""
+    starts = column.offsets.to_numpy()
+    return column.values.to_numpy(zero_copy_only=False)[starts[0] : starts[-1]], starts - starts[0]
+
+
 def _batches(batches: Iterator[pa.RecordBatch], used: np.ndarray, n_labels: int, first: int) -> Iterator[tuple]:
-    """(places, values, starts, targets) of BATCH texts at a time, features as rows of a head's table."""
+    """(places, values, starts, owner, targets) of BATCH texts at a time, features as rows of a head's table.
+
+    Lists are taken flat from Arrow and features looked up by their number, so that no value is a Python object.
+    """
+    place_of = np.full(int(used[-1]) + 2 if used.size else 1, -1)
+    place_of[used] = np.arange(used.size)
     for batch in batches:
+        (at, begin), (value, _), (ids, ids_begin) = map(_flat, batch.columns)
+        place = place_of[np.minimum(at, place_of.size - 1)]  # the last entry is of no used feature
+        known = place >= 0
+        place, value = place[known], value[known].astype(float)
+        begin = np.append(0, np.cumsum(known))[begin]
         for start in range(0, batch.num_rows, BATCH):
-            indices, values, targets = (c.to_pylist() for c in batch.slice(start, BATCH).columns)
-            sizes = np.array([len(x) for x in indices])
-            at = np.array([i for x in indices for i in x], np.int64)
-            value = np.array([y for x in values for y in x], float)
-            place = np.searchsorted(used, at)
-            place[place == used.size] = 0
-            known = used[place] == at if used.size else np.zeros(at.size, bool)
-            owner = np.repeat(np.arange(sizes.size), sizes)[known]
-            truth = np.zeros((sizes.size, n_labels))
-            for row, ids in enumerate(targets):
-                for i in ids:
-                    if first <= i < first + n_labels:
-                        truth[row, i - first] = 1.0
-            yield place[known], value[known], np.searchsorted(owner, np.arange(sizes.size)), owner, truth
+            end = min(start + BATCH, batch.num_rows)
+            low, high = begin[start], begin[end]
+            owner = np.repeat(np.arange(end - start), np.diff(begin[start : end + 1]))
+            truth = np.zeros((end - start, n_labels))
+            row = np.repeat(np.arange(end - start), np.diff(ids_begin[start : end + 1]))
+            label = ids[ids_begin[start] : ids_begin[end]].astype(np.int64) - first
+            here = (label >= 0) & (label < n_labels)
+            truth[row[here], label[here]] = 1.0
+            yield place[low:high], value[low:high], begin[start:end] - low, owner, truth
 
 
 def _probabilities(logits: np.ndarray, single: bool) -> np.ndarray:
@@ -128,11 +142,14 @@ def _learned(
     """What a partition's texts change, in steps of BATCH texts: one row for each feature it has."""
     head, before = Head(table.copy()), table
     power, touched, n = np.full(table.shape, 1e-8), np.zeros(len(table), bool), 0
+    order = np.empty(len(table), np.int64)
     for places, values, starts, owner, truth in _batches(batches, used, table.shape[1], first):
         off = (_probabilities(head.logits(places, values, starts), single) - truth) / len(truth)
-        rows, inverse = np.unique(np.append(places, len(table) - 1), return_inverse=True)
-        gradient = np.zeros((rows.size, table.shape[1]))
-        np.add.at(gradient, inverse[:-1], values[:, None] * off[owner])
+        rows = np.unique(np.append(places, len(table) - 1))
+        order[rows] = np.arange(rows.size)
+        inverse, gradient = order[places], np.empty((rows.size, table.shape[1]))
+        for label in range(table.shape[1]):
+            gradient[:, label] = np.bincount(inverse, weights=values * off[owner, label], minlength=rows.size)
         gradient[-1] += off.sum(axis=0)
         gradient[:-1] += decay * head.table[rows[:-1]] / len(truth)
         power[rows] += gradient**2
@@ -151,23 +168,30 @@ def _learned(
 
 def _averaged(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Mean change of each feature over the partitions that have it, by their texts; rows come sorted by feature."""
-    now, total, weight, done = None, None, 0, []
 
-    def row() -> tuple[int, bytes]:
-        return now, (total / weight).tobytes()
+    def means(at: np.ndarray, total: np.ndarray, weight: np.ndarray) -> pa.RecordBatch:
+        mean = total / weight[:, None]
+        return pa.RecordBatch.from_arrays(
+            [pa.array(at, pa.int64()), pa.array([row.tobytes() for row in mean], pa.binary())], names=["at", "change"]
+        )
 
+    last = None  # sums of a feature that the next batch may go on with
     for batch in batches:
-        for at, n, change in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-            if at != now:
-                if now is not None:
-                    done.append(row())
-                now, total, weight = at, 0.0, 0
-            total, weight = total + n * np.frombuffer(change, "<f8"), weight + n
-    if now is not None:
-        done.append(row())
-    yield pa.RecordBatch.from_arrays(
-        [pa.array([a for a, _ in done], pa.int64()), pa.array([c for _, c in done], pa.binary())], names=["at", "change"]
-    )
+        if not batch.num_rows:
+            continue
+        at, n = batch.column("at").to_numpy(), batch.column("n").to_numpy().astype(float)
+        change = np.frombuffer(b"".join(batch.column("change").to_pylist()), "<f8").reshape(at.size, -1)
+        starts = np.flatnonzero(np.append(True, at[1:] != at[:-1]))
+        at, total, weight = at[starts], np.add.reduceat(change * n[:, None], starts), np.add.reduceat(n, starts)
+        if last is not None and last[0][0] == at[0]:
+            total[0] += last[1][0]
+            weight[0] += last[2][0]
+        elif last is not None:
+            yield means(*last)
+        yield means(at[:-1], total[:-1], weight[:-1])
+        last = at[-1:], total[-1:], weight[-1:]
+    if last is not None:
+        yield means(*last)
 
 
 def _loss(batches: Iterator[pa.RecordBatch], used: np.ndarray, table: np.ndarray, first: int, single: bool) -> Iterator[pa.RecordBatch]:
@@ -198,7 +222,10 @@ def fit_heads(
     changed, feature by feature; the mean of these changes, by numbers of texts, is the next weights. After each
     epoch the loss over ``validation`` is taken; the epoch with the least is kept, without it the last.
     """
-    context, n_parts = examples.sparkSession.sparkContext, examples.sparkSession.conf.get("spark.sql.shuffle.partitions")
+    context, n_tasks = examples.sparkSession.sparkContext, examples.rdd.getNumPartitions()
+    # Every task may change every weight; what one task averages has a fixed size.
+    most = int(examples.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    n_parts = max(1, min(most, math.ceil(n_tasks * (used.size + 1) * n_labels * 8 / AVERAGED)))
     table, best, losses = np.zeros((used.size + 1, n_labels)), None, []
     for _ in range(epochs):
         shared = context.broadcast((used, table))  # MATRIX numbers at most
@@ -208,7 +235,7 @@ def fit_heads(
 
         changes = examples.mapInArrow(learn, "at bigint, n bigint, change binary")
         means = (
-            changes.repartition(int(n_parts), "at").sortWithinPartitions("at", "n", "change")
+            changes.repartition(n_parts, "at").sortWithinPartitions("at", "n", "change")
             .mapInArrow(_averaged, "at bigint, change binary").toArrow()
         )
         table = table.copy()

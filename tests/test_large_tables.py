@@ -2,8 +2,11 @@
 
 import sys
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import functions as F
 
+from conceptmill.operators import classifier as clf
 from conceptmill.operators import model_calls as calls
 from conceptmill.plans import bridge as br
 from conceptmill.plans import jobs
@@ -61,3 +64,28 @@ def test_new_rows_are_compared_by_many_tasks(spark, monkeypatch, tmp_path):
     assert seen == [10, 10]
     stored = spark.read.parquet(table.path)
     assert stored.count() == 400 and stored.select("k").distinct().count() == 400
+
+
+def test_a_step_takes_lists_flat():
+    lists = [[1, 7, 3], [], [9], [3, 50]], [[0.5, 1.0, 2.0], [], [4.0], [1.0, 1.0]], [[0], [1, 2], [], [5]]
+    kinds = pa.int32(), pa.float64(), pa.int32()
+    whole = pa.RecordBatch.from_arrays([pa.array(x, pa.list_(k)) for x, k in zip(lists, kinds, strict=True)], names=list("abc"))
+    for batch, texts in ((whole, [0, 1, 2, 3]), (whole.slice(2), [2, 3])):
+        ((place, value, starts, owner, truth),) = clf._batches([batch], np.array([3, 7, 9]), 2, 1)
+        places, values = {0: [1, 0], 1: [], 2: [2], 3: [0]}, {0: [1.0, 2.0], 1: [], 2: [4.0], 3: [1.0]}
+        assert place.tolist() == [x for t in texts for x in places[t]] and value.tolist() == [x for t in texts for x in values[t]]
+        assert owner.tolist() == [i for i, t in enumerate(texts) for _ in places[t]]
+        assert starts.tolist() == np.cumsum([0, *(len(places[t]) for t in texts)])[:-1].tolist()
+        assert truth.tolist() == [[[0, 0], [1, 1], [0, 0], [0, 0]][t] for t in texts]
+
+
+def test_a_mean_goes_on_in_the_next_batch():
+    def batch(*rows):
+        at, n, change = zip(*rows, strict=True)
+        return pa.RecordBatch.from_pydict({"at": pa.array(at, pa.int64()), "n": pa.array(n, pa.int64()), "change": pa.array([np.array(c, "<f8").tobytes() for c in change])})
+
+    rows = [(1, 1, [1.0, 0.0]), (4, 1, [2.0, 2.0]), (4, 3, [6.0, 2.0]), (9, 2, [1.0, 5.0])]
+    for cut in (1, 2, 3, 4):
+        made = clf._averaged(b for b in (batch(*rows[:cut]), *([batch(*rows[cut:])] if rows[cut:] else [])))
+        means = {a: np.frombuffer(c, "<f8").tolist() for m in made for a, c in zip(m.column("at").to_pylist(), m.column("change").to_pylist(), strict=True)}
+        assert means == {1: [1.0, 0.0], 4: [5.0, 2.0], 9: [1.0, 5.0]}
