@@ -154,25 +154,44 @@ def encoded(docs: DataFrame, vocabulary: Vocabulary) -> DataFrame:
         memory, v = WordTable(), Vocabulary(**model.value)
         divisor = np.log10(v.class_n + v.class_words + 1)
         names = ["row", "doc_id", "held_out", "n_tokens", "n_known", "base", "in_class", "codes", "others"]
+
+        def looked(hashes: np.ndarray, endings: np.ndarray) -> tuple[np.ndarray, ...]:
+            """Of each word: whether its count is known, the count, its code, its shares of base and in_class."""
+            at = np.searchsorted(v.known, hashes)
+            at[at == v.known.size] = 0
+            here = v.known[at] == hashes if v.known.size else np.zeros(hashes.size, bool)
+            n = np.where(here, v.known_n[at], 0) if v.known.size else np.zeros(hashes.size)
+            codes = np.where(here, v.known_code[at], -1) if v.known.size else np.full(hashes.size, -1)
+            codes[hashes == END] = END_CODE
+            here |= hashes == END
+            by_class, endings = codes < 0, endings.astype(np.int64)
+            base = np.where(here, v.base(n), 0.0)
+            in_class = np.where(by_class, np.where(here, np.log10(np.maximum(n, 1)), 0.0) - divisor[endings], 0.0)
+            return here, n > 0, np.where(by_class, OWN_CODES + endings, codes).astype(np.uint16), base, in_class
+
+        end = looked(np.array([END]), np.array([0]))
+        # Words are looked up once, when the memory first has them; a text only gathers.
+        words, done = [np.empty(0, column.dtype) for column in end], 0
         for batch in batches:
             made = []
             for text in raw_texts(batch.column(3)):
+                if len(memory) > REMEMBERED_WORDS:
+                    memory.clear()
+                    done = 0
                 ids = memory.of(text)
-                hashes = np.append(memory.hashes[ids], END)
-                endings = np.append(memory.endings[ids], 0).astype(np.int64)
-                at = np.searchsorted(v.known, hashes)
-                at[at == v.known.size] = 0
-                here = v.known[at] == hashes if v.known.size else np.zeros(hashes.size, bool)
-                n = np.where(here, v.known_n[at], 0) if v.known.size else np.zeros(hashes.size)
-                codes = np.where(here, v.known_code[at], -1) if v.known.size else np.full(hashes.size, -1)
-                codes[-1] = END_CODE
-                here[-1] = True
-                by_class = codes < 0
-                in_class = float(np.log10(n[here & by_class]).sum() - divisor[endings[by_class]].sum())
-                codes = np.where(by_class, OWN_CODES + endings, codes)
+                if len(memory) > done:
+                    if len(memory) > words[0].size:
+                        words = [np.concatenate([w, np.empty(memory.hashes.size - w.size, w.dtype)]) for w in words]
+                    fresh = slice(done, len(memory))
+                    for column, value in zip(words, looked(memory.hashes[fresh], memory.endings[fresh]), strict=True):
+                        column[fresh] = value
+                    done = len(memory)
+                here, known, codes, base, in_class = (
+                    np.append(column[ids], last) for column, last in zip(words, end, strict=True)
+                )
                 made.append(
-                    (hashes.size, int((n > 0).sum()), float(v.base(n[here]).sum()), in_class,
-                     codes.astype(np.uint16).tobytes(), hashes[~here])
+                    (codes.size, int(known.sum()), float(base.sum()), float(in_class.sum()), codes.tobytes(),
+                     memory.hashes[ids[~here[:-1]]])
                 )
             columns = list(zip(*made, strict=True)) if made else [[]] * 6
             kinds = [pa.int64(), pa.int64(), pa.float64(), pa.float64(), pa.binary(), pa.list_(pa.int64())]
