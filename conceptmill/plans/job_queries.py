@@ -218,9 +218,11 @@ def classifier_annotation(spark, sf):
 def incremental_labelling(spark, sf):
     root = scratch_path(spark, "stream")
     docs = br.table(spark, sf, "documents").selectExpr(f"{br.DOC} AS decision", "text")
-    docs.repartition(3, "decision").write.parquet(f"{root}/in")
+    # Three batches, each of as many files as tasks can write and read at a time.
+    files = max(8, spark.sparkContext.defaultParallelism)
+    docs.repartition(3 * files, "decision").write.parquet(f"{root}/in")
     codelist = jobs.stored_codelist(br.quads(spark, sf, "concepts"), br.QUALITY)
-    arriving = spark.readStream.schema(docs.schema).option("maxFilesPerTrigger", 1).parquet(f"{root}/in")
+    arriving = spark.readStream.schema(docs.schema).option("maxFilesPerTrigger", files).parquet(f"{root}/in")
 
     def label(batch):
         return jobs.label_decisions(

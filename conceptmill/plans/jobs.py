@@ -138,7 +138,8 @@ def ask_model(
         bad = journal.own(attempt).where(FAILED)
         if attempt == attempts or bad.isEmpty():
             break
-        pending = requests.join(bad.select("id"), "id", "left_semi")
+        # Written, so that the next attempt reads the prompts it sends and not all of them.
+        pending = materialised(pending.join(bad.select("id"), "id", "left_semi"), "requests-again")
         time.sleep(attempt * pause_seconds)
     answered = parsed(journal.own().where(f"NOT ({FAILED})").select("id", "asked", "raw"))
     if known is not None:
@@ -151,7 +152,8 @@ def ask_model(
             raise RuntimeError(
                 f"model call failed after {attempts} attempts for {first['id']}: {reason}; usable replies are in {path}"
             )
-    return answered, bad.select("id", *keep, "asked", "raw", "call_error", "parse_error")
+    # Written, as the caller uses the answers several times and each use would parse all replies again.
+    return materialised(answered, "answered"), bad.select("id", *keep, "asked", "raw", "call_error", "parse_error")
 
 
 def label_requests(decisions: DataFrame, codelist: DataFrame, prompts: DataFrame) -> DataFrame:

@@ -75,19 +75,21 @@ class LabelledTables:
         )
         asked = materialised(both.groupBy("decision").agg(F.min("text").alias("text"), F.max("tries").alias("tries")), "arrived")
         known = annotation_table(self.annotations).held(asked.select(F.col("decision").alias("target")))
-        finished = (self.done(known) if self.done else known).select(F.col("target").alias("decision")).distinct()
-        open_ = materialised(asked.join(finished, "decision", "left_anti"), "open")
-        result = label(open_.select("decision", "text"))
+        # Only ids are written, before the table changes; the texts stay in ``asked``.
+        finished = materialised(
+            (self.done(known) if self.done else known).select(F.col("target").alias("decision")).distinct(), "finished"
+        )
+        result = label(asked.join(finished, "decision", "left_anti").select("decision", "text"))
         append_containers(result.containers, self.containers)
         append_annotations(result.annotations, self.annotations)
         later = waiting.where("NOT is_due").drop("is_due").join(asked, "decision", "left_anti")
         if result.failed is not None:
             errors = result.failed.select(
                 F.col("id").alias("decision"), F.coalesce("call_error", "parse_error").alias("error")
-            )
+            ).join(finished, "decision", "left_anti")
             pause = F.lit(self.retry_seconds) * F.pow(F.lit(2.0), F.col("tries"))
             due = F.timestamp_micros(F.unix_micros(F.current_timestamp()) + (pause * 1_000_000).cast("bigint"))
-            again = open_.join(errors, "decision").withColumn("due", due).withColumn("tries", F.col("tries") + 1)
+            again = asked.join(errors, "decision").withColumn("due", due).withColumn("tries", F.col("tries") + 1)
             later = later.unionByName(again.select(*later.columns))
         later.write.mode("overwrite").option("partitionOverwriteMode", "static").parquet(f"{self.failed}/batch-{number}")
 
