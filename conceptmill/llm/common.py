@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import string
 from collections.abc import Iterable, Iterator, Sequence
+from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
@@ -20,6 +21,8 @@ WORD = rf"[^{SPACE_CLASS}]+"
 
 # Words one worker remembers ids for; the memory is emptied between documents when it is full.
 REMEMBERED_WORDS = 400_000
+# Rows of an Arrow batch that hold whole texts or sets.
+BATCH_ROWS = 512
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -50,6 +53,32 @@ def raw_texts(column: pa.Array) -> list[bytes]:
     return [value or b"" for value in column.cast(pa.binary()).to_pylist()]
 
 
+@contextmanager
+def small_batches(spark: SparkSession) -> Iterator[None]:
+    """Arrow batches of at most BATCH_ROWS rows in what runs inside, then as the session had it.
+
+    A batch stands in the JVM and in a Python worker, and its texts again as Python values.
+    """
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(key, None)
+    if before is None or not 0 < int(before) <= BATCH_ROWS:
+        spark.conf.set(key, str(BATCH_ROWS))
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(key)
+        else:
+            spark.conf.set(key, before)
+
+
+def slices(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The batches in pieces of at most BATCH_ROWS rows; for results whose run the caller starts."""
+    for batch in batches:
+        for start in range(0, batch.num_rows, BATCH_ROWS):
+            yield batch.slice(start, BATCH_ROWS)
+
+
 class WordHashes(dict):
     """64-bit hash of a word, remembered."""
 

@@ -10,7 +10,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from conceptmill.llm.common import WordHashes, bit_filter, may_hold, raw_texts, written
+from conceptmill.llm.common import WordHashes, bit_filter, may_hold, raw_texts, small_batches, written
 from conceptmill.llm.components import components
 
 SHINGLE = 3
@@ -322,22 +322,8 @@ def _parts(links: DataFrame) -> DataFrame:
     return components(links).select(F.col("node").alias("set_id"), F.col("component").alias("part"))
 
 
-def link_documents(docs: DataFrame, n: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
-    """(doc_id, n_shingles, component_id): one row for each row of ``docs``.
-
-    Documents with equal sets are one node. Nodes that share a signature form a bucket. Pairs
-    that meet in small buckets as often as linked ones must are compared. In a large bucket
-    all are compared with one member, the one with the most frequent tokens first, and
-    links join nodes to parts; buckets within one part are done, so a group of near copies
-    takes as many comparisons as it has members. Then, in large buckets that still hold
-    several parts, every pair of different parts that has not been compared is.
-    Pairs are verified by their whole sets. Parts are connected components.
-
-    Words are lower-cased (A-Z). Fewer than n words are one n-gram; texts without words (or
-    null) have none and link with nothing. component_id is the smallest doc_id that links
-    reach; a null id is passed over unless all are null. Repeated rows are linked like
-    copies. An empty table gives none. Other columns are ignored.
-    """
+def _nodes_and_parts(docs: DataFrame, n: int, percent: int) -> tuple[DataFrame, DataFrame]:
+    """(doc_id, set_id, n_shingles) of every row, and (set_id, part) of every set that links; both are written."""
     scanned = written(scan(docs, n), "shingles")
     nodes = scanned.where("block IS NULL").select("doc_id", "set_id", "n_shingles")
     classes, frequent = frequency_classes(scanned)
@@ -387,6 +373,27 @@ def link_documents(docs: DataFrame, n: int = SHINGLE, percent: int = PERCENT) ->
         if not found.isEmpty():
             links = links.unionByName(found)
             parts = _parts(links)
+    return nodes, parts
+
+
+def link_documents(docs: DataFrame, n: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
+    """(doc_id, n_shingles, component_id): one row for each row of ``docs``.
+
+    Documents with equal sets are one node. Nodes that share a signature form a bucket. Pairs
+    that meet in small buckets as often as linked ones must are compared. In a large bucket
+    all are compared with one member, the one with the most frequent tokens first, and
+    links join nodes to parts; buckets within one part are done, so a group of near copies
+    takes as many comparisons as it has members. Then, in large buckets that still hold
+    several parts, every pair of different parts that has not been compared is.
+    Pairs are verified by their whole sets. Parts are connected components.
+
+    Words are lower-cased (A-Z). Fewer than n words are one n-gram; texts without words (or
+    null) have none and link with nothing. component_id is the smallest doc_id that links
+    reach; a null id is passed over unless all are null. Repeated rows are linked like
+    copies. An empty table gives none. Other columns are ignored.
+    """
+    with small_batches(docs.sparkSession):
+        nodes, parts = _nodes_and_parts(docs, n, percent)
     named = nodes.join(parts, "set_id", "left").withColumn("part", F.coalesce("part", "set_id"))
     least = named.where("part IS NOT NULL").groupBy("part").agg(F.min("doc_id").alias("component_id"))
     return named.join(least, "part", "left").select(

@@ -11,7 +11,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from conceptmill.llm.common import REMEMBERED_WORDS, SPACE_BYTES, counters, hash_sample, raw_texts
+from conceptmill.llm.common import REMEMBERED_WORDS, SPACE_BYTES, counters, hash_sample, raw_texts, slices
 
 # Buckets of the hashed n-grams (a prime): the size of the model, whatever the corpus.
 BUCKETS = 32_749
@@ -80,7 +80,7 @@ def log_ratios(docs: DataFrame, labels: DataFrame, limit: int = MAX_TRUSTED) ->
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         memory, raw, target = Words(), np.zeros(BUCKETS, np.int64), np.zeros(BUCKETS, np.int64)
-        for batch in batches:
+        for batch in slices(batches):
             for text, is_good in zip(raw_texts(batch.column(1)), batch.column(0).to_pylist(), strict=True):
                 found = ngram_buckets(memory.of(text.split())[1])
                 once = np.bincount(found, minlength=BUCKETS) if found.size > BUCKETS // 8 else None
@@ -144,7 +144,7 @@ def score_quality(
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         memory = Words()
-        for batch in batches:
+        for batch in slices(batches):
             measured = _measures(batch.column(1), memory, model.value, threshold)
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), *measured], names=["doc_id", *BASE, "llr", "base_failed", "kept"]
@@ -162,7 +162,7 @@ def keep_good(
 
     def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         memory = Words()
-        for batch in batches:
+        for batch in slices(batches):
             yield batch.filter(_measures(batch.column(at), memory, model.value, threshold)[-1])
 
     return docs.mapInArrow(keep, docs.schema)
