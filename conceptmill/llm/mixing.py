@@ -61,6 +61,11 @@ def source_targets(docs: DataFrame) -> DataFrame:
     )
 
 
+def _written_targets(sized: DataFrame) -> DataFrame:
+    """``source_targets`` as a table of one row a source, since places and draws ask for it several times."""
+    return written(source_targets(sized), "mix-targets")
+
+
 def word_offsets(docs: DataFrame, targets: DataFrame) -> DataFrame:
     """Rows of ``docs`` (with uid and size) with rank, source_size, target and the place of their first word.
 
@@ -195,7 +200,7 @@ def mix_documents(docs: DataFrame) -> DataFrame:
     sized = written(
         docs.select("doc_id", "source", word_count(F.col("text")).alias("size"), identity(docs).alias("uid")), "mix-sizes"
     )
-    targets = source_targets(sized)
+    targets = _written_targets(sized)
     placed = word_offsets(sized, targets)
     times = taken_blocks(shard_draws(targets)).groupBy("rank", "block").agg(F.count(F.lit(1)).alias("times"))
     keep = ["doc_id", "source", "size", "source_size", "target"]
@@ -230,7 +235,7 @@ def mixed_texts(docs: DataFrame) -> DataFrame:
         "mix-documents",
     )
     sized = numbered.select("row", "source", "size", "uid")
-    targets = source_targets(sized)
+    targets = _written_targets(sized)
     placed = word_offsets(sized, targets)
     taken = F.struct(
         (F.col("_from") - F.col("first_word")).alias("at"), (F.col("_to") - F.col("_from") + 1).alias("n")

@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from conceptmill.llm.common import WordHashes, bit_filter, may_hold, raw_texts, small_batches, written
-from conceptmill.llm.components import components
+from conceptmill.llm.components import stars
 
 SHINGLE = 3
 # Two sets link when 100 * intersection >= PERCENT * union.
@@ -111,14 +111,14 @@ def frequency_classes(scanned: DataFrame) -> tuple[np.ndarray, int]:
             yield pa.RecordBatch.from_pydict({"block": pa.array([block], pa.int32()), "counts": pa.array([counts.tobytes()], pa.binary())})
 
     parts = scanned.where("block IS NOT NULL").select("block", "counts").repartition("block")
-    table = np.zeros(1 << SKETCH_BITS)
+    classes = np.zeros(1 << SKETCH_BITS, np.uint8)
     total = 0
     for row in parts.mapInArrow(add, "block int, counts binary").toLocalIterator():
-        counts = np.frombuffer(bytes(row["counts"]), np.int64)
-        table[row["block"] * SKETCH_BLOCK : (row["block"] + 1) * SKETCH_BLOCK] = counts
+        counts = np.frombuffer(row["counts"], np.int64)
+        here = slice(row["block"] * SKETCH_BLOCK, (row["block"] + 1) * SKETCH_BLOCK)
+        classes[here] = np.minimum(255, np.round(8 * np.log2(counts.astype(float) + 1)))
         total += int(counts.sum())
-    limit = max(FREQUENT_TIMES * total / table.size, total / table.size + FREQUENT_ABOVE)
-    classes = np.minimum(255, np.round(8 * np.log2(table + 1))).astype(np.uint8)
+    limit = max(FREQUENT_TIMES * total / classes.size, total / classes.size + FREQUENT_ABOVE)
     return classes, int(min(255, np.ceil(8 * np.log2(limit + 1))))
 
 
@@ -319,11 +319,12 @@ def other_pairs(buckets: DataFrame, percent: int) -> DataFrame:
 
 
 def _parts(links: DataFrame) -> DataFrame:
-    return components(links).select(F.col("node").alias("set_id"), F.col("component").alias("part"))
+    """(set_id, part): every set that links reach, but for the smallest of a part, which names it."""
+    return stars(links).select(F.col("a").alias("set_id"), F.col("b").alias("part"))
 
 
 def _nodes_and_parts(docs: DataFrame, n: int, percent: int) -> tuple[DataFrame, DataFrame]:
-    """(doc_id, set_id, n_shingles) of every row, and (set_id, part) of every set that links; both are written."""
+    """(doc_id, set_id, n_shingles) of every row, and the parts; both are written."""
     scanned = written(scan(docs, n), "shingles")
     nodes = scanned.where("block IS NULL").select("doc_id", "set_id", "n_shingles")
     classes, frequent = frequency_classes(scanned)
@@ -344,23 +345,25 @@ def _nodes_and_parts(docs: DataFrame, n: int, percent: int) -> tuple[DataFrame,
     sets = written(sets_of(docs, wanted, n), "sets")
 
     compared = pairs
-    links = written(verified(pairs, sets, percent), "links")
-    parts = _parts(links)
+    parts = _parts(written(verified(pairs, sets, percent), "links"))
     by_hash = Window.partitionBy("set_id").orderBy(F.xxhash64("sig"), "sig")
     few = written(large.withColumn("_nth", F.row_number().over(by_hash)).where(F.col("_nth") <= FEW).drop("_nth"), "few")
+    buckets = None
     for step in range(-1, STAR_ROUNDS + 1):
-        # First by few signatures of each set, alike for alike sets: most near copies are in one part before all are looked at.
-        buckets = (few if step < 0 else large).join(parts, "set_id", "left").withColumn("part", F.coalesce("part", "set_id"))
-        several = (
-            buckets.groupBy("sig").agg(F.min("part").alias("_low"), F.max("part").alias("_high")).where("_low <> _high")
-        )
-        buckets = written(buckets.join(several.select("sig"), "sig", "left_semi"), "open-buckets")
-        if buckets.isEmpty():
-            if step < 0:
+        if buckets is None:  # else no link was found since
+            # First by few signatures of each set, alike for alike sets: most near copies are in one part before all are looked at.
+            every = (few if step < 0 else large).join(parts, "set_id", "left").withColumn("part", F.coalesce("part", "set_id"))
+            several = (
+                every.groupBy("sig").agg(F.min("part").alias("_low"), F.max("part").alias("_high")).where("_low <> _high")
+            )
+            buckets = written(every.join(several.select("sig"), "sig", "left_semi"), "open-buckets")
+            if buckets.isEmpty():
+                if step >= 0:
+                    break
+                buckets = None
                 continue
-            break
-        if step >= 0:
-            large = buckets.drop("part")  # a bucket within one part stays so
+            if step >= 0:
+                large = buckets.drop("part")  # a bucket within one part stays so
         if step == STAR_ROUNDS:
             pairs = other_pairs(buckets, percent)
         else:
@@ -368,11 +371,16 @@ def _nodes_and_parts(docs: DataFrame, n: int, percent: int) -> tuple[DataFrame,
             choice = first if step <= 0 else F.struct(F.xxhash64("set_id", F.lit(step)), F.col("set_id"))
             pairs = star_pairs(buckets, choice, percent)
         pairs = written(pairs.join(compared, ["a", "b"], "left_anti"), "pairs")
+        if step < 0:
+            buckets = None
+        if pairs.isEmpty():
+            continue
         compared = compared.unionByName(pairs)
         found = written(verified(pairs, sets, percent), "links")
         if not found.isEmpty():
-            links = links.unionByName(found)
-            parts = _parts(links)
+            # The parts so far stand for the links they came from.
+            parts = _parts(found.unionByName(parts.select(F.col("set_id").alias("a"), F.col("part").alias("b"))))
+            buckets = None
     return nodes, parts
 
 
