@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame, Window
@@ -98,7 +99,7 @@ def frequency_classes(scanned: DataFrame) -> tuple[np.ndarray, int]:
     """Class (about 8 times the binary logarithm) of each counter, and the first frequent class.
 
     Partition sketches are added up block by block as a stream, so no task holds more than
-    the sketch itself.
+    the sketch itself. Tasks make the classes: one byte a counter reaches the driver, in one job.
     """
 
     def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -108,16 +109,19 @@ def frequency_classes(scanned: DataFrame) -> tuple[np.ndarray, int]:
                 kind = np.uint8 if len(counts) == SKETCH_BLOCK else np.uint32
                 sums[block] = sums.get(block, 0) + np.frombuffer(counts, kind).astype(np.int64)
         for block, counts in sums.items():
-            yield pa.RecordBatch.from_pydict({"block": pa.array([block], pa.int32()), "counts": pa.array([counts.tobytes()], pa.binary())})
+            of = np.minimum(255, np.round(8 * np.log2(counts.astype(float) + 1))).astype(np.uint8)
+            yield pa.RecordBatch.from_pydict(
+                {"block": pa.array([block], pa.int32()), "total": pa.array([int(counts.sum())], pa.int64()), "classes": pa.array([of.tobytes()], pa.binary())}
+            )
 
     parts = scanned.where("block IS NOT NULL").select("block", "counts").repartition("block")
+    found = parts.mapInArrow(add, "block int, total bigint, classes binary").toArrow()
     classes = np.zeros(1 << SKETCH_BITS, np.uint8)
     total = 0
-    for row in parts.mapInArrow(add, "block int, counts binary").toLocalIterator():
-        counts = np.frombuffer(row["counts"], np.int64)
-        here = slice(row["block"] * SKETCH_BLOCK, (row["block"] + 1) * SKETCH_BLOCK)
-        classes[here] = np.minimum(255, np.round(8 * np.log2(counts.astype(float) + 1)))
-        total += int(counts.sum())
+    for block, counted, of in zip(*(found.column(name) for name in ("block", "total", "classes")), strict=True):
+        at = block.as_py() * SKETCH_BLOCK
+        classes[at : at + SKETCH_BLOCK] = np.frombuffer(of.as_buffer(), np.uint8)
+        total += counted.as_py()
     limit = max(FREQUENT_TIMES * total / classes.size, total / classes.size + FREQUENT_ABOVE)
     return classes, int(min(255, np.ceil(8 * np.log2(limit + 1))))
 
@@ -236,6 +240,11 @@ def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     )
 
 
+def ends_of(pairs: DataFrame) -> DataFrame:
+    """(set_id): both sets of every pair."""
+    return pairs.select(F.explode(F.array("a", "b")).alias("set_id"))
+
+
 def _near_in_size(percent: int) -> Column:
     return 100 * F.least("size_a", "size_b") >= percent * F.greatest("size_a", "size_b")
 
@@ -340,8 +349,7 @@ def _nodes_and_parts(docs: DataFrame, n: int, percent: int) -> tuple[DataFrame,
     shared = written(shared.join(sizes, "sig"), "buckets")
     large = shared.where(F.col("n_members") > SMALL_BUCKET)
     pairs = written(counted_pairs(shared, percent), "pairs")
-    ends = F.explode(F.array("a", "b")).alias("set_id")
-    wanted = pairs.select(ends).unionByName(large.select("set_id")).distinct()
+    wanted = ends_of(pairs).unionByName(large.select("set_id")).distinct()
     sets = written(sets_of(docs, wanted, n), "sets")
 
     compared = pairs
@@ -376,7 +384,9 @@ def _nodes_and_parts(docs: DataFrame, n: int, percent: int) -> tuple[DataFrame,
         if pairs.isEmpty():
             continue
         compared = compared.unionByName(pairs)
-        found = written(verified(pairs, sets, percent), "links")
+        # A few pairs move a few sets, not all of them.
+        asked = sets.join(ends_of(pairs), "set_id", "left_semi")
+        found = written(verified(pairs, asked, percent), "links")
         if not found.isEmpty():
             # The parts so far stand for the links they came from.
             parts = _parts(found.unionByName(parts.select(F.col("set_id").alias("a"), F.col("part").alias("b"))))
@@ -427,14 +437,22 @@ def first_of_each(docs: DataFrame, n: int = SHINGLE, percent: int = PERCENT) ->
         grouped.where("doc_id <> first OR rows > 1").select("doc_id.id", "doc_id.digest", (F.col("doc_id") == F.col("first")).alias("stays")),
         "copies",
     )
+    packed = docs.sparkSession.sparkContext.broadcast(bit_filter(moved.select(F.xxhash64("id", "digest").alias("name")), FILTER_BITS))
+
+    @F.pandas_udf("boolean")
+    def may_move(name: pd.Series) -> pd.Series:
+        return pd.Series(may_hold(packed.value, name.to_numpy().view(np.uint64)))
 
     def at(listed: DataFrame) -> Column:
         return docs["doc_id"].eqNullSafe(listed["id"]) & (digest(docs["text"]) == listed["digest"])
 
-    rest = docs.join(moved, at(moved), "left_anti")
+    # Rows that the filter does not know stay where they are; a join decides on the others.
+    asked = may_move(F.xxhash64(docs["doc_id"], digest(docs["text"])))
+    some = docs.where(asked)
+    rest = docs.where(~asked).unionByName(some.join(moved, at(moved), "left_anti"))
     repeated = moved.where("stays")
     if repeated.isEmpty():
         return rest
-    copies = docs.join(repeated, at(repeated), "left_semi").select(F.struct(*docs.columns).alias("doc"))
+    copies = some.join(repeated, at(repeated), "left_semi").select(F.struct(*docs.columns).alias("doc"))
     by_row = copies.groupBy(F.col("doc.doc_id").alias("id"), digest(F.col("doc.text")).alias("digest")).agg(F.first("doc").alias("doc"))
     return rest.unionByName(by_row.select("doc.*"))
